@@ -5,7 +5,8 @@ of equals). Consecutive windows with the same minimiser form a super-k-mer. Two
 same place in them, so
 
 1. a first pass gives the minimiser and the place of every super-k-mer, without its words; minimisers that occur once can't
-   belong to a repeated window, and their super-k-mers go no further;
+   belong to a repeated window, and their super-k-mers go no further (those that a task sees twice needn't meet the others,
+   so a very common one doesn't meet in one task);
 2. the others travel as one packed string (their words) to the bucket of their minimiser, equal strings counted before the
    shuffle, so a passage that very many documents share is one row there with a count, while its places stay behind;
 3. a bucket, sorted by minimiser, compares windows minimiser by minimiser and offset by offset: sorting whole windows counts
@@ -19,13 +20,12 @@ null ids are carried; an empty table gives an empty result; other columns don't
 
 from __future__ import annotations
 
-import hashlib
+from hashlib import blake2b
 from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,17 +33,25 @@ from scriptorium.llm.common import materialise, row_key
 
 #: Words whose hash a task remembers.
 MEMORY = 500_000
+#: Bits of a word's place in the hashes that are compared, and of a super-k-mer's pivot and windows in its code.
+PLACES, BITS = 26, 10
+OPEN, KNOWN, MARKER = 0, 1, 2
+
+
+class WordHashes(dict):
+    """Remembers the hashes of words."""
+
+    def __missing__(self, word: bytes) -> int:
+        found = self[word] = xxhash.xxh3_64_intdigest(word)
+        return found
 
 
 def word_hasher():
-    known: dict[bytes, int] = {}
+    known = WordHashes()
 
     def hashes(words: list[bytes]) -> np.ndarray:
         if len(known) > MEMORY:
             known.clear()
-        for w in words:
-            if w not in known:
-                known[w] = xxhash.xxh3_64_intdigest(w)
         return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
 
     return hashes
@@ -60,55 +68,122 @@ def run_hashes(hashes: np.ndarray, m: int) -> np.ndarray:
     return out ^ (out >> np.uint64(32))
 
 
+def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
+    """The least of each ``width`` consecutive values, by doubling."""
+    have = 1
+    while 2 * have <= width:
+        values = np.minimum(values[:-have], values[have:])
+        have *= 2
+    return np.minimum(values[: len(values) - (width - have)], values[width - have :]) if width > have else values
+
+
 def super_kmers(hashes: np.ndarray, k: int, m: int):
-    """start, number of windows, minimiser of each super-k-mer of a document of at least k words."""
-    runs = run_hashes(hashes, m)
-    at = sliding_window_view(runs, k - m + 1).argmin(axis=1) + np.arange(len(hashes) - k + 1)
+    """start, pivot, number of windows and minimiser of each super-k-mer of a document of at least k words.
+
+    The pivot is the minimiser's place from the start. Places break ties of hashes, so the first of equals is the minimiser.
+    """
+    runs, places = run_hashes(hashes, m), np.uint64((1 << PLACES) - 1)
+    at = (sliding_min(runs & ~places | np.arange(len(runs), dtype=np.uint64), k - m + 1) & places).astype(np.int64)
     starts = np.flatnonzero(np.diff(at, prepend=-1))
-    return starts, np.diff(starts, append=len(at)), runs[at[starts]].view(np.int64)
+    return starts, at[starts] - starts, np.diff(starts, append=len(at)), runs[at[starts]].view(np.int64)
 
 
 def _first_pass(k: int, m: int):
+    """Rows (k1, k2, text) to a row per super-k-mer: key, k1, k2, mini, code (its start, pivot and windows), known, marker.
+
+    A minimiser that comes twice among some 100,000 super-k-mers of a task is known to repeat: its rows needn't meet any
+    other and are dealt by their own place, and one marker stands for them where all rows of the minimiser meet.
+    """
+    names = ["key", "k1", "k2", "mini", "code", "state"]
+
+    def batch_of(parts):
+        k1, k2, mini, code = (np.concatenate(x) for x in zip(*parts, strict=True))
+        _, first, at, times = np.unique(mini, return_index=True, return_inverse=True, return_counts=True)
+        known = times[at] > 1
+        key = np.where(known, k1 ^ (code * 0x9E3779B1), mini)
+        marked = first[times > 1]
+        state = np.where(known, KNOWN, OPEN)
+        columns = [np.concatenate([x, y]) for x, y in ((key, mini[marked]), (k1, k1[marked]), (k2, k2[marked]), (mini, mini[marked]), (code, code[marked]), (state, np.full(len(marked), MARKER)))]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns[:5]] + [pa.array(columns[5], pa.int8())], names)
+
     def run(batches):
         hashes = word_hasher()
+        parts, size = [], 0
         for batch in batches:
-            rows, codes, minis = [], [], []
+            ids = [batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1)]
             for i, text in enumerate(batch.column(2).to_pylist()):
                 words = text.split() if text else ()
                 if len(words) >= k:
-                    start, many, mini = super_kmers(hashes(words), k, m)
-                    rows.append(np.full(len(start), i))
-                    codes.append(start * 1024 + many)
-                    minis.append(mini)
-            if rows:
-                at = pa.array(np.concatenate(rows))
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(np.concatenate(minis)), pa.array(np.concatenate(codes))], ["k1", "k2", "mini", "code"])
+                    start, pivot, many, mini = super_kmers(hashes(words), k, m)
+                    parts.append((np.full(len(start), ids[0][i]), np.full(len(start), ids[1][i]), mini, start << 2 * BITS | pivot << BITS | many))
+                    size += len(start)
+                    if size > 100_000:
+                        yield batch_of(parts)
+                        parts, size = [], 0
+        if parts:
+            yield batch_of(parts)
 
     return run
 
 
-def _pack(k: int, m: int):
-    """Rows (k1, k2, text, found: the super-k-mers to send) to a row per super-k-mer with its words."""
+def _repeating(batches):
+    """Rows sorted by key: those known to repeat, and those whose minimiser is the key of other rows too."""
+    schema = pa.schema([("k1", pa.int64()), ("k2", pa.int64()), ("mini", pa.int64()), ("code", pa.int64())])
+
+    def out(rows):
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in rows], schema=schema)
+
+    before, pending = None, None
+    for batch in batches:
+        key, k1, k2, mini, code, state = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(6))
+        if not len(key):
+            continue
+        same = np.diff(key, prepend=key[0]) == 0
+        same[0] = before is not None and key[0] == before
+        follow = np.append(same[1:], False)
+        twice = same | follow
+        keep = (state == KNOWN) | ((state == OPEN) & twice)
+        keep[-1] &= bool(same[-1]) or state[-1] == KNOWN  # the last row waits for the next batch, unless it is decided
+        rows = [c[keep] for c in (k1, k2, mini, code)]
+        if pending is not None and same[0]:
+            rows = [np.insert(c, 0, x) for c, x in zip(rows, pending, strict=True)]
+        pending = (k1[-1], k2[-1], mini[-1], code[-1]) if state[-1] == OPEN and not same[-1] else None
+        before = key[-1]
+        if len(rows[0]):
+            yield out(rows)
+
+
+def _pack(k: int):
+    """Rows (k1, k2, text, codes, minis: the super-k-mers to send) to a row per super-k-mer with its words."""
+    names = ["mini", "digest", "packed", "pivot", "windows", "k1", "k2", "start"]
+    low = (1 << BITS) - 1
 
     def run(batches):
-        hashes = word_hasher()
         for batch in batches:
-            out = []
-            for k1, k2, text, found in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+            codes, minis = batch.column(3), batch.column(4)
+            each = np.diff(codes.offsets.to_numpy())
+            code = codes.flatten().to_numpy()
+            ends = np.cumsum(each)
+            starts, windows = code >> 2 * BITS, code & low
+            stops = (starts + windows + (k - 1)).tolist()
+            begins, packed, digests, done = starts.tolist(), [], [], 0
+            owner = np.repeat(np.arange(len(each)), each)
+
+            def part(a, b):
+                at = pa.array(owner[a:b])
+                return pa.RecordBatch.from_arrays([minis.flatten().slice(a, b - a), pa.array(digests, pa.binary()), pa.array(packed, pa.binary()), pa.array((code[a:b] >> BITS & low).astype(np.int32)), pa.array(windows[a:b].astype(np.int32)), batch.column(0).take(at), batch.column(1).take(at), pa.array(starts[a:b])], names)
+
+            for text, a, b in zip(batch.column(2).to_pylist(), (ends - each).tolist(), ends.tolist(), strict=True):
                 words = text.split()
-                for one in found:
-                    start, many = divmod(one["code"], 1024)
-                    mine = words[start : start + many + k - 1]
-                    packed = b" ".join(mine)
-                    if len(out) >= 20_000:
-                        yield pa.RecordBatch.from_pylist(out, schema)
-                        out = []
-                    inner = run_hashes(hashes(mine[: k]), m)
-                    out.append({"mini": one["mini"], "digest": hashlib.blake2b(packed, digest_size=16).digest(), "packed": packed, "pivot": int(inner.argmin()), "windows": many, "k1": k1, "k2": k2, "start": start})
-            if out:
-                yield pa.RecordBatch.from_pylist(out, schema)
-
-    schema = pa.schema([("mini", pa.int64()), ("digest", pa.binary()), ("packed", pa.binary()), ("pivot", pa.int32()), ("windows", pa.int32()), ("k1", pa.int64()), ("k2", pa.int64()), ("start", pa.int64())])
+                for i in range(a, b):
+                    packed.append(b" ".join(words[begins[i] : stops[i]]))
+                    digests.append(blake2b(packed[-1], digest_size=16).digest())
+                if len(packed) >= 20_000:
+                    yield part(done, b)
+                    packed, digests, done = [], [], b
+            if packed:
+                yield part(done, int(ends[-1]))
+
     return run
 
 
@@ -188,11 +263,11 @@ def remove_repeats(docs: DataFrame, k: int = 35, m: int = 8) -> DataFrame:
     """A row per document: doc_id, n_words, n_removed, kept_text (the words that stay, joined by one space)."""
     k1, k2 = row_key()
     texts = docs.select(k1, k2, F.col("text").cast("binary").alias("text"), F.col("doc_id").cast("long").alias("doc_id"))
-    places = texts.select("k1", "k2", "text").mapInArrow(_first_pass(k, m), "k1 long, k2 long, mini long, code long")
-    often = places.groupBy("mini").count().where("count > 1").select("mini")
-    found = places.join(often, "mini", "left_semi").groupBy("k1", "k2").agg(F.collect_set(F.struct("code", "mini")).alias("found"))
-    packed = texts.select("k1", "k2", "text").join(found, ["k1", "k2"]).select("k1", "k2", "text", "found")
-    packed = materialise(packed.mapInArrow(_pack(k, m), "mini long, digest binary, packed binary, pivot int, windows int, k1 long, k2 long, start long"), "super-k-mers")
+    places = texts.select("k1", "k2", "text").mapInArrow(_first_pass(k, m), "key long, k1 long, k2 long, mini long, code long, state byte")
+    found = places.repartition("key").sortWithinPartitions("key").mapInArrow(_repeating, "k1 long, k2 long, mini long, code long")
+    found = found.groupBy("k1", "k2").agg(F.collect_set(F.struct("code", "mini")).alias("found"))
+    packed = texts.select("k1", "k2", "text").join(found, ["k1", "k2"]).select("k1", "k2", "text", F.col("found.code").alias("codes"), F.col("found.mini").alias("minis"))
+    packed = materialise(packed.mapInArrow(_pack(k), "mini long, digest binary, packed binary, pivot int, windows int, k1 long, k2 long, start long"), "super-k-mers")
     strings = packed.groupBy("mini", "digest").agg(F.first("packed").alias("packed"), F.first("pivot").alias("pivot"), F.first("windows").alias("windows"), F.count("*").alias("many"))
     covered = strings.repartition("mini").sortWithinPartitions("mini").select("mini", "digest", "packed", "pivot", "windows", "many").mapInArrow(_count(k), "digest binary, firsts array<int>")
     marks = packed.select("digest", "k1", "k2", "start").join(covered, "digest").groupBy("k1", "k2").agg(F.collect_set(F.struct("start", "firsts")).alias("found"))
