@@ -27,10 +27,15 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write a step to the shared folder and read it again: later steps survive lost executors and don't redo it."""
+    """Write a step to the shared folder and read it again: later steps survive lost executors and don't redo it.
+
+    The step's shuffle files aren't needed any more. Spark deletes them once the driver has collected its garbage, which
+    a driver with little to do may not for hours, so it is asked to.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/scriptorium/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 
