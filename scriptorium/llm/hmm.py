@@ -6,7 +6,7 @@ probability within the class is (count + 1) / (words of the class + distinct wor
 1 / the same, so each class keeps a share for what it hasn't seen. The latent states emit symbols; transitions, emissions and
 initial states are re-estimated from expected counts that all partitions compute on all training documents and that are
 summed by blocks of symbols before they reach the driver, whose model has a fixed size whatever the corpus. The first guess
-comes from Baum-Welch on a bounded sample (``GUESS`` documents). A document's score is the exact likelihood of its symbols
+comes from Baum-Welch on a bounded sample (``GUESS`` documents in expectation, chosen by a hash). A document's score is the exact likelihood of its symbols
 by the scaled forward recursion, plus its words' probabilities within their classes, in log10.
 
 Word counts beyond the head never reach the driver or a broadcast: the rare words of documents meet their counts in a join.
@@ -218,14 +218,14 @@ def _add(batches):
     yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array([v.astype("<f8").tobytes() for v in sums.values()], pa.binary())], ["block", "counts"])
 
 
-def train(texts: DataFrame, head: list[bytes], weights: np.ndarray) -> Model:
-    """texts (text binary, tag: a hash that orders the sample); weights: how often each symbol comes in all of them."""
+def train(texts: DataFrame, many: int, head: list[bytes], weights: np.ndarray) -> Model:
+    """texts (text binary, tag: a hash that picks the sample), how many, and how often each symbol comes in all of them."""
     spark = texts.sparkSession
     if END not in head:
         head, weights = [*head, END], np.insert(weights, len(head), 0.0)
     model = Model.random(head, weights)
     encode = model.encoder()
-    some = [symbols_of(r["text"], encode)[1] for r in texts.orderBy("tag").limit(GUESS).select("text").collect()]
+    some = [symbols_of(r["text"], encode)[1] for r in texts.where(F.pmod("tag", F.lit(1_000_000_007)) <= 1_000_000_007 * GUESS // max(many, GUESS)).select("text").collect()]
     for _ in range(GUESS_ROUNDS if some else 0):
         model = model.improved(*model.forward(some, counts=True)[1], weights)
     for _ in range(ROUNDS if some else 0):
@@ -302,7 +302,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
         held[r["class"]] = r["n"], r["v"]
     for w in head:
         held[known[w][1]] -= known[w][0], 1
-    model = train(training.select("text", F.xxhash64("text", "doc_id").alias("tag")), head, np.array([known[w][0] for w in head] + list(held[:, 0]), float))
+    model = train(training.select("text", F.xxhash64("text", "doc_id").alias("tag")), known[END][0] if END in known else 0, head, np.array([known[w][0] for w in head] + list(held[:, 0]), float))
     floor, room = float(np.log10(total + distinct + 1)), np.log10(held.sum(1) + 1)
     sent = spark.sparkContext.broadcast((model, {w: c for w, (c, _) in known.items()}, floor, room))
     first = texts.mapInArrow(_score(sent), "doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, rare array<binary>, times array<int>")
