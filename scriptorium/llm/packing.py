@@ -12,6 +12,8 @@ no piece; ids are carried as they are, nulls included.
 
 from __future__ import annotations
 
+import os
+import re
 import zlib
 from collections import defaultdict, deque
 
@@ -26,53 +28,97 @@ from scriptorium.llm.common import materialise
 #: Pieces to a group, about: enough that nearly every window is filled to the last token.
 GROUP_PIECES = 2048
 #: Distinct words whose ids a task remembers.
-MEMORY = 200_000
+MEMORY = 400_000
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, salt long"
 PLACED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
-def encoder(vocabulary: str):
-    """text to little-endian 32-bit ids. vocabulary: a file's path, or the name of one of the public tokenizers.
+class Encoder:
+    """Texts to little-endian 32-bit ids.
 
-    The tokenizer splits at white space and drops it, so a text's ids are those of its words in a row; words repeat, and the
-    ids of a bounded number of them are remembered.
+    The tokenizer drops white space and codes each run of letters or marks by itself, so a text's ids are those of its words
+    in a row, and a plain word's those of its marks, letters and marks. Both are remembered (a bounded number); unknown
+    runs go to the tokenizer many at a time, and the ids that end a run tell where each one's ids stop. Words with anything
+    but marks around Latin letters go to it as they are. vocabulary: a file's path, or the name of a public tokenizer.
     """
-    import os
 
-    from tokenizers import Tokenizer
-
-    if not os.path.exists(vocabulary):
-        import public_tokenizers
-
-        vocabulary = public_tokenizers.path(vocabulary)
-    tokenizer = Tokenizer.from_file(vocabulary)
-    tokenizer.encode_special_tokens = True
-    known: dict[str, bytes] = {}
-
-    def encode(text: str) -> bytes:
-        words = text.split(" ") if "\n" not in text else text.replace("\n", " ").split(" ")
-        new = list({w for w in words if w not in known})
+    PLAIN = re.compile(r"([!-&(-/:-@\[-`{-~]*)([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:-@\[-`{-~]*)")
+
+    def __init__(self, vocabulary: str):
+        from tokenizers import Tokenizer
+
+        if not os.path.exists(vocabulary):
+            import public_tokenizers
+
+            vocabulary = public_tokenizers.path(vocabulary)
+        self.tokenizer = Tokenizer.from_file(vocabulary)
+        self.tokenizer.encode_special_tokens = True
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        for token, i in self.tokenizer.get_vocab().items():
+            self.ends[i] = token.endswith("</w>")
+        self.words: dict[str, bytes] = {"": b""}
+        self.runs: dict[str, bytes] = {"": b""}
+
+    def ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+
+    def learn(self, words: list[str]) -> None:
+        parts = []
+        for w in words:
+            m = self.PLAIN.fullmatch(w)
+            if m:
+                parts.append((w, m[1], m[2].lower(), m[3]))
+            else:
+                self.words[w] = self.ids(w).tobytes()
+        runs = list({r for p in parts for r in p[1:]} - self.runs.keys())
+        if runs:
+            ids = self.ids(" ".join(runs))
+            stops = np.flatnonzero(self.ends[ids]) + 1
+            if len(stops) == len(runs) and stops[-1] == len(ids):
+                raw, at = ids.tobytes(), 0
+                for run, stop in zip(runs, (4 * stops).tolist(), strict=True):
+                    self.runs[run] = raw[at:stop]
+                    at = stop
+            else:  # a vocabulary that doesn't mark ends
+                self.runs |= {r: self.ids(r).tobytes() for r in runs}
+        for w, a, b, c in parts:
+            self.words[w] = self.runs[a] + self.runs[b] + self.runs[c]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        split = [t.replace("\n", " ").split(" ") for t in texts]
+        every = set().union(*split)
+        new = every - self.words.keys()
+        if len(self.words) + len(new) > MEMORY:
+            self.words, new = {"": b""}, every - {""}
+            self.runs = self.runs if len(self.runs) < MEMORY else {"": b""}
         if new:
-            if len(known) + len(new) > MEMORY:
-                known.clear()
-                new = list(set(words))
-            for w, e in zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-                known[w] = np.array(e.ids, "<u4").tobytes()
-        return b"".join(map(known.__getitem__, words))
+            self.learn(list(new))
+        return [b"".join(map(self.words.__getitem__, words)) for words in split]
+
 
-    return encode
+def some_at_a_time(texts: list[str], most: int = 1_000_000):
+    """Slices of texts of about that many characters."""
+    start = size = 0
+    for i, t in enumerate(texts):
+        size += len(t)
+        if size >= most:
+            yield texts[start : i + 1]
+            start, size = i + 1, 0
+    if start < len(texts):
+        yield texts[start:]
 
 
 def cut(docs: DataFrame, vocabulary: str, end_id: int, capacity: int) -> DataFrame:
     """docs (doc_id, text) to pieces of at most ``capacity`` tokens."""
 
     def run(batches):
-        encode, end, n = encoder(vocabulary), np.array([end_id], "<u4").tobytes(), 0
+        encoder, end, n = Encoder(vocabulary), np.array([end_id], "<u4").tobytes(), 0
         for batch in batches:
             out = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids = encode(text or "") + end
+            coded = (ids for some in some_at_a_time([t or "" for t in batch.column(1).to_pylist()]) for ids in encoder.encode(some))
+            for doc, ids in zip(batch.column(0).to_pylist(), coded, strict=True):
+                ids += end
                 total = len(ids) // 4
                 for s in range(0, total, capacity):
                     piece = ids[4 * s : 4 * (s + capacity)]
