@@ -154,35 +154,44 @@ def _repeating(batches):
 
 
 def _pack(k: int):
-    """Rows (k1, k2, text, codes, minis: the super-k-mers to send) to a row per super-k-mer with its words."""
-    names = ["mini", "digest", "packed", "pivot", "windows", "k1", "k2", "start"]
+    """Rows (k1, k2, text, codes, minis: the super-k-mers to send) to places and packed strings.
+
+    A place is (digest, k1, k2, start). A string (mini, digest, packed, pivot, windows, many) stands for all equal ones among
+    some 20,000 super-k-mers of the task; places have no string, strings no document.
+    """
     low = (1 << BITS) - 1
+    schema = pa.schema([("digest", pa.binary()), ("k1", pa.int64()), ("k2", pa.int64()), ("start", pa.int64()), ("mini", pa.int64()), ("packed", pa.binary()), ("pivot", pa.int32()), ("windows", pa.int32()), ("many", pa.int64())])
 
     def run(batches):
         for batch in batches:
-            codes, minis = batch.column(3), batch.column(4)
-            each = np.diff(codes.offsets.to_numpy())
-            code = codes.flatten().to_numpy()
+            codes, minis = batch.column(3), batch.column(4).flatten().to_numpy()
+            each, code = np.diff(codes.offsets.to_numpy()), codes.flatten().to_numpy()
             ends = np.cumsum(each)
-            starts, windows = code >> 2 * BITS, code & low
-            stops = (starts + windows + (k - 1)).tolist()
-            begins, packed, digests, done = starts.tolist(), [], [], 0
-            owner = np.repeat(np.arange(len(each)), each)
+            starts, pivots, windows = code >> 2 * BITS, code >> BITS & low, code & low
+            begins, stops, owner = starts.tolist(), (starts + windows + (k - 1)).tolist(), np.repeat(np.arange(len(each)), each)
+            digests, strings, done = [], {}, 0
 
             def part(a, b):
-                at = pa.array(owner[a:b])
-                return pa.RecordBatch.from_arrays([minis.flatten().slice(a, b - a), pa.array(digests, pa.binary()), pa.array(packed, pa.binary()), pa.array((code[a:b] >> BITS & low).astype(np.int32)), pa.array(windows[a:b].astype(np.int32)), batch.column(0).take(at), batch.column(1).take(at), pa.array(starts[a:b])], names)
+                at, n = pa.array(owner[a:b]), b - a
+                yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), batch.column(0).take(at), batch.column(1).take(at), pa.array(starts[a:b]), *(pa.nulls(n, t) for t in schema.types[4:])], schema=schema)
+                i, n = np.array([x[0] for x in strings.values()]), len(strings)
+                yield pa.RecordBatch.from_arrays([pa.array(strings.keys(), pa.binary()), *(pa.nulls(n, pa.int64()) for _ in range(3)), pa.array(minis[i]), pa.array([x[1] for x in strings.values()], pa.binary()), pa.array(pivots[i].astype(np.int32)), pa.array(windows[i].astype(np.int32)), pa.array([x[2] for x in strings.values()])], schema=schema)
 
             for text, a, b in zip(batch.column(2).to_pylist(), (ends - each).tolist(), ends.tolist(), strict=True):
                 words = text.split()
                 for i in range(a, b):
-                    packed.append(b" ".join(words[begins[i] : stops[i]]))
-                    digests.append(blake2b(packed[-1], digest_size=16).digest())
-                if len(packed) >= 20_000:
-                    yield part(done, b)
-                    packed, digests, done = [], [], b
-            if packed:
-                yield part(done, int(ends[-1]))
+                    packed = b" ".join(words[begins[i] : stops[i]])
+                    digest = blake2b(packed, digest_size=16).digest()
+                    digests.append(digest)
+                    if digest in strings:
+                        strings[digest][2] += 1
+                    else:
+                        strings[digest] = [i, packed, 1]
+                if len(digests) >= 20_000:
+                    yield from part(done, b)
+                    digests, strings, done = [], {}, b
+            if digests:
+                yield from part(done, int(ends[-1]))
 
     return run
 
@@ -211,7 +220,7 @@ def repeated_words(strings: list[tuple[bytes, int, int, int]], k: int) -> list[l
 
 
 def _count(k: int):
-    """Rows sorted by minimiser (mini, digest, packed, pivot, windows, many) to (digest, first words of repeated windows)."""
+    """Rows sorted by minimiser and digest (mini, digest, packed, pivot, windows, many) to (digest, first words of repeated windows)."""
     schema = pa.schema([("digest", pa.binary()), ("firsts", pa.list_(pa.int32()))])
 
     def rows(batches):
@@ -221,12 +230,12 @@ def _count(k: int):
     def run(batches):
         digests, firsts = [], []
         for _, group in groupby(rows(batches), key=lambda r: r[0]):
-            group = list(group)
-            if len(group) == 1 and group[0][5] == 1:
+            strings = [(digest, *some[0][2:5], sum(r[5] for r in some)) for digest, some in ((d, list(g)) for d, g in groupby(group, key=lambda r: r[1]))]
+            if len(strings) == 1 and strings[0][4] == 1:
                 continue
-            for row, found in zip(group, repeated_words([r[2:] for r in group], k), strict=True):
+            for string, found in zip(strings, repeated_words([s[1:] for s in strings], k), strict=True):
                 if found:
-                    digests.append(row[1])
+                    digests.append(string[0])
                     firsts.append(sorted(found))
             if len(digests) >= 20_000:
                 yield pa.RecordBatch.from_arrays([pa.array(digests, schema.types[0]), pa.array(firsts, schema.types[1])], schema=schema)
@@ -267,9 +276,10 @@ def remove_repeats(docs: DataFrame, k: int = 35, m: int = 8) -> DataFrame:
     found = places.repartition("key").sortWithinPartitions("key").mapInArrow(_repeating, "k1 long, k2 long, mini long, code long")
     found = found.groupBy("k1", "k2").agg(F.collect_set(F.struct("code", "mini")).alias("found"))
     packed = texts.select("k1", "k2", "text").join(found, ["k1", "k2"]).select("k1", "k2", "text", F.col("found.code").alias("codes"), F.col("found.mini").alias("minis"))
-    packed = materialise(packed.mapInArrow(_pack(k), "mini long, digest binary, packed binary, pivot int, windows int, k1 long, k2 long, start long"), "super-k-mers")
-    strings = packed.groupBy("mini", "digest").agg(F.first("packed").alias("packed"), F.first("pivot").alias("pivot"), F.first("windows").alias("windows"), F.count("*").alias("many"))
-    covered = strings.repartition("mini").sortWithinPartitions("mini").select("mini", "digest", "packed", "pivot", "windows", "many").mapInArrow(_count(k), "digest binary, firsts array<int>")
-    marks = packed.select("digest", "k1", "k2", "start").join(covered, "digest").groupBy("k1", "k2").agg(F.collect_set(F.struct("start", "firsts")).alias("found"))
+    packed = materialise(packed.mapInArrow(_pack(k), "digest binary, k1 long, k2 long, start long, mini long, packed binary, pivot int, windows int, many long"), "super-k-mers")
+    strings = packed.where("packed is not null").select("mini", "digest", "packed", "pivot", "windows", "many")
+    covered = strings.repartition("mini").sortWithinPartitions("mini", "digest").mapInArrow(_count(k), "digest binary, firsts array<int>")
+    marks = packed.where("packed is null").select("digest", "k1", "k2", "start").join(covered, "digest").groupBy("k1", "k2").agg(F.collect_set(F.struct("start", "firsts")).alias("found"))
+    marks = materialise(marks, "marks")
     left = texts.join(marks, ["k1", "k2"], "left").select("doc_id", "text", "found").mapInArrow(_apply(k), "doc_id long, n_words long, n_removed long, kept binary")
     return left.select("doc_id", "n_words", "n_removed", F.col("kept").cast("string").alias("kept_text"))
