@@ -60,43 +60,63 @@ class Encoder:
         self.words: dict[str, bytes] = {"": b""}
         self.runs: dict[str, bytes] = {"": b""}
 
-    def ids(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+    def ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def learn(self, words: list[str]) -> None:
-        parts = []
+    def learn(self, words) -> None:
+        known, runs, plain = self.words, self.runs, self.PLAIN.fullmatch
+        wait, new, odd = [], set(), []
         for w in words:
-            m = self.PLAIN.fullmatch(w)
-            if m:
-                parts.append((w, m[1], m[2].lower(), m[3]))
+            m = plain(w)
+            if m is None:
+                odd.append(w)
+                continue
+            a, b, c = m.groups()
+            b = b.lower()
+            if a in runs and b in runs and c in runs:
+                known[w] = runs[a] + runs[b] + runs[c]
             else:
-                self.words[w] = self.ids(w).tobytes()
-        runs = list({r for p in parts for r in p[1:]} - self.runs.keys())
-        if runs:
-            ids = self.ids(" ".join(runs))
+                wait.append((w, a, b, c))
+                new.update((a, b, c))
+        for w, ids in zip(odd, self.ids(odd), strict=True):
+            known[w] = ids.tobytes()
+        new = [r for r in new if r not in runs]
+        for s in range(0, len(new), 1000):
+            some = new[s : s + 1000]
+            ids = self.ids([" ".join(some)])[0]
             stops = np.flatnonzero(self.ends[ids]) + 1
-            if len(stops) == len(runs) and stops[-1] == len(ids):
+            if len(stops) == len(some) and stops[-1] == len(ids):
                 raw, at = ids.tobytes(), 0
-                for run, stop in zip(runs, (4 * stops).tolist(), strict=True):
-                    self.runs[run] = raw[at:stop]
+                for run, stop in zip(some, (4 * stops).tolist(), strict=True):
+                    runs[run] = raw[at:stop]
                     at = stop
             else:  # a vocabulary that doesn't mark ends
-                self.runs |= {r: self.ids(r).tobytes() for r in runs}
-        for w, a, b, c in parts:
-            self.words[w] = self.runs[a] + self.runs[b] + self.runs[c]
+                runs.update(zip(some, (x.tobytes() for x in self.ids(some)), strict=True))
+        for w, a, b, c in wait:
+            known[w] = runs[a] + runs[b] + runs[c]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [t.replace("\n", " ").split(" ") for t in texts]
+        split = [folded(t).replace("\n", " ").split(" ") for t in texts]
         every = set().union(*split)
         new = every - self.words.keys()
         if len(self.words) + len(new) > MEMORY:
             self.words, new = {"": b""}, every - {""}
             self.runs = self.runs if len(self.runs) < MEMORY else {"": b""}
         if new:
-            self.learn(list(new))
+            self.learn(new)
         return [b"".join(map(self.words.__getitem__, words)) for words in split]
 
 
+def folded(text: str) -> str:
+    """In lower case where that is sure to be what the tokenizer makes of it: one letter for one, none with two forms."""
+    if not text.isascii():
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return text
+    return text.lower()
+
+
 def some_at_a_time(texts: list[str], most: int = 1_000_000):
     """Slices of texts of about that many characters."""
     start = size = 0
