@@ -12,9 +12,11 @@ no piece; ids are carried as they are, nulls included.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
+from bisect import bisect_left, bisect_right
 from collections import defaultdict, deque
 
 import numpy as np
@@ -40,7 +42,7 @@ class Encoder:
     The tokenizer drops white space and codes each run of letters or marks by itself, so a text's ids are those of its words
     in a row, and a plain word's those of its marks, letters and marks. Both are remembered (a bounded number); unknown
     runs go to the tokenizer many at a time, and the ids that end a run tell where each one's ids stop. Words with anything
-    but marks around Latin letters go to it as they are. vocabulary: a file's path, or the name of a public tokenizer.
+    but marks around Latin letters go to it as they are, and so do whole texts if the vocabulary has no ends of runs. vocabulary: a file's path, or the name of a public tokenizer.
     """
 
     PLAIN = re.compile(r"([!-&(-/:-@\[-`{-~]*)([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:-@\[-`{-~]*)")
@@ -52,16 +54,22 @@ class Encoder:
             import public_tokenizers
 
             vocabulary = public_tokenizers.path(vocabulary)
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the parallelism
         self.tokenizer = Tokenizer.from_file(vocabulary)
         self.tokenizer.encode_special_tokens = True
+        # For runs, which are in lower case and stand apart already: the same model, without looking for either.
+        whole = json.loads(self.tokenizer.to_str())
+        self.by_runs = whole["model"].get("end_of_word_suffix") == "</w>"
+        whole |= {"normalizer": None, "pre_tokenizer": {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}}
+        self.bare = Tokenizer.from_str(json.dumps(whole))
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
         for token, i in self.tokenizer.get_vocab().items():
             self.ends[i] = token.endswith("</w>")
         self.words: dict[str, bytes] = {"": b""}
         self.runs: dict[str, bytes] = {"": b""}
 
-    def ids(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def ids(self, texts: list[str], bare: bool = False) -> list[np.ndarray]:
+        return [np.array(e.ids, "<u4") for e in (self.bare if bare else self.tokenizer).encode_batch_fast(texts, add_special_tokens=False)]
 
     def learn(self, words) -> None:
         known, runs, plain = self.words, self.runs, self.PLAIN.fullmatch
@@ -83,19 +91,20 @@ class Encoder:
         new = [r for r in new if r not in runs]
         for s in range(0, len(new), 1000):
             some = new[s : s + 1000]
-            ids = self.ids([" ".join(some)])[0]
+            ids = self.ids([" ".join(some)], bare=True)[0]
             stops = np.flatnonzero(self.ends[ids]) + 1
-            if len(stops) == len(some) and stops[-1] == len(ids):
-                raw, at = ids.tobytes(), 0
-                for run, stop in zip(some, (4 * stops).tolist(), strict=True):
-                    runs[run] = raw[at:stop]
-                    at = stop
-            else:  # a vocabulary that doesn't mark ends
-                runs.update(zip(some, (x.tobytes() for x in self.ids(some)), strict=True))
+            if len(stops) != len(some):
+                raise ValueError("a run of letters or marks has more ends than one")
+            raw, at = ids.tobytes(), 0
+            for run, stop in zip(some, (4 * stops).tolist(), strict=True):
+                runs[run] = raw[at:stop]
+                at = stop
         for w, a, b, c in wait:
             known[w] = runs[a] + runs[b] + runs[c]
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        if not self.by_runs:
+            return [x.tobytes() for x in self.ids(texts)]
         split = [folded(t).replace("\n", " ").split(" ") for t in texts]
         every = set().union(*split)
         new = every - self.words.keys()
@@ -150,10 +159,15 @@ def cut(docs: DataFrame, vocabulary: str, end_id: int, capacity: int) -> DataFra
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, PIECES)
 
 
-def fill(lengths: dict[int, int], room: int) -> list[tuple[int, int]]:
-    """Which lengths, and how many of each, come closest to ``room`` without going beyond it. lengths: how many there are."""
+def fill(lengths: dict[int, int], room: int, order: list[int] | None = None) -> list[tuple[int, int]]:
+    """Which lengths, and how many of each, come closest to ``room`` without going beyond it.
+
+    lengths: how many there are of each; order: the lengths, ascending, if they are at hand.
+    """
+    order = sorted(lengths) if order is None else order
     mask, reach, trail = (1 << (room + 1)) - 1, 1, []
-    for length in sorted((x for x in lengths if x <= room), reverse=True):
+    for k in range(bisect_right(order, room) - 1, -1, -1):
+        length = order[k]
         trail.append((length, reach))
         for _ in range(min(lengths[length], room // length)):
             wider = reach | reach << length & mask
@@ -175,17 +189,18 @@ def fill(lengths: dict[int, int], room: int) -> list[tuple[int, int]]:
 
 def pack_lengths(lengths: dict[int, int], capacity: int):
     """Yields, for each sequence, the lengths in it."""
-    lengths = dict(lengths)
+    lengths, order = dict(lengths), sorted(lengths)
 
     def take(length, n):
         lengths[length] -= n
         if not lengths[length]:
             del lengths[length]
+            del order[bisect_left(order, length)]
 
-    while lengths:
-        first = max(lengths)
+    while order:
+        first = order[-1]
         take(first, 1)
-        rest = fill(lengths, capacity - first) if capacity > first else []
+        rest = fill(lengths, capacity - first, order) if capacity > first else []
         for length, n in rest:
             take(length, n)
         yield [first, *(length for length, n in rest for _ in range(n))]
