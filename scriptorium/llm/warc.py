@@ -239,7 +239,9 @@ def archive(pages: DataFrame, at_least: int = 0, file_bytes: int = 64 << 20, roo
     top = rows.where(F.col("payload_bytes") >= at_least).groupBy(*by).agg(F.max(F.struct("page_id", "file", "ordinal")).alias("top"))
     alone = F.col("top").isNull() | ((F.col("top.file") == F.col("file")) & (F.col("top.ordinal") == F.col("ordinal")))
     decided = rows.join(top, by, "left").select("file", "ordinal", F.when(alone, "response").otherwise("revisit").alias("record_type"), F.when(~alone, F.col("top.page_id")).alias("refers_to"))
-    archives = materialise(decided.groupBy("file").applyInPandas(_normalise(root), "archive string, records long"), "archives")
+    # A file is a task, however few rows tell what becomes of its records.
+    files = max(1, rows.select("file").distinct().count())
+    archives = materialise(decided.repartition(files, "file").groupBy("file").applyInPandas(_normalise(root), "archive string, records long"), "archives")
     for info in store.get_file_info(afs.FileSelector(path)):
         if info.path.endswith(".whole.warc.gz"):
             store.delete_file(info.path)
