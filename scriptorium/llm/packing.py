@@ -15,6 +15,8 @@ from __future__ import annotations
 import json
 import os
 import re
+import sys
+import types
 import zlib
 from bisect import bisect_left, bisect_right
 from collections import defaultdict, deque
@@ -29,8 +31,8 @@ from scriptorium.llm.common import materialise
 
 #: Pieces to a group, about: enough that nearly every window is filled to the last token.
 GROUP_PIECES = 2048
-#: Distinct words whose ids a task remembers.
-MEMORY = 400_000
+#: Distinct words whose ids a worker remembers.
+MEMORY = 900_000
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, salt long"
 PLACED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -126,6 +128,14 @@ def folded(text: str) -> str:
     return text.lower()
 
 
+def encoder_of(vocabulary: str) -> Encoder:
+    """This worker process's encoder. A worker serves many tasks in turn, and what it remembers serves the next one too."""
+    held = sys.modules.setdefault("scriptorium_worker_memory", types.ModuleType("scriptorium_worker_memory")).__dict__
+    if vocabulary not in held:
+        held[vocabulary] = Encoder(vocabulary)
+    return held[vocabulary]
+
+
 def some_at_a_time(texts: list[str], most: int = 1_000_000):
     """Slices of texts of about that many characters."""
     start = size = 0
@@ -142,7 +152,7 @@ def cut(docs: DataFrame, vocabulary: str, end_id: int, capacity: int) -> DataFra
     """docs (doc_id, text) to pieces of at most ``capacity`` tokens."""
 
     def run(batches):
-        encoder, end, n = Encoder(vocabulary), np.array([end_id], "<u4").tobytes(), 0
+        encoder, end, n = encoder_of(vocabulary), np.array([end_id], "<u4").tobytes(), 0
         for batch in batches:
             out = []
             coded = (ids for some in some_at_a_time([t or "" for t in batch.column(1).to_pylist()]) for ids in encoder.encode(some))
