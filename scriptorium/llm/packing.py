@@ -32,7 +32,7 @@ from scriptorium.llm.common import materialise
 #: Pieces to a group, about: enough that nearly every window is filled to the last token.
 GROUP_PIECES = 2048
 #: Distinct words whose ids a worker remembers.
-MEMORY = 900_000
+MEMORY = 300_000
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, salt long"
 PLACED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
