@@ -54,6 +54,13 @@ def row_key(doc_id: str = "doc_id", text: str = "text") -> tuple:
     return F.xxhash64(F.col(text), F.col(doc_id)).alias("k1"), F.coalesce(F.col(doc_id).cast("long"), F.lit(-1)).alias("k2")
 
 
+def pieces(batches, rows: int = 512):
+    """Batches a few hundred rows at a time, without a copy, so that a worker never holds ten thousand texts as objects."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 class Forest:
     """Union-find over hashable, ordered nodes; the smallest node of a set is its root."""
 

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scriptorium.llm.common import materialise
+from scriptorium.llm.common import materialise, pieces
 
 #: Words that are symbols; classes of the others; latent states; documents of the first guess and rounds on them; rounds on all.
 HEAD, CLASSES, STATES, GUESS, GUESS_ROUNDS, ROUNDS = 16_384, 512, 8, 600, 12, 1
@@ -59,7 +59,7 @@ def _count(batches):
             yield pa.RecordBatch.from_arrays([pa.array(some, pa.binary()), pa.array([counts[w] for w in some], pa.int64())], ["word", "n"])
 
     counts: Counter = Counter()
-    for batch in batches:
+    for batch in pieces(batches):
         for text in batch.column(0).to_pylist():
             counts.update((text or b"").lower().split())
             counts[END] += 1
@@ -195,7 +195,7 @@ def _expect(model):
         encode = m.encoder()
         k = len(m.pi)
         pi, trans, emit = np.zeros(k), np.zeros((k, k)), np.zeros((k, m.symbols))
-        for batch in batches:
+        for batch in pieces(batches, 2048):
             for some in in_batches(batch.column(0).to_pylist(), encode):
                 for total, more in zip((pi, trans, emit), m.forward([x for _, x in some], counts=True)[1], strict=True):
                     total += more
@@ -247,7 +247,7 @@ def _score(sent):
         encode, heads = model.encoder(), len(model.head)
         # Of each frequent word: log10 of its count and one, which the base and, for a word of a class, the score add.
         logs = {w: float(np.log10(c + 1)) for w, c in known.items()}
-        for batch in batches:
+        for batch in pieces(batches, 2048):
             at = 0
             for some in in_batches(batch.column(2).to_pylist(), encode):
                 likelihood, _ = model.forward([x for _, x in some])

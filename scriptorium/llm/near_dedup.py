@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scriptorium.llm.common import Forest, components, materialise, row_key
+from scriptorium.llm.common import Forest, components, materialise, pieces, row_key
 from scriptorium.llm.substring_dedup import run_hashes, word_hasher
 
 #: Values to a sketch; of these, the smallest that serve as keys of inverted lists; classes to a tile.
@@ -54,7 +54,7 @@ def shingles(words: list[bytes], hashes, n: int) -> np.ndarray:
 def _sketch(n: int):
     def run(batches):
         hashes = word_hasher()
-        for batch in batches:
+        for batch in pieces(batches):
             sizes, digests, sketches = [], [], []
             for text in batch.column(1).to_pylist():
                 s = shingles(text.lower().split() if text else [], hashes, n)
@@ -71,7 +71,7 @@ def _sets(n: int):
 
     def run(batches):
         hashes = word_hasher()
-        for batch in batches:
+        for batch in pieces(batches):
             sets = [shingles(x.lower().split(), hashes, n).view(np.int64) for x in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], ["cls", "members"])
 

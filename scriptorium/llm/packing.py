@@ -27,12 +27,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scriptorium.llm.common import materialise
+from scriptorium.llm.common import materialise, pieces
 
 #: Pieces to a group, about: enough that nearly every window is filled to the last token.
 GROUP_PIECES = 2048
 #: Distinct words whose ids a worker remembers.
-MEMORY = 300_000
+MEMORY = 250_000
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, salt long"
 PLACED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -153,7 +153,7 @@ def cut(docs: DataFrame, vocabulary: str, end_id: int, capacity: int) -> DataFra
 
     def run(batches):
         encoder, end, n = encoder_of(vocabulary), np.array([end_id], "<u4").tobytes(), 0
-        for batch in batches:
+        for batch in pieces(batches):
             out = []
             coded = (ids for some in some_at_a_time([t or "" for t in batch.column(1).to_pylist()]) for ids in encoder.encode(some))
             for doc, ids in zip(batch.column(0).to_pylist(), coded, strict=True):

@@ -29,10 +29,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scriptorium.llm.common import materialise, row_key
+from scriptorium.llm.common import materialise, pieces, row_key
 
 #: Words whose hash a task remembers.
-MEMORY = 500_000
+MEMORY = 300_000
 #: Bits of a word's place in the hashes that are compared, and of a super-k-mer's pivot and windows in its code.
 PLACES, BITS = 26, 10
 OPEN, KNOWN, MARKER = 0, 1, 2
@@ -109,7 +109,7 @@ def _first_pass(k: int, m: int):
     def run(batches):
         hashes = word_hasher()
         parts, size = [], 0
-        for batch in batches:
+        for batch in pieces(batches):
             ids = [batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1)]
             for i, text in enumerate(batch.column(2).to_pylist()):
                 words = text.split() if text else ()
@@ -250,7 +250,7 @@ def _apply(k: int):
     """Rows (doc_id, text, found) to what is left of each document."""
 
     def run(batches):
-        for batch in batches:
+        for batch in pieces(batches):
             counts, removed, texts = [], [], []
             for text, found in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 words = text.split() if text else []

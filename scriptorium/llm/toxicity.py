@@ -27,12 +27,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scriptorium.llm.common import materialise
+from scriptorium.llm.common import materialise, pieces
 
 #: Labelled documents to learn from; entries of the lexicon; the shortest and longest word beginnings that are entries.
 SAMPLE, ENTRIES, SHORTEST, LONGEST = 20_000, 20_000, 4, 9
 #: Words whose symbol a task remembers.
-MEMORY = 400_000
+MEMORY = 150_000
 
 THREATS = "kill hurt destroy shoot stab punch beat burn hang murder strangle bomb töten schlagen umbringen vernichten tuer frapper détruire matar golpear destruir".split()
 TARGETS = "you your yours yourself he she they them him her his their people everyone du dich dir dein euch ihr sie tu toi vous ton votre ils elles tú usted ustedes ellos ellas".split()
@@ -155,7 +155,7 @@ def sample_of(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
 
 def _signature(batches):
     """(text, toxic) to (signature, toxic, text): near copies mostly share the smallest hash of their word triples."""
-    for batch in batches:
+    for batch in pieces(batches):
         marks = []
         for text in batch.column(0).to_pylist():
             words = text.lower().split()
@@ -171,7 +171,7 @@ def _vocabulary(batches):
         every = list(counts[0].keys() | counts[1].keys())
         return pa.RecordBatch.from_arrays([pa.array(every, pa.string()), *(pa.array([counts[t][e] for e in every], pa.int64()) for t in (1, 0))], ["entry", "n1", "n0"])
 
-    for batch in batches:
+    for batch in pieces(batches):
         for toxic, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             counts[toxic].update({e for w in {plain(w) for w in text.split()} for e in entries_of(w)})
         if len(counts[0]) + len(counts[1]) > 500_000:
@@ -230,7 +230,7 @@ def _features(lexicon):
 def _score(lexicon, weights):
     def run(batches):
         reader, w = Reader(lexicon), np.array(weights)
-        for batch in batches:
+        for batch in pieces(batches):
             if len(w):
                 x = np.array([reader.features(t) for t in batch.column(2).to_pylist()]).reshape(-1, FEATURES)
                 score = 1 / (1 + np.exp(-np.clip(x @ w[:-1] + w[-1], -30, 30)))
@@ -257,7 +257,7 @@ def reject(docs: DataFrame, labels: DataFrame, at: float = 0.5, most: int = SAMP
 
     def run(batches):
         reader, w = Reader(lexicon), np.array(weights)
-        for batch in batches:
+        for batch in pieces(batches):
             if len(w):
                 x = np.array([reader.features(t) for t in batch.column(text_at).to_pylist()]).reshape(-1, FEATURES)
                 clean = 1 / (1 + np.exp(-np.clip(x @ w[:-1] + w[-1], -30, 30))) < at
