@@ -209,11 +209,12 @@ def fit(x: np.ndarray, y: np.ndarray, ridge: float = 0.5, rounds: int = 60) -> n
 def learn(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> tuple[dict[str, float], list[float]]:
     """The lexicon and the weights; empty without rows of both labels."""
     signed = sample_of(docs, labels, most).mapInArrow(_signature, "signature long, toxic int, text string")
-    some = materialise(signed.dropDuplicates(["signature", "toxic"]).select("toxic", "text"), "labelled")
+    some = materialise(signed.groupBy("signature", "toxic").agg(F.min("text").alias("text")).select("toxic", "text"), "labelled")
     lexicon = learn_lexicon(some)
     if not lexicon:
         return {}, []
     rows = some.select("toxic", "text").mapInArrow(_features(lexicon), "toxic int, features array<double>").collect()
+    rows.sort(key=lambda r: (r["features"], r["toxic"]))  # sums in one order, so that reruns agree to the last bit
     x, y = np.array([r["features"] for r in rows]), np.array([r["toxic"] for r in rows], float)
     return lexicon, fit(x, y).tolist()
 
