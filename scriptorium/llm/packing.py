@@ -15,6 +15,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import string
 import zlib
 from bisect import bisect_left, bisect_right
 from collections import defaultdict, deque
@@ -29,23 +30,65 @@ from scriptorium.llm.common import materialise, pieces
 
 #: Pieces to a group, about: enough that nearly every window is filled to the last token.
 GROUP_PIECES = 2048
-#: Distinct words whose ids a task remembers.
-MEMORY = 250_000
+#: Distinct runs whose ids a task remembers.
+MEMORY = 400_000
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, salt long"
 PLACED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
+def kinds() -> np.ndarray:
+    """What each byte of UTF-8 is: 0 white space, 1 a letter, 2 a mark, 3 a digit, 4 anything that only the tokenizer can tell."""
+    kind = np.full(256, 4, np.uint8)
+    for k, members in enumerate([string.whitespace, string.ascii_letters, string.punctuation.replace("'", ""), string.digits]):
+        kind[list(members.encode())] = k
+    return kind
+
+
+KIND = kinds()
+#: By 5 * (kind before) + kind: whether a run begins. Digits stand alone; next to kind 4 only white space is a border.
+BEGINS = np.array([k > 0 and (b == 0 or b < 4 and k < 4 and (b != k or k == 3)) for b in range(5) for k in range(5)])
+LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8)
+
+
+def runs_of(data: np.ndarray, starts: np.ndarray) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """The runs in UTF-8 ``data``, in lower case where they are plain, and how many lie before each text of ``starts``."""
+    kind = KIND[data]
+    lead = np.flatnonzero(data[:-1] == 0xC3)  # of U+00C0 to U+00FF: letters but for two signs
+    tail = data[lead + 1]
+    lead = lead[(tail >= 0x80) & (tail <= 0xBF) & (tail != 0x97) & (tail != 0xB7)]
+    kind[lead] = kind[lead + 1] = 1
+    before = np.zeros_like(kind)
+    before[1:] = kind[:-1]
+    begins = BEGINS[before * 5 + kind]
+    inside = starts[starts < len(data)]
+    begins[inside] = kind[inside] > 0
+    first = np.searchsorted(np.flatnonzero(begins), starts)
+
+    full = kind > 0
+    data, begins, kind = data[full], np.flatnonzero(begins[full]), kind[full]
+    ends = np.append(begins, len(data)).astype(np.int32)
+    if len(begins):
+        small = LOWER[data]
+        tail = np.flatnonzero(data[:-1] == 0xC3) + 1
+        small[tail[(data[tail] >= 0x80) & (data[tail] <= 0x9E) & (data[tail] != 0x97)]] += 0x20
+        odd = np.logical_or.reduceat(kind == 4, begins)
+        data = np.where(np.repeat(odd, np.diff(ends)), data, small)
+    runs = pa.Array.from_buffers(pa.binary(), len(begins), [None, pa.py_buffer(ends), pa.py_buffer(data)])
+    return runs.dictionary_encode(), first
+
+
 class Encoder:
-    """Texts to little-endian 32-bit ids.
+    """Texts to 32-bit ids.
 
-    The tokenizer drops white space and codes each run of letters or marks by itself, so a text's ids are those of its words
-    in a row, and a plain word's those of its marks, letters and marks. Both are remembered (a bounded number); unknown
-    runs go to the tokenizer many at a time, and the ids that end a run tell where each one's ids stop. Words with anything
-    but marks around Latin letters go to it as they are, and so do whole texts if the vocabulary has no ends of runs. vocabulary: a file's path, or the name of a public tokenizer.
+    The tokenizer drops white space and codes each run of letters, run of marks and digit by itself, so a text's ids are
+    those of its runs in a row. Runs are found in the bytes, told apart by a dictionary and remembered (a bounded number);
+    unknown ones go to the tokenizer many at a time, and the ids that end a run tell where each one's ids stop. What lies
+    between white space and holds an apostrophe or anything but ASCII and Latin letters goes to it as it is, and so do whole
+    texts if the vocabulary has no ends of runs. vocabulary: a file's path, or the name of a public tokenizer.
     """
 
-    PLAIN = re.compile(r"([!-&(-/:-@\[-`{-~]*)([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:-@\[-`{-~]*)")
+    PLAIN = re.compile(rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+|[!-&(-/:-@\[-`{-~]+|[0-9]")
 
     def __init__(self, vocabulary: str):
         from tokenizers import Tokenizer
@@ -65,77 +108,90 @@ class Encoder:
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
         for token, i in self.tokenizer.get_vocab().items():
             self.ends[i] = token.endswith("</w>")
-        self.words: dict[str, bytes] = {"": b""}
-        self.runs: dict[str, bytes] = {"": b""}
+        self.forget()
+
+    def forget(self) -> None:
+        #: Each run's place in ``stops``; its ids end there and begin at the stop before.
+        self.runs: dict[bytes, int] = {}
+        self.stops, self.flat = np.zeros(1, np.int64), np.zeros(0, np.uint32)
 
     def ids(self, texts: list[str], bare: bool = False) -> list[np.ndarray]:
-        return [np.array(e.ids, "<u4") for e in (self.bare if bare else self.tokenizer).encode_batch_fast(texts, add_special_tokens=False)]
-
-    def learn(self, words) -> None:
-        known, runs, plain = self.words, self.runs, self.PLAIN.fullmatch
-        wait, new, odd = [], set(), []
-        for w in words:
-            m = plain(w)
-            if m is None:
-                odd.append(w)
-                continue
-            a, b, c = m.groups()
-            b = b.lower()
-            if a in runs and b in runs and c in runs:
-                known[w] = runs[a] + runs[b] + runs[c]
-            else:
-                wait.append((w, a, b, c))
-                new.update((a, b, c))
-        for w, ids in zip(odd, self.ids(odd), strict=True):
-            known[w] = ids.tobytes()
-        new = [r for r in new if r not in runs]
-        for s in range(0, len(new), 1000):
-            some = new[s : s + 1000]
-            ids = self.ids([" ".join(some)], bare=True)[0]
-            stops = np.flatnonzero(self.ends[ids]) + 1
-            if len(stops) != len(some):
+        return [np.array(e.ids, np.uint32) for e in (self.bare if bare else self.tokenizer).encode_batch_fast(texts, add_special_tokens=False)]
+
+    def learn(self, new: list[bytes]) -> None:
+        plain, odd = [], []
+        for r in new:
+            (plain if self.PLAIN.fullmatch(r) else odd).append(r)
+        flat, stops, at = [self.flat], [self.stops], len(self.flat)
+        for s in range(0, len(plain), 1000):
+            ids = self.ids([b" ".join(plain[s : s + 1000]).decode()], bare=True)[0]
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) != len(plain[s : s + 1000]):
                 raise ValueError("a run of letters or marks has more ends than one")
-            raw, at = ids.tobytes(), 0
-            for run, stop in zip(some, (4 * stops).tolist(), strict=True):
-                runs[run] = raw[at:stop]
-                at = stop
-        for w, a, b, c in wait:
-            known[w] = runs[a] + runs[b] + runs[c]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        if not self.by_runs:
-            return [x.tobytes() for x in self.ids(texts)]
-        split = [folded(t).replace("\n", " ").split(" ") for t in texts]
-        every = set().union(*split)
-        new = every - self.words.keys()
-        if len(self.words) + len(new) > MEMORY:
-            self.words, new = {"": b""}, every - {""}
-            self.runs = self.runs if len(self.runs) < MEMORY else {"": b""}
+            flat.append(ids)
+            stops.append(ends + at)
+            at += len(ids)
+        coded = self.ids([r.decode(errors="replace") for r in odd])
+        flat += coded
+        stops.append(at + np.cumsum([len(x) for x in coded], dtype=np.int64))
+        for r in plain + odd:
+            self.runs[r] = len(self.runs) + 1
+        self.flat, self.stops = np.concatenate(flat), np.concatenate(stops)
+
+    def encode_bytes(self, data: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
+        """The ids of each of the texts that begin at ``starts`` and fill ``data``."""
+        runs, first = runs_of(data, starts)
+        every = runs.dictionary.to_pylist()
+        new = [r for r in every if r not in self.runs]
+        if len(self.runs) + len(new) > MEMORY:
+            self.forget()
+            new = every
         if new:
             self.learn(new)
-        return [b"".join(map(self.words.__getitem__, words)) for words in split]
-
-
-def folded(text: str) -> str:
-    """In lower case where that is sure to be what the tokenizer makes of it: one letter for one, none with two forms."""
-    if not text.isascii():
-        try:
-            text.encode("latin-1")
-        except UnicodeEncodeError:
-            return text
-    return text.lower()
-
-
-def some_at_a_time(texts: list[str], most: int = 1_000_000):
-    """Slices of texts of about that many characters."""
-    start = size = 0
-    for i, t in enumerate(texts):
-        size += len(t)
-        if size >= most:
-            yield texts[start : i + 1]
-            start, size = i + 1, 0
-    if start < len(texts):
-        yield texts[start:]
+        place = np.fromiter(map(self.runs.__getitem__, every), np.int64, len(every))[runs.indices.to_numpy()]
+        begin = self.stops[place - 1]
+        length = self.stops[place] - begin
+        end = np.concatenate([[0], np.cumsum(length)])
+        ids = self.flat[np.repeat(begin - end[:-1], length) + np.arange(end[-1])]
+        return np.split(ids, end[first[1:]])
+
+    def encode(self, texts: pa.Array):
+        """Yields the ids of each text; a null is empty."""
+        texts = texts.cast(pa.string()).fill_null("") if len(texts) else texts
+        if not self.by_runs:
+            yield from self.ids(texts.to_pylist())
+            return
+        _, offsets, data = texts.buffers()
+        offsets = np.frombuffer(offsets, np.int32)[texts.offset : texts.offset + len(texts) + 1].tolist() if len(texts) else [0]
+        data = np.frombuffer(data if data is not None else b"", np.uint8)
+        parts = []
+        for some in some_at_a_time(data, offsets):
+            coded = self.encode_bytes(data[some[0][1] : some[-1][2]], np.array([start - some[0][1] for _, start, _ in some]))
+            for (last, _, _), ids in zip(some, coded, strict=True):
+                parts.append(ids)
+                if last:
+                    yield np.concatenate(parts) if len(parts) > 1 else ids
+                    parts = []
+
+
+def some_at_a_time(data: np.ndarray, offsets: list[int], most: int = 2_000_000):
+    """Lists of (whether a text ends here, start, end), of about ``most`` bytes unless one text is longer.
+
+    A long text is cut at white space, so that what is made of it byte by byte stays small.
+    """
+    some = []
+    for start, end in zip(offsets, offsets[1:], strict=False):
+        while start is not None:
+            stop = min(start + most, end)
+            while stop < end and KIND[data[stop]]:
+                stop += 1
+            some.append((stop == end, start, stop))
+            if stop - some[0][1] >= most:
+                yield some
+                some = []
+            start = stop if stop < end else None
+    if some:
+        yield some
 
 
 def cut(docs: DataFrame, vocabulary: str, end_id: int, capacity: int) -> DataFrame:
@@ -145,13 +201,11 @@ def cut(docs: DataFrame, vocabulary: str, end_id: int, capacity: int) -> DataFra
         encoder, end, n = Encoder(vocabulary), np.array([end_id], "<u4").tobytes(), 0
         for batch in pieces(batches):
             out = []
-            coded = (ids for some in some_at_a_time([t or "" for t in batch.column(1).to_pylist()]) for ids in encoder.encode(some))
-            for doc, ids in zip(batch.column(0).to_pylist(), coded, strict=True):
-                ids += end
-                total = len(ids) // 4
+            for doc, ids in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1)), strict=True):
+                total = len(ids) + 1
                 for s in range(0, total, capacity):
-                    piece = ids[4 * s : 4 * (s + capacity)]
-                    out.append((doc, s, len(piece) // 4, zlib.crc32(piece), total, n))
+                    length, crc = min(capacity, total - s), zlib.crc32(ids[s : s + capacity].astype("<u4", copy=False))
+                    out.append((doc, s, length, zlib.crc32(end, crc) if s + length == total else crc, total, n))
                     n += 1
             names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "salt"]
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (zip(*out, strict=True) if out else [[]] * 6)], names)

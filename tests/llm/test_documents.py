@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tests.conftest import SMALL
@@ -248,6 +249,20 @@ def test_packing(documents, odd, none):
     assert packing.pack(none).count() == 0
 
 
+def test_encoder_is_the_tokenizer():
+    rng = random.Random(1)
+    signs = [*"abcXYZ0189!.,<>'`~[]{}@# \n\t\r\x0b\x0c\x1c\x00", *"\u00e9\u00c9\u00d6\u00df\u00d7\u00f7\u00ff\u00c0\u00aa\u00ba\u00b5\u00bd\u00b2\u0301\u0338\u00a0\u0085\u3000\u2014\u2019\u0130\u03a3\u6f22\ud55c\u200d\u20e3\u212a\ufb01\u017f\U0001f600", "'s", "'LL", "<|endoftext|>"]
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randrange(40))) for _ in range(3000)] + [None, ""]
+    encoder = packing.Encoder("word_bpe_49k.json")
+    want = [x.tolist() for x in encoder.ids([t or "" for t in texts])]
+    assert [x.tolist() for x in encoder.encode(pa.array(texts))] == want
+    assert [x.tolist() for x in encoder.encode(pa.array(texts).slice(100, 50))] == want[100:150]
+    assert not list(encoder.encode(pa.array([], pa.string())))
+    whole = np.frombuffer(" ".join(["word"] * 50).encode(), np.uint8)
+    cuts = [u for some in packing.some_at_a_time(whole, [0, 120, 120, len(whole)], most=15) for u in some]
+    assert [u[1] for u in cuts[1:]] == [u[2] for u in cuts[:-1]] and sum(u[0] for u in cuts) == 3 and max(u[2] - u[1] for u in cuts) < 20
+
+
 def test_fill_is_the_best_subset():
     rng = random.Random(2)
     for _ in range(60):
