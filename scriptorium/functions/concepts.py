@@ -8,12 +8,16 @@ from typing import Protocol
 from pyspark.sql import functions as F
 
 from scriptorium.functions.phrases import VERBS, pos
+from scriptorium.functions.tagging import TAG
 from scriptorium.functions.text import STOPWORDS, sentences, tokens
 
 #: Words that deny.
 NEGATIONS = frozenset(("no", "not", "n't", "never", "none", "false"))
 AUXILIARIES = frozenset("is are was were be been being has have had do does did can could may might must should will would".split())
-CONCEPT = "struct<subject:string,subject_range:struct<start:int,end:int>,object:string,object_range:struct<start:int,end:int>,verb:string,verb_path:array<string>,negated:boolean,sentence_text:string,sentence:int>"
+CONCEPT = "struct<subject:string,subject_range:struct<start:int,end:int>,object:string,object_range:struct<start:int,end:int>,verb:string,verb_path:array<string>,negated:boolean,sentence_text:string,sentence:int"
+#: With the tags of subject and object by category, as the whole analysis has them.
+TAGGED_CONCEPT = f"{CONCEPT},subject_tags:map<string,array<{TAG}>>,object_tags:map<string,array<{TAG}>>>"
+CONCEPT += ">"
 
 
 @dataclass
@@ -76,6 +80,21 @@ def document_concepts(text: str | None) -> list[dict]:
     return [c for k, (a, b) in enumerate(sentences(text or "")) for c in concepts(text[a:b], k)]
 
 
+def tags_by_category(tags: list[dict], span: dict) -> dict[str, list[dict]]:
+    """The tags inside a span, ends included, by category; both count from the start of the sentence."""
+    out: dict[str, list[dict]] = {}
+    for t in tags:
+        if span["start"] <= t["start"] and t["end"] <= span["end"]:
+            out.setdefault(t["category"], []).append(t)
+    return out
+
+
+def on_content(tags: list[dict], parsed: list[Token]) -> list[dict]:
+    """Tags over a noun or an adjective; both count from the start of the sentence."""
+    held = [(t.idx, t.idx + len(t.text)) for t in parsed if t.pos in ("NOUN", "ADJ")]
+    return [g for g in tags if any(a < g["end"] and g["start"] < b for a, b in held)]
+
+
 def find_concepts():
     return F.udf(document_concepts, f"array<{CONCEPT}>", useArrow=True)
 
@@ -85,6 +104,12 @@ def plain_text(words):
     return F.array_join(F.transform(F.filter(words, lambda w: w.rlike("[A-Za-z0-9]") & ~F.lower(w).isin(*STOPWORDS)), lambda w: F.replace(w, F.lit(" "), F.lit("_"))), " ")
 
 
+def plain_tagged(text: str) -> str:
+    """The kept tokens, a line for each sentence."""
+    kept = lambda s: [w.replace(" ", "_") for _, w in tokens(s) if w[0].isalnum() and w.lower() not in STOPWORDS]
+    return "\n".join(" ".join(kept(text[a:b])) for a, b in sentences(text))
+
+
 def pos_tagged(text: str) -> str:
     """text|POS of the kept tokens, a line for each sentence."""
     lines = []

@@ -139,4 +139,4 @@ def closes_at(word: str, first: int | None = 0) -> int | None:
 
 
 def plain_analysis_schema(tag: str, concept: str) -> str:
-    return f"struct<chunks:array<string>,recurring_chunks:array<string>,top_chunks:array<string>,abbreviations:array<struct<short:string,long:string>>,concepts:array<{concept}>,tagged_entities:array<{tag}>,tagged_text:string>"
+    return f"struct<chunks:array<string>,recurring_chunks:array<string>,top_chunks:array<string>,abbreviations:array<struct<short:string,long:string>>,concepts:array<{concept}>,tagged_entities:array<{tag}>,tagged_entities_grouped:map<string,array<{tag}>>,tagged_text:string,embedding_text:struct<plain:string,pos_tag:string,ent_tag:string>>"

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from scriptorium.functions.tagging import TAG
 from scriptorium.functions.text import split_tagged
 
 
@@ -25,7 +26,15 @@ def union_all(*frames: DataFrame) -> DataFrame:
 def self_tag(text):
     """The CONCEPT tag of a subject or object."""
     none = F.lit(None).cast("int")
-    return F.struct(F.lit("CONCEPT").alias("category"), none.alias("end"), text.alias("label"), text.alias("match"), text.alias("original_value"), F.replace(text, F.lit(" "), F.lit("_")).alias("reference"), F.lit("").alias("reference_db"), none.alias("sentence"), none.alias("start"))
+    own = {"match": text, "start": none, "end": none, "category": F.lit("CONCEPT"), "reference_db": F.lit(""), "reference": F.replace(text, F.lit(" "), F.lit("_")), "original_value": text, "label": text, "sentence": none}
+    return F.struct(*[c.alias(name) for name, c in own.items()])
+
+
+def with_self_tag(tags, text):
+    """A map of tags by category, and the self tag under CONCEPT."""
+    own = F.create_map(F.lit("CONCEPT"), F.array(self_tag(text).cast(TAG)))
+    rest = F.map_filter(F.coalesce(tags, F.create_map().cast(f"map<string,array<{TAG}>>")), lambda k, _: k != "CONCEPT")
+    return F.map_concat(rest, own)
 
 
 def relations(subjects, objects):
@@ -37,11 +46,15 @@ def relations(subjects, objects):
 
 
 def concept_rows(enriched: DataFrame) -> DataFrame:
-    """A row per concept with its self tags and relations: concept, pub_id, date (the publication's), abbreviations."""
+    """A row per concept with its tags, self tags included, and the relations of their references: concept, pub_id,
+    date (the publication's), abbreviations.
+    """
     nlp = F.col("text_mined_entities.nlp")
     rows = enriched.select("pub_id", F.col("pub_date").alias("date"), nlp["abbreviations"].alias("abbreviations"), F.explode(nlp["concepts"]).alias("c"))
-    reference = lambda x: F.array(F.replace(x, F.lit(" "), F.lit("_")))
-    concept = F.col("c").withField("subject_tags", F.create_map(F.lit("CONCEPT"), F.array(self_tag(F.col("c.subject"))))).withField("object_tags", F.create_map(F.lit("CONCEPT"), F.array(self_tag(F.col("c.object"))))).withField("relations", relations(reference(F.col("c.subject")), reference(F.col("c.object"))))
+    tagged = F.col("c").withField("subject_tags", with_self_tag(F.col("c.subject_tags"), F.col("c.subject"))).withField("object_tags", with_self_tag(F.col("c.object_tags"), F.col("c.object")))
+    rows = rows.withColumn("c", tagged)
+    references = lambda tags: F.transform(F.flatten(F.map_values(tags)), lambda t: t["reference"])
+    concept = F.col("c").withField("relations", relations(references(F.col("c.subject_tags")), references(F.col("c.object_tags"))))
     return rows.select(concept.alias("concept"), "pub_id", "date", "abbreviations")
 
 

@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import argparse
+import logging
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructField, StructType
 
 from scriptorium.functions import abbreviations, concepts, phrases, tagging
 from scriptorium.functions.text import normalise, plain_analysis_schema, sentences, text_to_analyze
@@ -13,33 +17,82 @@ from scriptorium.operators import relational
 from scriptorium.sources import records
 
 
+log = logging.getLogger(__name__)
+
+NLP = plain_analysis_schema(tagging.TAG, concepts.TAGGED_CONCEPT)
+NOUN_PHRASES = "struct<chunks:array<string>,recurring_chunks:array<string>,top_chunks:array<string>,abbreviations:array<struct<short:string,long:string>>>"
+#: Enriched records, as they are written and read again.
+ENRICHED = f"{records.PUBLICATION}, text_mined_entities struct<nlp:{NLP},noun_phrases:{NOUN_PHRASES}>"
+
+
 def enrich(publications: DataFrame, dictionary: list[tuple] = ()) -> DataFrame:
-    """text_mined_entities for each publication; a record without a text keeps an empty analysis."""
+    """text_mined_entities for each publication; one without a text, or whose analysis fails, keeps an empty analysis.
+
+    The analysis is a column beside those of the publication: nothing is joined, and rows without an id or with the id of
+    another keep their own. dictionary: entries that fit a worker's memory, see ``load_dictionary``.
+    """
     sent = publications.sparkSession.sparkContext.broadcast(list(dictionary))
+    kind = StructType.fromDDL(f"nlp {NLP}")["nlp"].dataType
+    schema = StructType([*publications.schema.fields, StructField("nlp", kind)])
 
     def run(batches):
-        tagger = tagging.Tagger(sent.value)
-        for pdf in batches:
-            pdf["nlp"] = pdf["text"].map(lambda t: analyse(t, tagger) if t else None)
-            yield pdf[["pub_id", "nlp"]]
+        tagger, arrow = tagging.Tagger(sent.value), to_arrow_type(kind)
+        for batch in batches:
+            mined = [attempt(t, tagger) for t in batch.column(batch.num_columns - 1).to_pylist()]
+            names = [*batch.schema.names[:-1], "nlp"]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(mined, arrow)], names)
+
+    text = publications.withColumn("nlp", normalise(text_to_analyze(F.col("title"), F.col("abstract"))))
+    mined = text.mapInArrow(run, schema)
+    return mined.withColumn("text_mined_entities", F.struct("nlp", F.struct("nlp.chunks", "nlp.recurring_chunks", "nlp.top_chunks", "nlp.abbreviations").alias("noun_phrases"))).drop("nlp")
+
+
+def attempt(text: str | None, tagger) -> dict | None:
+    """The analysis; a text that it fails on is logged and stays without one."""
+    try:
+        return analyse(text, tagger) if text else None
+    except Exception:
+        log.exception("analysis failed")
+        return None
+
 
-    text = publications.select("pub_id", normalise(text_to_analyze(F.col("title"), F.col("abstract"))).alias("text"))
-    mined = text.mapInPandas(run, f"pub_id string, nlp {plain_analysis_schema(tagging.TAG, concepts.CONCEPT)}")
-    return publications.join(mined, "pub_id").withColumn("text_mined_entities", F.struct("nlp", F.struct("nlp.chunks", "nlp.recurring_chunks", "nlp.top_chunks", "nlp.abbreviations").alias("noun_phrases"))).drop("nlp")
+def load_dictionary(spark: SparkSession, *paths: str, most: int = 5_000_000) -> list[tuple]:
+    """The admitted entries of dictionary files. Every worker holds them all, so more than ``most`` are refused."""
+    entries = tagging.build_dictionary(records.read_dictionary(spark, *paths))
+    n = entries.count()
+    if n > most:
+        raise ValueError(f"{n} dictionary entries; workers are sent at most {most}")
+    rows = entries.select("surface", "label", "category", "reference_db", "ids").orderBy("idx", "surface").collect()
+    return [tuple(r) for r in rows]
 
 
 def analyse(text: str, tagger) -> dict:
     found = abbreviations.abbreviations(text)
     forms = abbreviations.as_map(found)
-    tags = [t for t in tagging.drop_known_acronyms(tagger.tag(text), forms, text) if tagging.agrees_in_case(t)]
-    for k, (a, b) in enumerate(sentences(text)):
+    spans = sentences(text)
+    shift = lambda tags, by: [t | {"start": t["start"] + by, "end": t["end"] + by} for t in tags]
+    within = lambda tags, a, b: [t for t in tags if a <= t["start"] and t["end"] <= b]
+    found_tags = tagger.tag(text)
+    on_nouns = [t for a, b in spans for t in shift(concepts.on_content(shift(within(found_tags, a, b), -a), concepts.RuleBackend().parse(text[a:b])), a)]
+    tags = [t for t in tagging.drop_known_acronyms(on_nouns, forms, text) if tagging.agrees_in_case(t)]
+    said, lines = [], []
+    for k, (a, b) in enumerate(spans):
         mine = [t for t in tags if a <= t["start"] and t["end"] <= b and t["sentence"] is None]
         for t in mine:
             t["sentence"] = k
+        local = shift(mine, -a)
+        lines.append(concepts.entity_tagged(text[a:b], local))
+        for c in concepts.concepts(text[a:b], k):
+            said.append(c | {f"{x}_tags": list(concepts.tags_by_category(local, c[f"{x}_range"]).items()) for x in ("subject", "object")})
         if {"GENE", "DISEASE"} <= {t["category"] for t in mine}:
             tags.append({"match": text[a:b], "start": a, "end": b, "category": "TARGET&DISEASE", "reference_db": "TARGET&DISEASE", "reference": "", "original_value": text[a:b], "label": "target-disease", "sentence": k})
     chunked = phrases.chunk(text, forms)
-    return chunked | {"abbreviations": [{"short": s, "long": x} for s, x in found], "concepts": concepts.document_concepts(text), "tagged_entities": tags, "tagged_text": tagging.mark(text, [t for t in tags if t["category"] != "TARGET&DISEASE"])}
+    grouped: dict[str, list[dict]] = {}
+    for t in tags:
+        grouped.setdefault(f"{t['category']}|{t['reference_db']}", []).append(t)
+    marked = tagging.mark(text, [t for t in tags if t["category"] != "TARGET&DISEASE"])
+    emitted = {"plain": concepts.plain_tagged(text), "pos_tag": concepts.pos_tagged(text), "ent_tag": "\n".join(lines)}
+    return chunked | {"abbreviations": [{"short": s, "long": x} for s, x in found], "concepts": said, "tagged_entities": tags, "tagged_entities_grouped": list(grouped.items()), "tagged_text": marked, "embedding_text": emitted}
 
 
 def newest(*frames: DataFrame) -> DataFrame:
@@ -50,12 +103,12 @@ def run(spark: SparkSession, baseline=None, updates=None, enriched=None, output_
     if not (baseline or updates or enriched):
         raise ValueError("one of baseline, updates and enriched is needed")
     if enriched:
-        done = spark.read.parquet(enriched)
+        done = records.read_enriched(spark, enriched, ENRICHED)
     else:
         done = enrich(newest(*[records.read_records(spark, p) for p in (baseline, updates) if p]), dictionary)
     if output_enriched:
-        done.write.mode("overwrite").parquet(output_enriched)
-        done = spark.read.parquet(output_enriched)
+        records.write_json(done, output_enriched)
+        done = records.read_enriched(spark, output_enriched, ENRICHED)
     if output_splitted:
         for name, split in (("concepts", relational.concept_rows), ("bioentities", relational.bioentity_rows), ("taggedtext", relational.tagged_text_rows), ("small", relational.small_rows)):
             records.write_json(split(done), f"{output_splitted}_{name}")
@@ -66,8 +119,11 @@ def main(args: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser()
     for name in ("input_baseline", "input_updates", "input_enriched", "output_enriched", "output_splitted"):
         parser.add_argument(f"--{name}")
+    parser.add_argument("--dictionary", nargs="*", default=[], help="files CATEGORY-DB.json")
     a = parser.parse_args(args)
-    run(SparkSession.builder.getOrCreate(), a.input_baseline, a.input_updates, a.input_enriched, a.output_enriched, a.output_splitted)
+    spark = SparkSession.builder.getOrCreate()
+    entries = load_dictionary(spark, *a.dictionary) if a.dictionary else ()
+    run(spark, a.input_baseline, a.input_updates, a.input_enriched, a.output_enriched, a.output_splitted, entries)
 
 
 if __name__ == "__main__":
