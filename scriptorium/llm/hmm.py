@@ -5,9 +5,10 @@ belongs to one of ``CLASSES`` classes (by a hash of its last letters, which the
 probability within the class is (count + 1) / (words of the class + distinct words of the class + 1), an unseen word's
 1 / the same, so each class keeps a share for what it hasn't seen. The latent states emit symbols; transitions, emissions and
 initial states are re-estimated from expected counts that all partitions compute on all training documents and that are
-summed by blocks of symbols before they reach the driver, whose model has a fixed size whatever the corpus. The first guess
-comes from Baum-Welch on a bounded sample (``GUESS`` documents in expectation, chosen by a hash). A document's score is the exact likelihood of its symbols
-by the scaled forward recursion, plus its words' probabilities within their classes, in log10.
+summed by blocks of symbols before they reach the driver, whose model has a fixed size whatever the corpus. Rounds go on, each
+over all training documents, until the likelihood settles (``SETTLED``). Documents are turned into symbols once, and the rounds
+and the scoring read those. A document's score is the exact likelihood of its symbols by the scaled forward recursion, plus
+its words' probabilities within their classes, in log10.
 
 Word counts beyond the head never reach the driver or a broadcast: the rare words of documents meet their counts in a join.
 
@@ -19,6 +20,7 @@ columns don't matter.
 
 from __future__ import annotations
 
+import gc
 import zlib
 from collections import Counter
 
@@ -29,15 +31,17 @@ from pyspark.sql import functions as F
 
 from scriptorium.llm.common import materialise, pieces
 
-#: Words that are symbols; classes of the others; latent states; documents of the first guess and rounds on them; rounds on all.
-HEAD, CLASSES, STATES, GUESS, GUESS_ROUNDS, ROUNDS = 16_384, 512, 8, 600, 12, 1
+#: Words that are symbols; classes of the others; latent states.
+HEAD, CLASSES, STATES = 16_384, 512, 8
+#: Training ends with the round that raises the log likelihood of all training documents by less than this share of it.
+SETTLED = 1e-4
 #: Frequent words whose counts are sent to all tasks (a few MB); the others' are joined.
 KNOWN = 131_072
 #: Distinct words that a task counts before it sends them on.
 MEMORY = 400_000
 END = b"\n"
-#: Documents to a step of the recursion, words of a document to one symbol block.
-TOGETHER, BLOCK = 256, 1024
+#: Documents to a step of the recursion, steps to a scaling of it, words of a document to one symbol block.
+TOGETHER, SCALED, BLOCK = 512, 4, 1024
 
 
 def held_out(doc_id: str = "doc_id"):
@@ -108,54 +112,68 @@ class Model:
     def forward(self, docs: list[np.ndarray], counts: bool = False):
         """Log10 likelihood of each symbol sequence; with counts, expected (pi, trans, emit) counts too.
 
-        Documents of like length go through the recursion together, a row each; every step is scaled to sum to 1.
+        Documents of like length go through the recursion together, a row each; every few steps are scaled to sum to 1.
+        Arrays hold a row for each symbol, ordered by its place in its document, then by document, the longest first.
         """
         out = np.zeros(len(docs))
         k = len(self.pi)
         totals = (np.zeros(k), np.zeros((k, k)), np.zeros((k, self.symbols))) if counts else None
         order = sorted(range(len(docs)), key=lambda i: -len(docs[i]))
-        byte = np.ascontiguousarray(self.emit.T)
+        while order and not len(docs[order[-1]]):
+            order.pop()
+        emitted, back = np.ascontiguousarray(self.emit.T), np.ascontiguousarray(self.trans.T)
         s = 0
         while s < len(order):
             longest = len(docs[order[s]])
-            some = order[s : s + max(1, min(TOGETHER, 1_000_000 // max(1, longest)))]
+            some = order[s : s + max(1, min(TOGETHER, 600_000 // longest))]
             s += len(some)
             lengths = np.array([len(docs[i]) for i in some])
-            grid = np.zeros((longest, len(some)), np.int64)
-            for j, i in enumerate(some):
-                grid[: lengths[j], j] = docs[i]
             live = np.searchsorted(-lengths, -np.arange(longest), side="left")  # how many rows are longer than t
-            alphas, scale = [], np.ones((longest, len(some)))
-            alpha = self.pi * byte[grid[0]] if longest else np.zeros((len(some), k))
+            starts = np.concatenate([[0], np.cumsum(live)])
+            n, first = int(starts[-1]), int(live[0])
+            place = np.arange(n) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+            at = np.empty(n, np.int64)
+            at[starts[place] + np.repeat(np.arange(len(some)), lengths)] = np.concatenate([docs[i] for i in some])
+            alphas, ahead = np.empty((n, k)), emitted.take(at, 0)
+            scales, last = {}, np.empty(first)
+            edges = starts.tolist()
+            logs = np.zeros(first)
+            np.multiply(ahead[:first], self.pi, out=alphas[:first])
             for t in range(longest):
-                m = live[t]
+                a, b = edges[t], edges[t + 1]
+                alpha = alphas[a:b]
                 if t:
-                    alpha = (alpha[:m] @ self.trans) * byte[grid[t, :m]]
-                c = alpha.sum(1)
-                alpha = alpha / c[:, None]
-                scale[t, :m] = c
-                if counts:
-                    alphas.append(alpha)
-            logs = np.log10(scale).sum(0)
-            out[some] = logs
-            if counts and longest:
+                    np.matmul(alphas[edges[t - 1] : edges[t - 1] + b - a], self.trans, out=alpha)
+                    alpha *= ahead[a:b]
+                if t % SCALED == SCALED - 1:
+                    c = scales[t] = alpha.sum(1)
+                    alpha /= c[:, None]
+                    logs[: b - a] += np.log10(c)
+                ended = edges[t + 2] - b if t + 1 < longest else 0
+                if ended < b - a:
+                    last[ended : b - a] = alpha[ended:].sum(1)
+            out[some] = logs + np.log10(last)
+            if counts:
                 pi, trans, emit = totals
-                beta = np.zeros((len(some), k))
-                flat, gammas = [], []
+                betas = np.empty((n, k))
                 for t in range(longest - 1, -1, -1):
-                    m = live[t]
-                    ended = live[t + 1] if t + 1 < longest else 0
+                    a, b = edges[t], edges[t + 1]
+                    ended = edges[t + 2] - b if t + 1 < longest else 0
+                    beta = betas[a:b]
                     if ended:
-                        ahead = byte[grid[t + 1, :ended]] * beta[:ended] / scale[t + 1, :ended, None]
-                        trans += self.trans * (alphas[t][:ended].T @ ahead)
-                        beta[:ended] = ahead @ self.trans.T
-                    beta[ended:m] = 1
-                    gammas.append(alphas[t] * beta[:m])
-                    flat.append(grid[t, :m])
-                pi += gammas[-1].sum(0)
-                g, at = np.concatenate(gammas), np.concatenate(flat)
+                        np.matmul(ahead[b : b + ended], back, out=beta[:ended])
+                    beta[ended:] = 1 / last[ended : b - a, None]
+                    if t:
+                        ahead[a:b] *= beta
+                        if t in scales:
+                            ahead[a:b] /= scales[t][:, None]
+                if n > first:
+                    before = np.arange(first, n) - np.repeat(live[:-1], live[1:])
+                    trans += self.trans * (alphas.take(before, 0).T @ ahead[first:])
+                alphas *= betas
+                pi += alphas[:first].sum(0)
                 for j in range(k):
-                    emit[j] += np.bincount(at, g[:, j], self.symbols)
+                    emit[j] += np.bincount(at, alphas[:, j], self.symbols)
         return out, totals
 
     def improved(self, pi: np.ndarray, trans: np.ndarray, emit: np.ndarray, weights: np.ndarray) -> Model:
@@ -174,94 +192,107 @@ def symbols_of(text: bytes | None, encode) -> tuple[list[bytes], np.ndarray]:
     return words, at
 
 
-def in_batches(texts, encode, most: int = 600_000):
-    """Documents encoded, some hundred thousand symbols at a time."""
-    some, size = [], 0
-    for text in texts:
-        some.append(symbols_of(text, encode))
-        size += len(some[-1][1])
-        if size >= most:
-            yield some
-            some, size = [], 0
-    if some:
-        yield some
-
-
 def _expect(model):
-    """Training texts to expected counts: rows (block, values), one for each block of symbols, from each task."""
+    """Symbols of training documents to expected counts: rows (block, counts, log), one for each block of symbols, from each task."""
 
     def run(batches):
         m = model.value
-        encode = m.encoder()
         k = len(m.pi)
-        pi, trans, emit = np.zeros(k), np.zeros((k, k)), np.zeros((k, m.symbols))
-        for batch in pieces(batches, 2048):
-            for some in in_batches(batch.column(0).to_pylist(), encode):
-                for total, more in zip((pi, trans, emit), m.forward([x for _, x in some], counts=True)[1], strict=True):
-                    total += more
+        pi, trans, emit, log = np.zeros(k), np.zeros((k, k)), np.zeros((k, m.symbols)), 0.0
+        for docs in in_batches(batches):
+            logs, more = m.forward(docs, counts=True)
+            log += logs.sum()
+            for total, x in zip((pi, trans, emit), more, strict=True):
+                total += x
         blocks, values = [-1], [np.concatenate([pi, trans.ravel()])]
         for s in range(0, m.symbols, BLOCK):
             blocks.append(s)
             values.append(emit[:, s : s + BLOCK].ravel())
-        yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.int64()), pa.array([v.astype("<f4").tobytes() for v in values], pa.binary())], ["block", "counts"])
+        logs = [log] + [0.0] * (len(blocks) - 1)
+        yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.int64()), pa.array([v.astype("<f4").tobytes() for v in values], pa.binary()), pa.array(logs, pa.float64())], ["block", "counts", "log"])
 
     return run
 
 
+def in_batches(batches, most: int = 4_000_000):
+    """Symbols of documents, some million at a time, so that many are of like length."""
+    some, size = [], 0
+    for batch in batches:
+        for x in batch.column(0).to_pylist():
+            some.append(np.frombuffer(x, "<u2"))
+            size += len(some[-1])
+            if size >= most:
+                yield some
+                some, size = [], 0
+    if some:
+        yield some
+
+
 def _add(batches):
-    """Rows (block, counts) sorted by block to their sums."""
+    """Rows (block, counts, log) to the sums of their block."""
     sums: dict = {}
     for batch in batches:
-        for b, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+        for b, v, log in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             v = np.frombuffer(v, "<f4").astype(float)
-            sums[b] = sums[b] + v if b in sums else v
-    yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array([v.astype("<f8").tobytes() for v in sums.values()], pa.binary())], ["block", "counts"])
+            sums[b] = (sums[b][0] + v, sums[b][1] + log) if b in sums else (v, log)
+    yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array([v.astype("<f8").tobytes() for v, _ in sums.values()], pa.binary()), pa.array([x for _, x in sums.values()], pa.float64())], ["block", "counts", "log"])
 
 
-def train(texts: DataFrame, many: int, head: list[bytes], weights: np.ndarray) -> Model:
-    """texts (text binary, tag: a hash that picks the sample), how many, and how often each symbol comes in all of them."""
-    spark = texts.sparkSession
-    if END not in head:
-        head, weights = [*head, END], np.insert(weights, len(head), 0.0)
-    model = Model.random(head, weights)
-    encode = model.encoder()
-    some = [symbols_of(r["text"], encode)[1] for r in texts.where(F.pmod("tag", F.lit(1_000_000_007)) <= 1_000_000_007 * GUESS // max(many, GUESS)).select("text").collect()]
-    for _ in range(GUESS_ROUNDS if some else 0):
-        model = model.improved(*model.forward(some, counts=True)[1], weights)
-    for _ in range(ROUNDS if some else 0):
+def train(symbols: DataFrame, model: Model, weights: np.ndarray) -> Model:
+    """Baum-Welch over all of symbols (binary, two bytes each) from a first model until the likelihood settles; weights: how often each symbol comes."""
+    spark = symbols.sparkSession
+    k, before = len(model.pi), None
+    while True:
         sent = spark.sparkContext.broadcast(model)
-        counts = texts.select("text").mapInArrow(_expect(sent), "block long, counts binary")
-        sums = {r["block"]: np.frombuffer(r["counts"], "<f8") for r in counts.repartition("block").mapInArrow(_add, "block long, counts binary").collect()}
-        k = len(model.pi)
+        counts = symbols.mapInArrow(_expect(sent), "block long, counts binary, log double")
+        rows = counts.repartition("block").mapInArrow(_add, "block long, counts binary, log double").collect()
+        sums = {r["block"]: np.frombuffer(r["counts"], "<f8") for r in rows}
+        sent.destroy()
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        if not sums or not sums[-1][:k].any():
+            return model
         emit = np.concatenate([sums[s].reshape(k, -1) for s in range(0, model.symbols, BLOCK)], axis=1)
         model = model.improved(sums[-1][:k], sums[-1][k:].reshape(k, k), emit, weights)
-    return model
+        log = sum(r["log"] for r in rows)
+        if before is not None and log - before < SETTLED * abs(log):
+            return model
+        before = log
 
 
-def _score(sent):
-    """Rows (doc_id, held_out, text) with what the frequent words give, and the rare words with how often each comes."""
-    schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.float64()), ("rare", pa.list_(pa.binary())), ("times", pa.list_(pa.int32()))])
+def _encode(sent):
+    """Rows (doc_id, held_out, text) with their symbols, what the frequent words give, and the rare words with how often each comes."""
+    schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("within", pa.float64()), ("rare", pa.list_(pa.binary())), ("times", pa.list_(pa.int32())), ("symbols", pa.binary())])
 
     def run(batches):
         model, known, floor, room = sent.value
         encode, heads = model.encoder(), len(model.head)
         # Of each frequent word: log10 of its count and one, which the base and, for a word of a class, the score add.
         logs = {w: float(np.log10(c + 1)) for w, c in known.items()}
-        for batch in pieces(batches, 2048):
-            at = 0
-            for some in in_batches(batch.column(2).to_pylist(), encode):
-                likelihood, _ = model.forward([x for _, x in some])
-                out = []
-                for (words, x), score in zip(some, likelihood.tolist(), strict=True):
-                    found = list(map(logs.get, words))
-                    base = sum(y for y in found if y is not None) - floor * len(words)
-                    rare = Counter(w for w, y in zip(words, found, strict=True) if y is None)
-                    inner = np.flatnonzero(x >= heads).tolist()
-                    score += sum(found[i] or 0.0 for i in inner) - float(room[x[inner] - heads].sum())
-                    out.append((len(words), len(words) - sum(rare.values()), base, score, list(rare), list(rare.values())))
-                n = len(out)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, n), batch.column(1).slice(at, n), *(pa.array(c, t) for c, t in zip(zip(*out, strict=True), schema.types[2:], strict=True))], schema=schema)
-                at += n
+        for batch in pieces(batches):
+            out = []
+            for text in batch.column(2).to_pylist():
+                words, x = symbols_of(text, encode)
+                found = list(map(logs.get, words))
+                base = sum(y for y in found if y is not None) - floor * len(words)
+                rare = Counter(w for w, y in zip(words, found, strict=True) if y is None)
+                inner = np.flatnonzero(x >= heads).tolist()
+                within = sum(found[i] or 0.0 for i in inner) - float(room[x[inner] - heads].sum())
+                out.append((len(words), len(words) - sum(rare.values()), base, within, list(rare), list(rare.values()), x.astype("<u2").tobytes()))
+            if out:
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(c, t) for c, t in zip(zip(*out, strict=True), schema.types[2:], strict=True))], schema=schema)
+
+    return run
+
+
+def _score(sent):
+    """Rows whose first column is the symbols: the likelihood takes its place."""
+
+    def run(batches):
+        model = sent.value
+        for batch in pieces(batches, 4096):
+            logs = [x for docs in in_batches([batch]) for x in model.forward(docs)[0].tolist()]
+            yield pa.RecordBatch.from_arrays([pa.array(logs, pa.float64()), *batch.columns[1:]], ["likelihood", *batch.schema.names[1:]])
 
     return run
 
@@ -302,14 +333,19 @@ def score_documents(docs: DataFrame) -> DataFrame:
         held[r["class"]] = r["n"], r["v"]
     for w in head:
         held[known[w][1]] -= known[w][0], 1
-    model = train(training.select("text", F.xxhash64("text", "doc_id").alias("tag")), known[END][0] if END in known else 0, head, np.array([known[w][0] for w in head] + list(held[:, 0]), float))
+    weights = np.array([known[w][0] for w in head] + list(held[:, 0]), float)
+    if END not in head:
+        head, weights = [*head, END], np.insert(weights, len(head), 0.0)
+    model = Model.random(head, weights)
     floor, room = float(np.log10(total + distinct + 1)), np.log10(held.sum(1) + 1)
     sent = spark.sparkContext.broadcast((model, {w: c for w, (c, _) in known.items()}, floor, room))
-    first = texts.mapInArrow(_score(sent), "doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, rare array<binary>, times array<int>")
-    first = materialise(first.withColumn("row", F.monotonically_increasing_id()), "scored")
+    first = texts.mapInArrow(_encode(sent), "doc_id long, held_out boolean, n_tokens long, n_known long, base double, within double, rare array<binary>, times array<int>, symbols binary")
+    first = materialise(first.withColumn("row", F.monotonically_increasing_id()), "encoded")
+    trained = spark.sparkContext.broadcast(train(first.where("not held_out").select("symbols"), model, weights))
     # The rare words meet their counts; one that training hasn't seen counts 0 in the class that its letters give.
     rare = first.select("row", F.explode(F.arrays_zip("rare", "times")).alias("r")).select("row", F.col("r.rare").alias("word"), F.col("r.times").alias("times"))
     tail = rare.join(words.select("word", "n"), "word", "left").groupBy("row").agg(F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("more"), F.sum(F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + 1)).alias("log"))
-    out = first.select("row", "doc_id", "held_out", "n_tokens", "n_known", "base", "score").join(tail, "row", "left")
+    scored = first.select("symbols", "row", "doc_id", "held_out", "n_tokens", "n_known", "base", "within").mapInArrow(_score(trained), "likelihood double, row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, within double")
+    out = scored.join(tail, "row", "left")
     log, more = F.coalesce("log", F.lit(0.0)), F.coalesce("more", F.lit(0))
-    return out.select("doc_id", "held_out", "n_tokens", (F.col("n_known") + more).cast("long").alias("n_known"), F.lit(total).cast("long").alias("train_tokens"), (F.col("base") + log).alias("base_score"), (F.col("score") + log).alias("score"))
+    return out.select("doc_id", "held_out", "n_tokens", (F.col("n_known") + more).cast("long").alias("n_known"), F.lit(total).cast("long").alias("train_tokens"), (F.col("base") + log).alias("base_score"), (F.col("likelihood") + F.col("within") + log).alias("score"))

@@ -361,6 +361,28 @@ def test_baum_welch_raises_the_likelihood():
         model = model.improved(*counts, weights)
 
 
+def test_training_covers_all_rows_until_the_likelihood_settles(spark):
+    """Scores are those of Baum-Welch over all training rows in one process, among them a kind of text with few rows."""
+    rng = random.Random(3)
+    texts = [" ".join(f"{'abz'[2 if i % 300 == 7 else i % 2]}{rng.randrange(30)}" for _ in range(rng.randrange(1, 25))) for i in range(1500)]
+    rows = hmm.score_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)).collect()
+    split = [t.encode().split() + [hmm.END] for t in texts]
+    held = [zlib.crc32(str(i).encode()) % 7 == 2 for i in range(len(texts))]
+    counts = Counter(w for ws, h in zip(split, held) if not h for w in ws)
+    head = sorted(counts, key=lambda w: (-counts[w], w))
+    weights = np.array([counts[w] for w in head] + [0] * hmm.CLASSES, float)
+    model, known, before = hmm.Model.random(head, weights), {w: i for i, w in enumerate(head)}, None
+    docs = [np.array([known[w] for w in ws]) for ws, h in zip(split, held) if not h]
+    while True:
+        logs, more = model.forward(docs, counts=True)
+        model = model.improved(*more, weights)
+        if before is not None and logs.sum() - before < 1e-4 * abs(logs.sum()):
+            break
+        before = logs.sum()
+    want = dict(zip([i for i, h in enumerate(held) if not h], model.forward(docs)[0]))
+    assert {r["doc_id"]: r["score"] for r in rows if not r["held_out"]} == pytest.approx(want, rel=1e-4)
+
+
 def test_a_rare_words_class_is_a_distribution(spark):
     """Over all words that training holds and one unseen of each class, the words' shares of their classes sum to 1."""
     docs = spark.createDataFrame([(i, f"w{i % 7} rare{i}") for i in range(40)], "doc_id long, text string")
