@@ -42,9 +42,16 @@ def normalise(text: Column) -> Column:
     return collapse_blanks(name_greek(text))
 
 
+#: What Unicode doesn't take apart, in ASCII.
+SPELLED = str.maketrans(
+    {"ß": "ss", "ẞ": "SS", "æ": "ae", "Æ": "AE", "œ": "oe", "Œ": "OE", "ø": "o", "Ø": "O", "đ": "d", "Đ": "D", "ð": "d", "Ð": "D", "þ": "th", "Þ": "Th", "ł": "l", "Ł": "L", "ħ": "h", "Ħ": "H", "ı": "i"}
+    | dict.fromkeys("‐‑‒–−", "-") | {"—": "--", "×": "x", "÷": "/", "«": "<<", "»": ">>"} | dict.fromkeys("‘’‚‛′", "'") | dict.fromkeys("“”„‟″", '"')
+)
+
+
 def to_ascii(text: str) -> str:
-    """The letters under their accents; what has no ASCII form goes."""
-    return unicodedata.normalize("NFKD", text).encode("ascii", "ignore").decode()
+    """The letters under their accents, ligatures and typographic marks spelled; what has no ASCII form goes."""
+    return text if text.isascii() else unicodedata.normalize("NFKD", text.translate(SPELLED)).encode("ascii", "ignore").decode()
 
 
 def text_to_analyze(title: Column, abstract: Column) -> Column:

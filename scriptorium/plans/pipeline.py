@@ -12,7 +12,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructField, StructType
 
 from scriptorium.functions import abbreviations, concepts, phrases, tagging
-from scriptorium.functions.text import normalise, plain_analysis_schema, sentences, text_to_analyze
+from scriptorium.functions.text import normalise, plain_analysis_schema, sentences, text_to_analyze, to_ascii
 from scriptorium.operators import relational
 from scriptorium.sources import records
 
@@ -38,7 +38,7 @@ def enrich(publications: DataFrame, dictionary: list[tuple] = ()) -> DataFrame:
     def run(batches):
         tagger, arrow = tagging.Tagger(sent.value), to_arrow_type(kind)
         for batch in batches:
-            mined = [attempt(t, tagger) for t in batch.column(batch.num_columns - 1).to_pylist()]
+            mined = [attempt(t and to_ascii(t), tagger) for t in batch.column(batch.num_columns - 1).to_pylist()]
             names = [*batch.schema.names[:-1], "nlp"]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(mined, arrow)], names)
 
