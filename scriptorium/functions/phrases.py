@@ -6,7 +6,8 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from scriptorium.functions.text import STOPWORDS, sentences, tokens
+from scriptorium.functions import abbreviations
+from scriptorium.functions.text import STOPWORDS, sentences, to_ascii, tokens
 
 #: Which neighbouring tags merge, and into what.
 MERGES = {
@@ -62,14 +63,14 @@ def merge_counts(counts: Counter, forms: dict[str, str]) -> Counter:
             counts[phrase] += counts.pop(phrase + "s")
     for short, long in sorted(forms.items()):
         s, lo = short.lower(), long.lower()
-        if s in counts and lo in counts and s != lo:
+        if s in counts and s != lo:
             counts[lo] += counts.pop(s)
     return counts
 
 
-def chunk(text: str | None, forms: dict[str, str] | None = None) -> dict:
-    """chunks, recurring_chunks and top_chunks of a text; phrases inside others count once more for each."""
-    counts = Counter(p.lower() for p in noun_phrases(text))
+def chunk(text: str | None, forms: dict[str, str] | None = None, found: list[str] | None = None) -> dict:
+    """chunks, recurring_chunks and top_chunks of a text; phrases inside others count once more for each. found: its noun phrases, if known."""
+    counts = Counter(p.lower() for p in (noun_phrases(text) if found is None else found))
     for long in (forms or {}).values():
         counts.setdefault(long.lower(), 1)
     chunks = sorted(counts)
@@ -79,11 +80,34 @@ def chunk(text: str | None, forms: dict[str, str] | None = None) -> dict:
     return {"chunks": chunks, "recurring_chunks": sorted(k for k, n in ranked if n > 1), "top_chunks": [k for k, n in ranked[:5] if n > 1]}
 
 
+def occurrences(text: str, forms: dict[str, str] | None = None, found: list[str] | None = None) -> dict:
+    """chunks, recurring_chunks and top_chunks of a document: its noun phrases but stop words, each counted wherever its letters stand in the text.
+
+    A short form whose long form doesn't stand in the text is written out first. found: the noun phrases of the text, if known.
+    """
+    whole = text
+    for short, long in (forms or {}).items():
+        if short in whole and long not in whole:
+            whole = whole.replace(short, long)
+    found = noun_phrases(whole) if found is None or whole != text else found
+    chunks = sorted({p for p in found if p.lower() not in STOPWORDS})
+    low = whole.lower()
+    counts = merge_counts(Counter({p: low.count(p) for p in {p.lower() for p in chunks}}), forms or {})
+    ranked = sorted(counts.items(), key=lambda x: (-x[1], x[0]))
+    return {"chunks": chunks, "recurring_chunks": sorted(k for k, n in ranked if n > 1), "top_chunks": [k for k, n in ranked[:5] if n > 1]}
+
+
 CHUNKED = "struct<chunks:array<string>,recurring_chunks:array<string>,top_chunks:array<string>>"
 
 
 def chunk_texts():
-    return F.udf(lambda t: chunk(t), CHUNKED, useArrow=True)
+    """Of normalised texts; their letters become ASCII here."""
+
+    def run(t):
+        t = to_ascii(t or "")
+        return chunk(t, abbreviations.as_map(abbreviations.abbreviations(t)))
+
+    return F.udf(run, CHUNKED, useArrow=True)
 
 
 def merge_plurals(counts, by: list[str], phrase: str = "phrase", n: str = "n"):

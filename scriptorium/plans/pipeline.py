@@ -32,19 +32,19 @@ def enrich(publications: DataFrame, dictionary: list[tuple] = ()) -> DataFrame:
     another keep their own. dictionary: entries that fit a worker's memory, see ``load_dictionary``.
     """
     sent = publications.sparkSession.sparkContext.broadcast(list(dictionary))
-    kind = StructType.fromDDL(f"nlp {NLP}")["nlp"].dataType
-    schema = StructType([*publications.schema.fields, StructField("nlp", kind)])
+    kinds = StructType.fromDDL(f"nlp {NLP}, noun_phrases {NOUN_PHRASES}")
+    schema = StructType([*publications.schema.fields, *kinds.fields])
 
     def run(batches):
-        tagger, arrow = tagging.Tagger(sent.value), to_arrow_type(kind)
+        tagger = tagging.Tagger(sent.value)
         for batch in batches:
             mined = [attempt(t and to_ascii(t), tagger) for t in batch.column(batch.num_columns - 1).to_pylist()]
-            names = [*batch.schema.names[:-1], "nlp"]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(mined, arrow)], names)
+            names = [*batch.schema.names[:-1], *kinds.names]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *(pa.array([m and m[f.name] for m in mined], to_arrow_type(f.dataType)) for f in kinds)], names)
 
     text = publications.withColumn("nlp", normalise(text_to_analyze(F.col("title"), F.col("abstract"))))
     mined = text.mapInArrow(run, schema)
-    return mined.withColumn("text_mined_entities", F.struct("nlp", F.struct("nlp.chunks", "nlp.recurring_chunks", "nlp.top_chunks", "nlp.abbreviations").alias("noun_phrases"))).drop("nlp")
+    return mined.withColumn("text_mined_entities", F.struct("nlp", F.struct("noun_phrases.*").alias("noun_phrases"))).drop(*kinds.names)
 
 
 def attempt(text: str | None, tagger) -> dict | None:
@@ -67,6 +67,7 @@ def load_dictionary(spark: SparkSession, *paths: str, most: int = 5_000_000) ->
 
 
 def analyse(text: str, tagger) -> dict:
+    """What the two analyzers find: nlp counts the noun phrases over the whole text, noun_phrases as the chunker finds them."""
     found = abbreviations.abbreviations(text)
     forms = abbreviations.as_map(found)
     spans = sentences(text)
@@ -86,13 +87,15 @@ def analyse(text: str, tagger) -> dict:
             said.append(c | {f"{x}_tags": list(concepts.tags_by_category(local, c[f"{x}_range"]).items()) for x in ("subject", "object")})
         if {"GENE", "DISEASE"} <= {t["category"] for t in mine}:
             tags.append({"match": text[a:b], "start": a, "end": b, "category": "TARGET&DISEASE", "reference_db": "TARGET&DISEASE", "reference": "", "original_value": text[a:b], "label": "target-disease", "sentence": k})
-    chunked = phrases.chunk(text, forms)
+    nouns = phrases.noun_phrases(text)
+    defined = {"abbreviations": [{"short": s, "long": x} for s, x in found]}
     grouped: dict[str, list[dict]] = {}
     for t in tags:
         grouped.setdefault(f"{t['category']}|{t['reference_db']}", []).append(t)
     marked = tagging.mark(text, [t for t in tags if t["category"] != "TARGET&DISEASE"])
     emitted = {"plain": concepts.plain_tagged(text), "pos_tag": concepts.pos_tagged(text), "ent_tag": "\n".join(lines)}
-    return chunked | {"abbreviations": [{"short": s, "long": x} for s, x in found], "concepts": said, "tagged_entities": tags, "tagged_entities_grouped": list(grouped.items()), "tagged_text": marked, "embedding_text": emitted}
+    nlp = phrases.occurrences(text, forms, nouns) | defined | {"concepts": said, "tagged_entities": tags, "tagged_entities_grouped": list(grouped.items()), "tagged_text": marked, "embedding_text": emitted}
+    return {"nlp": nlp, "noun_phrases": phrases.chunk(text, forms, nouns) | defined}
 
 
 def newest(*frames: DataFrame) -> DataFrame:

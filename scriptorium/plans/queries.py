@@ -348,7 +348,7 @@ def abbreviations_of_documents(spark, d):
 
 @query()
 def noun_phrase_chunks(spark, d):
-    return t(spark, d, "documents").select("doc_id", phrases.chunk_texts()("text").alias("c")).select("doc_id", "c.*")
+    return t(spark, d, "documents").select("doc_id", phrases.chunk_texts()(text.normalise(F.col("text"))).alias("c")).select("doc_id", "c.*")
 
 
 @query()
