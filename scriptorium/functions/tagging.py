@@ -159,6 +159,10 @@ def drop_known_acronyms(tags: list[dict], forms: dict[str, str], text: str) -> l
 
 #: Categories whose short matches must agree in case.
 CASE_SENSITIVE = ("TARGET", "GENE", "PROTEINCOMPLEX", "DRUGCHEMICAL")
+#: Common English words of four to six letters, a small default.
+COMMON = frozenset(
+    "able across action active actual after again against almost along also among amount answer area around away back base basic become been before began behind being best better between beyond body book born both bring called came care case cause center change child city class clear close cold come common could course cost dark data date days death deep does done door down each early east easy effect eight else end enough even ever every eyes face fact fall family far fast felt field figure final fine fire first five floor follow food foot force form found four free friend from full gave general girl give given going gone good great green group grow growth half hand hard have head hear heard heart heat held help here high hold home hope hour house human idea into just keep kept kind knew know known lack land large last late later lead least leave left length less level life light like line list little live local long look lost love made main make many mark mass matter mean means member method might mind model moment month more most mother move much must name near need never next night none normal north note number object often once only open order other over page paper part party past path period person place plan plant play point poor power press public rate rather reach read ready real reason record red rest result rich right rise road role room rule same save school second seem seen sense series set seven shall shape share short should show side sign simple since single size small social some soon sort sound source space stage stand start state step still stop story street strong such summer sure system table take taken task term test than that their them then there these they thing think third this those though three time today told took toward town tree trial true turn twice type under unit until upon used using value very view voice wait walk wall want water week well went were west what when where which while white whole wide wife will window wish with within without woman word work world would write year young".split()
+)
 
 
 def agrees_in_case(tag: dict, common=frozenset()) -> bool:

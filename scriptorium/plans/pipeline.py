@@ -25,20 +25,22 @@ NOUN_PHRASES = "struct<chunks:array<string>,recurring_chunks:array<string>,top_c
 ENRICHED = f"{records.PUBLICATION}, text_mined_entities struct<nlp:{NLP},noun_phrases:{NOUN_PHRASES}>"
 
 
-def enrich(publications: DataFrame, dictionary: list[tuple] = ()) -> DataFrame:
+def enrich(publications: DataFrame, dictionary: list[tuple] = (), common=tagging.COMMON) -> DataFrame:
     """text_mined_entities for each publication; one without a text, or whose analysis fails, keeps an empty analysis.
 
     The analysis is a column beside those of the publication: nothing is joined, and rows without an id or with the id of
     another keep their own. dictionary: entries that fit a worker's memory, see ``load_dictionary``.
+    common: words in lower case that tags of case-sensitive categories must not match by chance.
     """
-    sent = publications.sparkSession.sparkContext.broadcast(list(dictionary))
+    sent = publications.sparkSession.sparkContext.broadcast((list(dictionary), frozenset(common)))
     kinds = StructType.fromDDL(f"nlp {NLP}, noun_phrases {NOUN_PHRASES}")
     schema = StructType([*publications.schema.fields, *kinds.fields])
 
     def run(batches):
-        tagger = tagging.Tagger(sent.value)
+        entries, words = sent.value
+        tagger = tagging.Tagger(entries)
         for batch in batches:
-            mined = [attempt(t and to_ascii(t), tagger) for t in batch.column(batch.num_columns - 1).to_pylist()]
+            mined = [attempt(t and to_ascii(t), tagger, words) for t in batch.column(batch.num_columns - 1).to_pylist()]
             names = [*batch.schema.names[:-1], *kinds.names]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *(pa.array([m and m[f.name] for m in mined], to_arrow_type(f.dataType)) for f in kinds)], names)
 
@@ -47,10 +49,10 @@ def enrich(publications: DataFrame, dictionary: list[tuple] = ()) -> DataFrame:
     return mined.withColumn("text_mined_entities", F.struct("nlp", F.struct("noun_phrases.*").alias("noun_phrases"))).drop(*kinds.names)
 
 
-def attempt(text: str | None, tagger) -> dict | None:
+def attempt(text: str | None, tagger, common=tagging.COMMON) -> dict | None:
     """The analysis; a text that it fails on is logged and stays without one."""
     try:
-        return analyse(text, tagger) if text else None
+        return analyse(text, tagger, common) if text else None
     except Exception:
         log.exception("analysis failed")
         return None
@@ -66,7 +68,7 @@ def load_dictionary(spark: SparkSession, *paths: str, most: int = 5_000_000) ->
     return [tuple(r) for r in rows]
 
 
-def analyse(text: str, tagger) -> dict:
+def analyse(text: str, tagger, common=tagging.COMMON) -> dict:
     """What the two analyzers find: nlp counts the noun phrases over the whole text, noun_phrases as the chunker finds them."""
     found = abbreviations.abbreviations(text)
     forms = abbreviations.as_map(found)
@@ -75,7 +77,7 @@ def analyse(text: str, tagger) -> dict:
     within = lambda tags, a, b: [t for t in tags if a <= t["start"] and t["end"] <= b]
     found_tags = tagger.tag(text)
     on_nouns = [t for a, b in spans for t in shift(concepts.on_content(shift(within(found_tags, a, b), -a), concepts.RuleBackend().parse(text[a:b])), a)]
-    tags = [t for t in tagging.drop_known_acronyms(on_nouns, forms, text) if tagging.agrees_in_case(t)]
+    tags = [t for t in tagging.drop_known_acronyms(on_nouns, forms, text) if tagging.agrees_in_case(t, common)]
     said, lines = [], []
     for k, (a, b) in enumerate(spans):
         mine = [t for t in tags if a <= t["start"] and t["end"] <= b and t["sentence"] is None]
@@ -102,13 +104,13 @@ def newest(*frames: DataFrame) -> DataFrame:
     return relational.latest_by(relational.union_all(*frames), "pub_id", "filename")
 
 
-def run(spark: SparkSession, baseline=None, updates=None, enriched=None, output_enriched=None, output_splitted=None, dictionary=()) -> DataFrame:
+def run(spark: SparkSession, baseline=None, updates=None, enriched=None, output_enriched=None, output_splitted=None, dictionary=(), common=tagging.COMMON) -> DataFrame:
     if not (baseline or updates or enriched):
         raise ValueError("one of baseline, updates and enriched is needed")
     if enriched:
         done = records.read_enriched(spark, enriched, ENRICHED)
     else:
-        done = enrich(newest(*[records.read_records(spark, p) for p in (baseline, updates) if p]), dictionary)
+        done = enrich(newest(*[records.read_records(spark, p) for p in (baseline, updates) if p]), dictionary, common)
     if output_enriched:
         records.write_json(done, output_enriched)
         done = records.read_enriched(spark, output_enriched, ENRICHED)
@@ -123,10 +125,12 @@ def main(args: list[str] | None = None) -> None:
     for name in ("input_baseline", "input_updates", "input_enriched", "output_enriched", "output_splitted"):
         parser.add_argument(f"--{name}")
     parser.add_argument("--dictionary", nargs="*", default=[], help="files CATEGORY-DB.json")
+    parser.add_argument("--common_words", nargs="*", default=[], help="files of common words, one a line, in place of the small list")
     a = parser.parse_args(args)
     spark = SparkSession.builder.getOrCreate()
     entries = load_dictionary(spark, *a.dictionary) if a.dictionary else ()
-    run(spark, a.input_baseline, a.input_updates, a.input_enriched, a.output_enriched, a.output_splitted, entries)
+    common = frozenset(r["value"].strip().lower() for r in spark.read.text(a.common_words).collect()) if a.common_words else tagging.COMMON
+    run(spark, a.input_baseline, a.input_updates, a.input_enriched, a.output_enriched, a.output_splitted, entries, common)
 
 
 if __name__ == "__main__":
