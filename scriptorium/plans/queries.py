@@ -323,8 +323,10 @@ def emit_plain_text(spark, d):
 
 @query("SELECT user_id, max(event_id) AS event_id, arg_max(event_type, event_id) AS event_type, arg_max(value, event_id) AS value FROM events WHERE user_id IS NOT NULL GROUP BY user_id")
 def index_upsert(spark, d):
+    """What clicks and purchases update, over the index of all other events."""
     rows = t(spark, d, "events").select("user_id", "event_id", "event_type", "value")
-    return relational.upsert(rows, rows.limit(0), "user_id", "event_id")
+    new = F.coalesce(F.col("event_type").isin("click", "purchase"), F.lit(False))
+    return relational.upsert(rows.where(~new), rows.where(new), "user_id", "event_id")
 
 
 @query("SELECT page_id, CASE WHEN length(url) <= 256 THEN url END AS url_key, CASE WHEN length(html) <= 256 THEN html END AS html_key FROM pages")

@@ -9,6 +9,7 @@ import duckdb
 import pytest
 from tests.conftest import SMALL
 
+from scriptorium.operators import relational
 from scriptorium.plans.queries import ORACLES, QUERIES
 
 
@@ -43,6 +44,17 @@ def test_runs(spark, name):
     assert QUERIES[name](spark, SMALL).count() > 0
 
 
+def test_upsert_meets_updates(spark, monkeypatch):
+    """All events come either as the index or as its updates, and updates overwrite rows of the index."""
+    seen, upsert = [], relational.upsert
+    monkeypatch.setattr(relational, "upsert", lambda *a: seen.append(a) or upsert(*a))
+    out = QUERIES["index_upsert"](spark, SMALL)
+    target, updates, key, order = seen[0]
+    assert target.count() + updates.count() == spark.read.parquet(f"{SMALL}/events.parquet").count()
+    newer = out.join(updates, [key, order], "left_semi").join(target, key, "left_semi").count()
+    assert 0 < newer < out.count()
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
