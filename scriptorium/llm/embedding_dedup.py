@@ -113,13 +113,15 @@ class Graph:
             self.entry = i
 
     def reach(self, q: np.ndarray, least: float, width: int) -> list[int]:
-        """The nodes at ``least`` similarity or more that a beam of this width, or wider as long as it is full of them, finds."""
+        """The nodes at ``least`` similarity or more that a beam of this width, or wider as long as it is full of them, finds; all of them once it is as wide as the graph."""
         at = [self.entry]
         for layer in range(len(self.links[self.entry]) - 1, 0, -1):
             at = [self.beam(q, at, 1, layer)[0][1]]
         while True:
+            if width >= len(self.links):  # links may not lead everywhere
+                return np.flatnonzero(self.vectors @ q >= least).tolist()
             found = self.beam(q, at, width, 0)
-            if len(found) < width or found[-1][0] < least or width >= len(self.links):
+            if len(found) < width or found[-1][0] < least:
                 return [j for s, j in found if s >= least]
             width, at = 2 * width, [j for _, j in found]
 
@@ -150,9 +152,19 @@ def _query(cosine: float):
         asked = asked.sort_values("cid")
         queries, ids = unit(np.stack(asked["vec"])), asked["cid"].to_numpy()
         coarse, width = queries.astype(np.float32), BEAM
-        # The audit: widen the beam for all until a sample's links are found, or the beam is the shard.
-        sample = np.unique(np.linspace(0, len(ids) - 1, min(AUDIT, len(ids))).astype(int))
-        truth = [set(np.flatnonzero(exact @ queries[i] >= cosine).tolist()) for i in sample]
+        # The audit: widen the beam for all until a sample's links to others are found, or the beam is the shard. The
+        # sample grows until it has AUDIT links, or is all that are asked.
+        order, sample, truth, seen = np.random.default_rng(len(ids)).permutation(len(ids)), [], [], 0
+        for s in range(0, len(ids), AUDIT):
+            some = order[s : s + AUDIT]
+            for i, near in zip(some.tolist(), (exact @ queries[some].T >= cosine).T, strict=True):
+                others = np.flatnonzero(near & (cids != ids[i])).tolist()
+                if others:
+                    sample.append(i)
+                    truth.append(set(others))
+                    seen += len(others)
+            if seen >= AUDIT:
+                break
         while width < len(cids):
             got = sum(len(t & set(graph.reach(coarse[i], cosine - slack, width))) for i, t in zip(sample, truth, strict=True))
             if got >= RECALL * sum(map(len, truth)):

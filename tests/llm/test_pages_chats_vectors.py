@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 from tests.conftest import SMALL
 
@@ -162,6 +163,21 @@ def test_odd_vectors_and_many_shards(spark, monkeypatch):
     assert embedding_dedup.group_vectors(vectors.where("false")).count() == 0
 
 
+def test_audit_has_links_and_ends_with_the_whole_matrix():
+    """The only partner of one query among 300 is a node that no link leads to."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(300, 64))
+    held = embedding_dedup._build(pd.DataFrame({"label": 0, "dim": 64, "shards": 1, "shard": 0, "cid": np.arange(300), "vec": list(x), "many": 1}))
+    held["links"] = [[[j for j in layer if j != 37] for layer in node] for node in held["links"]]
+    graph = embedding_dedup.Graph(embedding_dedup.unit(x).astype(np.float32), held["links"].tolist())
+    assert graph.reach(graph.vectors[37], 0.93, 300) == [37]
+    held["links"] = [[np.array(layer, int) for layer in node] for node in held["links"]]
+    asked = pd.DataFrame({"cid": 1000 + np.arange(300), "vec": list(rng.normal(size=(300, 64)))})
+    asked.at[101, "vec"] = x[37] * 1.5
+    got = embedding_dedup._query(0.93)(asked, held)
+    assert got.dropna(subset=["a"])[["a", "b"]].values.tolist() == [[1101, 37]]
+
+
 def test_graph_finds_what_it_should():
     rng = np.random.default_rng(2)
     x = embedding_dedup.unit(np.repeat(rng.normal(size=(60, 16)), 20, axis=0) + rng.normal(size=(1200, 16)) * 0.15).astype(np.float32)
