@@ -7,7 +7,8 @@ the bits of one integer) picks those that fill the window closest to its capacit
 length are taken.
 
 Defined results: a null text is empty (the end id alone); a repeated row is packed as often as it comes; an empty table gives
-no piece; ids are carried as they are, nulls included.
+no piece; ids are carried as they are, nulls included. The string of a special token in a text, such as '<|endoftext|>', is
+text: it gets ordinary word pieces (``encode_special_tokens``), where the tokenizer's default setting gives the token's own id.
 """
 
 from __future__ import annotations
