@@ -23,11 +23,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from scriptorium.llm.common import tidy
+
 #: Code points to a delta when plain rows become events.
 DELTA = 2048
 EVENTS = "conv_id long, seq long, message long, kind string, role string, text string"
 CONTROL = re.compile(r"[\\<\[\]]")
-TURN = re.compile(r"<s>\[TURN ((?:[^\\\]]|\\.)*)\]((?:[^\\<]|\\.)*)</s>", re.DOTALL)
+#: Possessive, so that the engine keeps no way back for each character of a long text.
+TURN = re.compile(r"<s>\[TURN ([^\\\]]*+(?:\\.[^\\\]]*+)*+)\]([^\\<]*+(?:\\.[^\\<]*+)*+)</s>", re.DOTALL)
 
 
 def escape(text: str) -> str:
@@ -91,6 +94,7 @@ def as_events(turns: DataFrame) -> DataFrame:
     """
     key = F.struct(F.col("turn").isNull().alias("none"), "turn", "role", "text")
 
+    @tidy
     def number(batches):
         names = ["conv_id", "seq", "message", "kind", "role", "text"]
         types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string()]
@@ -124,6 +128,7 @@ def format_chats(events: DataFrame) -> DataFrame:
         for batch in batches:
             yield from zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True)
 
+    @tidy
     def run(batches):
         out, size = [], 0
         for conv, log in groupby(rows(batches), key=lambda r: r[0]):
@@ -144,6 +149,7 @@ def digest(chats: DataFrame) -> DataFrame:
     """What reading the formatted texts gives back: conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars."""
     schema = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
 
+    @tidy
     def run(batches):
         for batch in batches:
             out = []

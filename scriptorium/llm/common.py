@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import ctypes
+import functools
 import gc
+import logging
+import shutil
 import tempfile
 import uuid
 
@@ -15,30 +20,77 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
 
 _own_dir: list[str] = []
+log = logging.getLogger(__name__)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Without it, a local session (and no other) gets a
+    folder of its own, which goes when the process ends."""
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         if not _own_dir:
             _own_dir.append(tempfile.mkdtemp(prefix="scriptorium-"))
+            atexit.register(shutil.rmtree, _own_dir[0], ignore_errors=True)
         root = _own_dir[0]
     return root.rstrip("/")
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+def materialise(df: DataFrame, name: str, instead_of: tuple[DataFrame, ...] = ()) -> DataFrame:
     """Write a step to the shared folder and read it again: later steps survive lost executors and don't redo it.
 
-    The step's shuffle files aren't needed any more. Spark deletes them once the driver has collected its garbage, which
-    a driver with little to do may not for hours, so it is asked to.
+    instead_of: earlier steps that nothing reads once this one is written; their tables go. The step's shuffle files aren't
+    needed any more either. Spark deletes them once the driver has collected its garbage, which a driver with little to do may
+    not for hours, so it is asked to.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/scriptorium/{name}-{uuid.uuid4().hex}"
+    schema = df.schema
     df.write.option("compression", "zstd").parquet(path)
+    for step in instead_of:
+        discard(step)
+    del df
     gc.collect()
     spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(schema).parquet(path)
+    out.step_path = path
+    return out
+
+
+def discard(step: DataFrame) -> None:
+    """Delete the table of a step that was materialised. A store that only Spark reaches keeps it, as it keeps checkpoints."""
+    from pyarrow import fs
+
+    if path := getattr(step, "step_path", None):
+        try:
+            store, inner = fs.FileSystem.from_uri(path if ":/" in path else f"file://{path}")
+            store.delete_dir(inner)
+        except (OSError, pa.ArrowException) as e:
+            log.warning("%s stays: %s", path, e)
+
+
+def release() -> None:
+    """Give back what this process has freed: a Python worker is used again by later steps, which need its memory."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+def tidy(run):
+    """A task's generator function that releases memory when it ends."""
+
+    @functools.wraps(run)
+    def tidied(*args):
+        try:
+            yield from run(*args)
+        finally:
+            release()
+
+    return tidied
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -86,6 +138,7 @@ class Forest:
         return True
 
 
+@tidy
 def thin_links(batches, limit: int = 200_000):
     """Replace the links of a task by a spanning forest of them, a bounded number at a time."""
     schema = None
@@ -112,7 +165,7 @@ def components(links: DataFrame, name: str = "links", rounds: int = 60) -> DataF
     kind = links.schema[0].dataType.simpleString()
     schema = f"a {kind}, b {kind}"
     edges = links.select("a", "b").where("a is not null and b is not null and a <> b").mapInArrow(thin_links, schema)
-    edges = materialise(edges.selectExpr("greatest(a, b) as a", "least(a, b) as b").distinct(), name)
+    edges = held = materialise(edges.selectExpr("greatest(a, b) as a", "least(a, b) as b").distinct(), name)
     before = None
     for _ in range(rounds):
         # Large star: every larger neighbour of a node, and the node, link to the smallest in the neighbourhood.
@@ -122,7 +175,7 @@ def components(links: DataFrame, name: str = "links", rounds: int = 60) -> DataF
         # Small star: the smaller neighbours of a node, and the node, link to the smallest of them.
         least = edges.groupBy("a").agg(F.min("b").alias("m"))
         edges = edges.join(least, "a").selectExpr("inline(array(struct(b as a, m as b), struct(a as a, m as b)))")
-        edges = materialise(edges.where("a <> b").distinct(), name)
+        edges = held = materialise(edges.where("a <> b").distinct(), name, instead_of=(held,))
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before:
             break
