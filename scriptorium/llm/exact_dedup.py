@@ -7,20 +7,20 @@ is looked up in its shard's slots: a full comparison of the digest's bytes tells
 of their own. No text and no group of copies is ever gathered: both sides are pre-aggregated before the shuffle.
 
 Defined results: a null text is the empty text; of equal texts the smallest doc_id stays, a null id after all others, and of
-rows alike in both exactly one; an empty table gives an empty result; other columns are carried by ``deduplicate`` only.
+rows alike in both exactly one; ids are 64-bit integers throughout; an empty table gives an empty result; other columns are carried by ``deduplicate`` only.
 """
 
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scriptorium.llm.common import SPACE, materialise
 
 #: Distinct digests that a shard of the index holds, about.
-SHARD_KEYS = 16_384
+SHARD_KEYS = 2_048
 
 INDEX = "shard int, digests binary, levels array<binary>, spare array<int>, winners array<long>, locators array<long>, members array<long>"
 CLASSES = "digest string, keep_id long, keep_row long, group_size long, in_history boolean"
@@ -80,19 +80,25 @@ class PerfectHash:
         return out
 
 
-def _bytes_of(hexes) -> np.ndarray:
+INDEX_TYPE = pa.schema([("shard", pa.int32()), ("digests", pa.binary()), ("levels", pa.list_(pa.binary())), ("spare", pa.list_(pa.int32())), ("winners", pa.list_(pa.int64())), ("locators", pa.list_(pa.int64())), ("members", pa.list_(pa.int64()))])
+CLASSES_TYPE = pa.schema([("digest", pa.string()), ("keep_id", pa.int64()), ("keep_row", pa.int64()), ("group_size", pa.int64()), ("in_history", pa.bool_())])
+
+
+def _bytes_of(hexes: list[str]) -> np.ndarray:
     return np.frombuffer(bytes.fromhex("".join(hexes)), np.uint8).reshape(-1, 32)
 
 
-def _build(pdf: pd.DataFrame) -> pd.DataFrame:
-    digests = _bytes_of(pdf["digest"])
+def _build(rows: pa.Table) -> pa.Table:
+    """Ids stay 64-bit integers beside nulls: nothing here goes through floats."""
+    digests = _bytes_of(rows["digest"].to_pylist())
     table = PerfectHash.build(digests)
     slot = table.slots(digests)
     free = len(digests) - len(table.spare)  # keys that no level parts go to the end, found by comparison
     slot[table.spare] = np.arange(free, len(digests))
     order = np.argsort(slot)
-    many = lambda c: [[None if pd.isna(x) else int(x) for x in pdf[c].iloc[order]]]
-    return pd.DataFrame({"shard": [int(pdf["shard"].iloc[0])], "digests": [digests[order].tobytes()], "levels": [[x.tobytes() for x in table.levels]], "spare": [list(range(free, len(digests)))], "winners": many("keep_id"), "locators": many("keep_row"), "members": many("group_size")})
+    sorted_ = rows.take(pa.array(order))
+    lists = [[sorted_[c].to_pylist()] for c in ("keep_id", "keep_row", "group_size")]
+    return pa.table([[rows["shard"][0].as_py()], [digests[order].tobytes()], [[x.tobytes() for x in table.levels]], [list(range(free, len(digests)))], *lists], schema=INDEX_TYPE)
 
 
 def distinct_digests(rows: DataFrame) -> DataFrame:
@@ -104,24 +110,19 @@ def distinct_digests(rows: DataFrame) -> DataFrame:
 def build_index(history: DataFrame, shards: int) -> DataFrame:
     """The index over ``history`` (rows of doc_id, row, digest): a row per shard, of a bounded size."""
     keyed = distinct_digests(history).withColumn("shard", F.pmod(F.xxhash64("digest"), F.lit(shards)).cast("int"))
-    return keyed.groupBy("shard").applyInPandas(_build, INDEX)
-
-
-def _look_up(index: pd.DataFrame, new: pd.DataFrame) -> pd.DataFrame:
-    fresh = [] if not len(new) else list(new["digest"])
-    kept = {"digest": [], "keep_id": [], "keep_row": [], "group_size": [], "in_history": []}
+    return keyed.groupBy("shard").applyInArrow(_build, INDEX)
 
-    def add(digest, keep, row, size, old):
-        for k, v in zip(kept, (digest, keep, row, size, old), strict=True):
-            kept[k].append(v)
 
-    plain = lambda x: None if pd.isna(x) else int(x)
+def _look_up(index: pa.Table, new: pa.Table) -> pa.Table:
+    fresh = new["digest"].to_pylist()
+    rows = list(zip(new["keep_id"].to_pylist(), new["keep_row"].to_pylist(), new["group_size"].to_pylist(), strict=True))
     found: dict[int, int] = {}
     rest = range(len(fresh))
-    if len(index):
-        one = index.iloc[0]
+    out: list[tuple] = []
+    if index.num_rows:
+        one = index.slice(0, 1).to_pylist()[0]
         held = np.frombuffer(one["digests"], np.uint8).reshape(-1, 32)
-        table = PerfectHash([np.frombuffer(x, np.uint8) for x in one["levels"]], list(one["spare"]))
+        table = PerfectHash([np.frombuffer(x, np.uint8) for x in one["levels"]], one["spare"])
         if fresh:
             mine = _bytes_of(fresh)
             slot = table.slots(mine)
@@ -132,25 +133,21 @@ def _look_up(index: pd.DataFrame, new: pd.DataFrame) -> pd.DataFrame:
                     if (held[s] == mine[i]).all():
                         slot[i], same[i] = s, True
             found = {int(s): int(i) for i, s in zip(np.flatnonzero(same), slot[same], strict=True)}
-            rest = [int(i) for i in np.flatnonzero(~same)]
-        for s in range(len(held)):
-            best = (plain(one["winners"][s]), int(one["locators"][s]), int(one["members"][s]))
+            rest = np.flatnonzero(~same).tolist()
+        for s, best in enumerate(zip(one["winners"], one["locators"], one["members"], strict=True)):
             if s in found:
-                row = new.iloc[found[s]]
-                other = (plain(row["keep_id"]), int(row["keep_row"]), int(row["group_size"]))
+                other = rows[found[s]]
                 least = min(best[:2], other[:2], key=lambda x: (x[0] is None, x[0] or 0, x[1]))
                 best = (*least, best[2] + other[2])
-            add(held[s].tobytes().hex(), *best, True)
-    for i in rest:
-        row = new.iloc[i]
-        add(fresh[i], plain(row["keep_id"]), int(row["keep_row"]), int(row["group_size"]), False)
-    return pd.DataFrame(kept).astype({"keep_id": "Int64"})
+            out.append((held[s].tobytes().hex(), *best, True))
+    out += [(fresh[i], *rows[i], False) for i in rest]
+    return pa.table(list(zip(*out, strict=True)) if out else [[]] * 5, schema=CLASSES_TYPE)
 
 
 def look_up(index: DataFrame, batch: DataFrame, shards: int) -> DataFrame:
     """Classes of history and batch together: a member's class is merged with its slot, nonmembers are classes of their own."""
     keyed = distinct_digests(batch).withColumn("shard", F.pmod(F.xxhash64("digest"), F.lit(shards)).cast("int"))
-    return index.groupBy("shard").cogroup(keyed.groupBy("shard")).applyInPandas(_look_up, CLASSES)
+    return index.groupBy("shard").cogroup(keyed.groupBy("shard")).applyInArrow(_look_up, CLASSES)
 
 
 def digest_rows(docs: DataFrame) -> DataFrame:
