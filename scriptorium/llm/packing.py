@@ -22,7 +22,6 @@ from bisect import bisect_left, bisect_right
 from collections import defaultdict, deque
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -262,20 +261,20 @@ def pack_lengths(lengths: dict[int, int], capacity: int):
 
 
 def _place(capacity: int):
-    def place(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["length", "doc_id", "start", "salt"]).reset_index(drop=True)
+    def place(group: pa.Table) -> pa.Table:
+        group = group.sort_by([(c, "ascending") for c in ("length", "doc_id", "start", "salt")])
         at = defaultdict(deque)
-        for i, length in enumerate(pdf["length"]):
+        for i, length in enumerate(group["length"].to_pylist()):
             at[length].append(i)
-        sequence, offset, base = [0] * len(pdf), [0] * len(pdf), int(pdf["part"].iloc[0]) << 32
+        sequence, offset, base = np.zeros(group.num_rows, np.int64), np.zeros(group.num_rows, np.int64), group["part"][0].as_py() << 32
         for k, chosen in enumerate(pack_lengths({x: len(i) for x, i in at.items()}, capacity)):
             used = 0
             for length in chosen:
                 i = at[length].popleft()
                 sequence[i], offset[i] = base + k, used
                 used += length
-        pdf["sequence_id"], pdf["offset"] = sequence, offset
-        return pdf[[x.split()[0] for x in PLACED.split(", ")]]
+        names = [x.split()[0] for x in PLACED.split(", ")]
+        return group.append_column("sequence_id", pa.array(sequence)).append_column("offset", pa.array(offset)).select(names)
 
     return place
 
@@ -285,4 +284,4 @@ def pack(docs: DataFrame, vocabulary: str = "word_bpe_49k.json", end_id: int = 2
     pieces = materialise(cut(docs, vocabulary, end_id, capacity), "pieces")
     groups = max(1, -(-pieces.count() // GROUP_PIECES))
     dealt = pieces.withColumn("part", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", "salt"), F.lit(groups)))
-    return dealt.groupBy("part").applyInPandas(_place(capacity), PLACED)
+    return dealt.groupBy("part").applyInArrow(_place(capacity), PLACED)
