@@ -7,7 +7,8 @@ the document count first and settles those. Flights run in chunks of a bounded s
 small ones are left; what the chunks leave is gathered and flown again until a source's rest fits one chunk, and lands.
 
 Defined results: a null text has size 0 and is taken 0 words; sources are ordered by code point, null last, an empty name is a
-source like any other; rows alike in all columns are separate units; an empty table gives an empty result.
+source like any other; rows alike in all columns are separate units, rows that differ in
+any are never taken for each other; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -15,10 +16,11 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, MapType, StructType
 
 from scriptorium.llm.common import WORD, materialise
 
@@ -27,30 +29,43 @@ CHUNK = 4096
 UNITS = "doc_id long, skey string, size long, tag long, base long, p double"
 
 
+def tag_of(docs: DataFrame):
+    """A hash of all columns of a row; rows that share it are alike, so any of them may stand for another."""
+    plain = lambda f: F.to_json(F.col(f"`{f.name}`")) if isinstance(f.dataType, (ArrayType, MapType, StructType)) else F.col(f"`{f.name}`")
+    fields = docs.schema.fields
+    return F.xxhash64(*[plain(f) for f in fields], *[F.col(f"`{f.name}`").isNull() for f in fields])
+
+
 def sizes(docs: DataFrame) -> DataFrame:
-    """doc_id, source, skey (never null), size, tag (a hash of id and text)."""
+    """doc_id, source, skey (never null), size, tag."""
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
     skey = F.when(F.col("source").isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), F.col("source")))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", skey.alias("skey"), size.alias("size"), F.xxhash64("doc_id", "text").alias("tag"))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", skey.alias("skey"), size.alias("size"), tag_of(docs).alias("tag"))
 
 
 def targets(rows: DataFrame, weights: tuple[float, ...] = (1.0, 2.0, 3.0), most: float = 3.0) -> DataFrame:
     """source, skey, source_size, docs, target: shares of 100 % of all sizes by weight, none above ``most`` times its source.
 
-    What a capped source can't take is shared by weight among the others until none is above: the level at which
-    the water of all uncapped sources stands, found from running sums over sources in order of the rate that caps them.
+    What a capped source can't take is shared by weight among the others until none is above. Sources may be many, so their
+    places in the order come from a distributed sort, and each round of sharing is a sum over them.
     """
     totals = rows.groupBy("source", "skey").agg(F.sum("size").alias("source_size"), F.count("*").alias("docs"))
-    rank = F.row_number().over(W.orderBy(F.col("source").asc_nulls_last())) - 1
-    weighed = totals.withColumn("weight", F.element_at(F.array(*map(F.lit, weights)), (rank % len(weights) + 1).cast("int")))
-    weighed = weighed.withColumn("cap", most * F.col("source_size")).withColumn("rate", F.col("cap") / F.col("weight"))
-    every, below = W.orderBy(F.lit(0)).rowsBetween(W.unboundedPreceding, W.unboundedFollowing), W.orderBy("rate", "skey").rowsBetween(W.unboundedPreceding, -1)
-    # With every source of a lower rate capped, the level is what is left over the weights that are left.
-    spent, gone = F.coalesce(F.sum("cap").over(below), F.lit(0.0)), F.coalesce(F.sum("weight").over(below), F.lit(0.0))
-    levelled = weighed.withColumn("level", (F.sum("source_size").over(every) - spent) / (F.sum("weight").over(every) - gone))
-    # The level is that of the first source which it doesn't cap.
-    settled = levelled.withColumn("level", F.min_by(F.when(F.col("rate") >= F.col("level"), F.col("level")), F.when(F.col("rate") >= F.col("level"), F.col("rate"))).over(every))
-    return settled.select("source", "skey", "source_size", "docs", F.least(F.col("cap"), F.col("weight") * F.col("level")).alias("target"))
+    ordered = materialise(totals.orderBy(F.col("source").asc_nulls_last()).withColumn("part", F.spark_partition_id()), "sources")
+    # A row for each partition of the sort: how many sources lie before it.
+    before = F.sum("many").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, -1))
+    parts = ordered.groupBy("part").agg(F.count("*").alias("many")).select("part", F.coalesce(before, F.lit(0)).alias("before"))
+    rank = F.row_number().over(W.partitionBy("part").orderBy(F.col("source").asc_nulls_last())) - 1 + F.col("before")
+    weighed = ordered.join(F.broadcast(parts), "part").withColumn("weight", F.element_at(F.array(*map(F.lit, weights)), (rank % len(weights) + 1).cast("int")))
+    weighed = weighed.withColumn("cap", most * F.col("source_size")).select("source", "skey", "source_size", "docs", "weight", "cap")
+    weighed = materialise(weighed, "weights", instead_of=(ordered,))
+    level, capped = 0.0, -1
+    while True:
+        over = F.col("weight") * level > F.col("cap")
+        sums = weighed.agg(F.sum("source_size"), F.sum(F.when(over, F.col("cap"))), F.sum(F.when(~over, F.col("weight"))), F.count(F.when(over, 1))).first()
+        if not sums[2] or sums[3] == capped:
+            break
+        level, capped = (sums[0] - (sums[1] or 0.0)) / sums[2], sums[3]
+    return weighed.select("source", "skey", "source_size", "docs", F.least(F.col("cap"), F.col("weight") * level).alias("target"))
 
 
 def _draws(seed: int, *names):
@@ -115,11 +130,12 @@ def land(size: np.ndarray, p: np.ndarray, draw) -> np.ndarray:
 
 
 def _phase(move, level: int, seed: int):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["size", "doc_id", "tag"], ascending=[False, True, True]).reset_index(drop=True)
-        draw = _draws(seed, pdf["skey"].iloc[0], pdf["chunk"].iloc[0], level)
-        pdf["p"] = move(pdf["size"].to_numpy(), pdf["p"].to_numpy(), draw)
-        return pdf[["doc_id", "skey", "size", "tag", "base", "p"]]
+    def run(group: pa.Table) -> pa.Table:
+        group = group.sort_by([("size", "descending"), ("doc_id", "ascending"), ("tag", "ascending")])
+        draw = _draws(seed, group["skey"][0].as_py(), group["chunk"][0].as_py(), level)
+        p = move(group["size"].to_numpy(), group["p"].to_numpy(), draw)
+        names = [x.split()[0] for x in UNITS.split(", ")]
+        return group.select(names).set_column(names.index("p"), "p", pa.array(p, pa.float64()))
 
     return run
 
@@ -130,16 +146,16 @@ def sample(rows: DataFrame, plan: DataFrame, seed: int = 7) -> DataFrame:
     near = F.when(F.abs(rate - F.round(rate)) < 1e-9, F.round(rate)).otherwise(rate)
     units = rows.join(plan.select("skey", "source_size", "docs", "target"), "skey").select("doc_id", "skey", "size", "tag", F.floor(near).cast("long").alias("base"), (near - F.floor(near)).alias("p"), "docs")
     chunk = F.pmod(F.xxhash64("tag", "doc_id"), F.ceil(F.col("docs") / CHUNK))
-    flown = materialise(units.withColumn("chunk", chunk).drop("docs").groupBy("skey", "chunk").applyInPandas(_phase(fly, 0, seed), UNITS), "flown")
+    flown = materialise(units.withColumn("chunk", chunk).drop("docs").groupBy("skey", "chunk").applyInArrow(_phase(fly, 0, seed), UNITS), "flown")
     done, level = [flown.where("p = 0 or p = 1")], 0
     rest = flown.where("p > 0 and p < 1")
     while (largest := rest.groupBy("skey").count().agg(F.max("count")).first()[0] or 0) > CHUNK:
         level += 1
         parts = -(-largest // CHUNK)
-        flown = materialise(rest.withColumn("chunk", F.pmod(F.xxhash64("tag", F.lit(level)), F.lit(parts))).groupBy("skey", "chunk").applyInPandas(_phase(fly, level, seed), UNITS), "flown")
+        flown = materialise(rest.withColumn("chunk", F.pmod(F.xxhash64("tag", F.lit(level)), F.lit(parts))).groupBy("skey", "chunk").applyInArrow(_phase(fly, level, seed), UNITS), "flown")
         done.append(flown.where("p = 0 or p = 1"))
         rest = flown.where("p > 0 and p < 1")
-    landed = rest.withColumn("chunk", F.lit(0)).groupBy("skey").applyInPandas(_phase(land, -1, seed), UNITS)
+    landed = rest.withColumn("chunk", F.lit(0)).groupBy("skey").applyInArrow(_phase(land, -1, seed), UNITS)
     for part in done:
         landed = landed.unionByName(part)
     return landed.select("doc_id", "skey", "size", "tag", (F.col("base") + F.round("p").cast("long")).alias("copies"))
@@ -159,5 +175,5 @@ def mixture(docs: DataFrame, weights: tuple[float, ...] = (1.0, 2.0, 3.0), most:
     plan = materialise(targets(rows, weights, most), "targets")
     name = lambda i, tag: F.struct(F.coalesce(i, F.lit(-1)), tag)
     copies = sample(rows, plan, seed).groupBy(name(F.col("doc_id"), F.col("tag")).alias("row_name")).agg(F.sum("copies").alias("row_copies")).where("row_copies > 0")
-    held = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), name(F.col("doc_id").cast("long"), F.xxhash64("doc_id", "text")).alias("row_name")).dropDuplicates(["row_name"])
+    held = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), name(F.col("doc_id").cast("long"), tag_of(docs)).alias("row_name")).dropDuplicates(["row_name"])
     return held.join(copies, "row_name").select("doc", F.explode(F.sequence(F.lit(1), F.col("row_copies").cast("int")))).select("doc.*")
