@@ -5,14 +5,15 @@
 2. Of records with equal payloads the one with the largest page_id is to stay a response, the others revisit it: decided over
    digests alone, pre-aggregated before the shuffle; no payload moves.
 3. The normaliser inflates a monolithic stream once, rewrites every record as a gzip member of its own (revisits without
-   their payload), and writes a sidecar index of offsets beside the archive. The monolithic file goes.
+   their payload, with the response's record id), and writes a sidecar index beside the archive: a JSON line for each record
+   with its id, page, URL, digest, offset and length. The monolithic file goes.
 4. Archives are read back through their indices, a member at a time.
 
 Files are put in place by a rename, under names that a repeated task repeats, so a lost executor leaves no half file.
 
 Defined results: a null html is an empty payload; a null page_id or url is left out of the headers (control characters in a url
 are percent-encoded) and comes back null, and counts below all others; rows alike in page_id and payload are records of their
-own, of which one is the response; an empty table gives an empty result; other columns don't matter.
+own, with ids of their own, of which one is the response; a stream that ends early is an error; an empty table gives an empty result; other columns don't matter.
 """
 
 from __future__ import annotations
@@ -22,13 +23,14 @@ import hashlib
 import json
 import uuid
 import zlib
+from itertools import groupby
 
 import pyarrow as pa
 from pyarrow import fs as afs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scriptorium.llm.common import materialise, shared_dir
+from scriptorium.llm.common import materialise, shared_dir, tidy
 
 WRITTEN = "file string, ordinal long, page_id long, payload_bytes long, sha1 string, sha256 string"
 RECORDS = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary, archive string, offset long"
@@ -39,15 +41,20 @@ def _headers(pairs) -> bytes:
     return "".join(f"{k}: {v}\r\n" for k, v in pairs if v is not None).encode()
 
 
-def record(kind: str, page_id, url, payload: bytes, digest: str, size: int, refers_to=None) -> bytes:
-    """A WARC record. A revisit holds the HTTP headers of its payload, and not the payload."""
+def record_id(file: str, ordinal: int) -> str:
+    """The id of the record that is written at this place: another for each, and the same if a task is repeated."""
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{file}#{ordinal}')}>"
+
+
+def record(kind: str, name: str, page_id, url, payload: bytes, digest: str, size: int, refers_to: tuple[str, int | None] | None = None) -> bytes:
+    """A WARC record. A revisit holds the HTTP headers of its payload, and not the payload; refers_to: the response's id and page."""
     http = b"HTTP/1.1 200 OK\r\n" + _headers([("Content-Type", "text/html; charset=utf-8"), ("Content-Length", size)]) + b"\r\n"
     block = http + (payload if kind == "response" else b"")
     safe = None if url is None else "".join(c if c > " " else f"%{ord(c):02X}" for c in url)
-    name = uuid.uuid5(uuid.NAMESPACE_URL, f"{page_id}|{safe}|{digest}")
+    other, page = refers_to or (None, None)
     return b"WARC/1.1\r\n" + _headers([
-        ("WARC-Type", kind), ("WARC-Record-ID", f"<urn:uuid:{name}>"), ("WARC-Date", DATE), ("WARC-Target-URI", safe), ("WARC-Page-ID", page_id),
-        ("WARC-Payload-Digest", f"sha1:{digest}"), ("WARC-Refers-To", None if refers_to is None else f"<urn:page:{refers_to}>"),
+        ("WARC-Type", kind), ("WARC-Record-ID", name), ("WARC-Date", DATE), ("WARC-Target-URI", safe), ("WARC-Page-ID", page_id),
+        ("WARC-Payload-Digest", f"sha1:{digest}"), ("WARC-Refers-To", other), ("WARC-Refers-To-Page-ID", page),
         ("WARC-Profile", None if kind == "response" else "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"),
         ("Content-Type", "application/http;msgtype=response"), ("Content-Length", len(block)),
     ]) + b"\r\n" + block + b"\r\n\r\n"
@@ -67,8 +74,7 @@ def parse(raw: bytes) -> tuple[dict[str, str], dict[str, str], bytes]:
 
 def split_stream(chunks):
     """Yields the raw records of an inflated stream, whatever its chunks."""
-    held = b""
-    need = 0
+    held, need = bytearray(), 0
     for chunk in chunks:
         held += chunk
         while True:
@@ -76,26 +82,30 @@ def split_stream(chunks):
                 end = held.find(b"\r\n\r\n")
                 if end < 0:
                     break
-                need = end + 4 + int(parse_headers(held[:end])["Content-Length"]) + 4
+                need = end + 4 + int(parse_headers(bytes(held[:end]))["Content-Length"]) + 4
             if len(held) < need:
                 break
-            yield held[:need]
-            held, need = held[need:], 0
+            yield bytes(held[:need])
+            del held[:need]
+            need = 0
     if held:
         raise ValueError("the stream ends inside a record")
 
 
 def inflate(source, size: int = 1 << 20):
-    """The content of a gzip file, of one member or many, read once."""
-    engine = zlib.decompressobj(31)
+    """The content of a gzip file, of one member or many, read once, in pieces of ``size`` bytes at most."""
+    engine, begun = zlib.decompressobj(31), False
     while chunk := source.read(size):
         while chunk:
-            yield engine.decompress(chunk)
-            chunk = engine.unused_data
+            begun = True
+            yield engine.decompress(chunk, size)
+            chunk = engine.unconsumed_tail
             if engine.eof:
-                engine = zlib.decompressobj(31)
-    if tail := engine.flush():
+                chunk, engine, begun = engine.unused_data, zlib.decompressobj(31), False
+    if begun and (tail := engine.flush()):
         yield tail
+    if begun and not engine.eof:
+        raise ValueError("the stream ends inside a member")
 
 
 def member(raw: bytes, level: int = 4) -> bytes:
@@ -117,6 +127,7 @@ def _write(root: str, most: int):
 
     names = ["file", "ordinal", "page_id", "payload_bytes", "sha1", "sha256"]
 
+    @tidy
     def run(batches):
         part, count = TaskContext.get().partitionId(), 0
         store, path = afs.FileSystem.from_uri(root)
@@ -137,10 +148,10 @@ def _write(root: str, most: int):
                     out, engine = store.open_output_stream(own, compression=None), zlib.compressobj(1, zlib.DEFLATED, 31)
                 payload = html or b""
                 digest = base64.b32encode(hashlib.sha1(payload).digest()).decode()
-                raw = record("response", page, url, payload, digest, len(payload))
+                raw = record("response", record_id(name, len(rows)), page, url, payload, digest, len(payload))
                 out.write(engine.compress(raw))
                 rows.append((name, len(rows), page, len(payload), digest, hashlib.sha256(payload).hexdigest()))
-                size += len(payload)
+                size += len(raw)
                 if size >= most:
                     yield close()
                     out, rows, size = None, [], 0
@@ -150,43 +161,58 @@ def _write(root: str, most: int):
     return run
 
 
-def normalise(source, decisions: dict[int, tuple[str, int | None]], out) -> list[tuple[int, int]]:
-    """Rewrite a monolithic stream record by record; returns offset and length of each member.
+def normalise(source, decisions, out):
+    """Rewrite a monolithic stream record by record; yields what the index says of each.
 
-    decisions: by ordinal, whether it is a response or a revisit, and of what.
+    decisions: for the records in order, whether it is a response or a revisit, and the record id and page that it refers to.
     """
-    index, at = [], 0
-    for i, raw in enumerate(split_stream(inflate(source))):
-        kind, refers = decisions[i]
+    at = 0
+    for raw, (kind, refers, refers_page) in zip(split_stream(inflate(source)), decisions, strict=True):
+        headers, http, payload = parse(raw)
+        name, page, url, digest = (headers.get(f"WARC-{x}") for x in ("Record-ID", "Page-ID", "Target-URI", "Payload-Digest"))
         if kind == "revisit":
-            headers, http, payload = parse(raw)
-            page = headers.get("WARC-Page-ID")
-            raw = record(kind, page, headers.get("WARC-Target-URI"), b"", headers["WARC-Payload-Digest"][5:], int(http["Content-Length"]), refers)
+            raw = record(kind, name, page, url, b"", digest[5:], int(http["Content-Length"]), (refers, refers_page))
         done = member(raw)
         out.write(done)
-        index.append((at, len(done)))
+        yield {"record": name, "type": kind, "page": None if page is None else int(page), "url": url, "digest": digest, "offset": at, "length": len(done)}
         at += len(done)
-    return index
 
 
 def _normalise(root: str):
-    def run(pdf):
-        import pandas as pd
+    """Rows (file, ordinal, record_type, refers_file, refers_ordinal, refers_to) in order of file and ordinal to a row for each archive."""
+
+    @tidy
+    def run(batches):
+        store, path = afs.FileSystem.from_uri(root)
+        rows = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns), strict=True))
+        for name, mine in groupby(rows, key=lambda r: r[0]):
+            target, found = name.replace(".whole.warc.gz", ".warc.gz"), []
+            decisions = ((kind, None if file is None else record_id(file, ordinal), page) for _, _, kind, file, ordinal, page in mine)
+            with store.open_input_stream(f"{path}/{name}", compression=None) as source:
+                _put(root, target, lambda out: found.extend(json.dumps(x) for x in normalise(source, decisions, out)))  # noqa: B023
+            _put(root, f"{target}.index", lambda out: out.write("".join(x + "\n" for x in found).encode()))  # noqa: B023
+            yield pa.RecordBatch.from_arrays([pa.array([target]), pa.array([name]), pa.array([len(found)], pa.int64())], ["archive", "whole", "records"])
+
+    return run
+
 
-        name = pdf["file"].iloc[0]
-        target = name.replace(".whole.warc.gz", ".warc.gz")
+def _delete(root: str):
+    def run(batches):
         store, path = afs.FileSystem.from_uri(root)
-        plain = lambda x: None if pd.isna(x) else int(x)
-        decisions = {int(o): (k, plain(r)) for o, k, r in zip(pdf["ordinal"], pdf["record_type"], pdf["refers_to"], strict=True)}
-        found = []
-        with store.open_input_stream(f"{path}/{name}", compression=None) as source:
-            _put(root, target, lambda out: found.extend(normalise(source, decisions, out)))
-        _put(root, f"{target}.index", lambda out: out.write("".join(json.dumps({"offset": a, "length": n}) + "\n" for a, n in found).encode()))
-        return pd.DataFrame({"archive": [target], "records": [len(found)]})
+        for batch in batches:
+            for name in batch.column(0).to_pylist():
+                if store.get_file_info(f"{path}/{name}").type != afs.FileType.NotFound:
+                    store.delete_file(f"{path}/{name}")
+            yield batch
 
     return run
 
 
+def read_index(store, path: str) -> list[dict]:
+    with store.open_input_stream(f"{path}.index", compression=None) as f:
+        return [json.loads(x) for x in f.read().decode().splitlines()]
+
+
 def read_member(source, offset: int, length: int):
     source.seek(offset)
     return parse(zlib.decompress(source.read(length), 31))
@@ -197,22 +223,22 @@ def _read(root: str):
     names = ["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload", "archive", "offset"]
     types = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary(), pa.string(), pa.int64()]
 
+    @tidy
     def run(batches):
         store, path = afs.FileSystem.from_uri(root)
         for batch in batches:
             for archive in batch.column(0).to_pylist():
-                with store.open_input_stream(f"{path}/{archive}.index") as f:
-                    index = [json.loads(x) for x in f.read().decode().splitlines()]
+                index = read_index(store, f"{path}/{archive}")
                 out, size = [], 0
                 with store.open_input_file(f"{path}/{archive}") as source:
                     for one in index:
                         headers, http, payload = read_member(source, one["offset"], one["length"])
-                        kind, refers, page = headers["WARC-Type"], headers.get("WARC-Refers-To"), headers.get("WARC-Page-ID")
+                        kind, refers, page = headers["WARC-Type"], headers.get("WARC-Refers-To-Page-ID"), headers.get("WARC-Page-ID")
                         digest = headers["WARC-Payload-Digest"][5:]
                         if kind == "response" and base64.b32encode(hashlib.sha1(payload).digest()).decode() != digest:
                             raise ValueError(f"{archive} at {one['offset']}: the payload isn't what its digest says")
-                        out.append((None if page is None else int(page), headers.get("WARC-Target-URI"), int(http["Content-Length"]), digest, kind, int(refers[len("<urn:page:") : -1]) if refers else None, payload, archive, one["offset"]))
-                        size += len(payload)
+                        out.append((None if page is None else int(page), headers.get("WARC-Target-URI"), int(http["Content-Length"]), digest, kind, None if refers is None else int(refers), payload, archive, one["offset"]))
+                        size += len(payload) + 500
                         if size > 16_000_000:
                             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names)
                             out, size = [], 0
@@ -238,12 +264,12 @@ def archive(pages: DataFrame, at_least: int = 0, file_bytes: int = 64 << 20, roo
     by = ["sha256", "payload_bytes"]
     top = rows.where(F.col("payload_bytes") >= at_least).groupBy(*by).agg(F.max(F.struct("page_id", "file", "ordinal")).alias("top"))
     alone = F.col("top").isNull() | ((F.col("top.file") == F.col("file")) & (F.col("top.ordinal") == F.col("ordinal")))
-    decided = rows.join(top, by, "left").select("file", "ordinal", F.when(alone, "response").otherwise("revisit").alias("record_type"), F.when(~alone, F.col("top.page_id")).alias("refers_to"))
-    # A file is a task, however few rows tell what becomes of its records.
+    refers = [F.when(~alone, F.col(f"top.{c}")).alias(f"refers_{c}") for c in ("file", "ordinal", "page_id")]
+    decided = rows.join(top, by, "left").select("file", "ordinal", F.when(alone, "response").otherwise("revisit").alias("record_type"), *refers)
+    # Whole files go to a task, which streams through them beside the sorted rows that tell what becomes of their records.
     files = max(1, rows.select("file").distinct().count())
-    archives = materialise(decided.repartition(files, "file").groupBy("file").applyInPandas(_normalise(root), "archive string, records long"), "archives")
-    for info in store.get_file_info(afs.FileSelector(path)):
-        if info.path.endswith(".whole.warc.gz"):
-            store.delete_file(info.path)
+    archives = decided.repartition(files, "file").sortWithinPartitions("file", "ordinal").mapInArrow(_normalise(root), "archive string, whole string, records long")
+    archives = materialise(archives, "archives", instead_of=(rows,))
+    archives.select("whole").mapInArrow(_delete(root), "whole string").write.format("noop").mode("overwrite").save()
     n = max(1, min(archives.count(), 10_000))
     return archives.select("archive").repartition(n).mapInArrow(_read(root), RECORDS)
