@@ -4,8 +4,10 @@ Vectors of one label (and one length) compare with each other only. Equal vector
 stands for, so a vector that comes very often is one node. A label's classes are dealt to shards of a bounded size; each shard
 gets a graph. Every class queries every shard of its label: a greedy descent, then a beam on the lowest layer, which widens
 for a query as long as all it holds is above the threshold, and for the shard until an audit (a sample of its queries against
-brute force over the shard) finds its recall high enough, up to the whole shard. Cosines in double precision verify. A task
-emits sums of links and a spanning forest of them, never the pairs of a group; forests are united into components.
+brute force over the shard) finds its recall high enough, up to the whole shard. A query whose beam would hold an eighth of
+the shard is answered from the whole shard, which then costs less. A task has two shards, which query each other's graphs: a
+pair is linked if either side finds it. Cosines in double precision verify. A task emits sums of links and a spanning forest
+of them, never the pairs of a group; forests are united into components.
 
 Defined results: vectors that are null, zero, or hold a null or non-finite component, and those with a null label, have no
 links and are their own component; a repeated vec_id is a row and a vector of its own; a null vec_id counts after all others; an
@@ -17,7 +19,7 @@ from __future__ import annotations
 import heapq
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,10 +27,10 @@ from scriptorium.llm.common import Forest, components, materialise
 
 #: Classes to a shard, about; links a node keeps on upper layers (twice as many on the lowest); beams at building and querying.
 SHARD, M, BUILD_BEAM, BEAM = 8192, 12, 48, 32
-#: Queries of an audit, and the recall it asks for.
-AUDIT, RECALL = 48, 0.99
+#: Queries of an audit, and the recall it asks for; the part of a shard that a beam may hold; queries that meet a whole shard together.
+AUDIT, RECALL, PART, BLOCK = 48, 0.99, 8, 512
 
-GRAPH = "label long, dim int, shards int, shard int, node int, cid long, many long, vec array<double>, links array<array<int>>"
+GRAPH = "label long, dim int, shards int, shard int, cid long, many long, vec array<double>, node int, links array<array<int>>"
 FOUND = "cid long, found long, a long, b long"
 
 
@@ -112,18 +114,20 @@ class Graph:
         if height > top:
             self.entry = i
 
-    def reach(self, q: np.ndarray, least: float, width: int) -> list[int]:
-        """The nodes at ``least`` similarity or more that a beam of this width, or wider as long as it is full of them, finds; all of them once it is as wide as the graph."""
+    def reach(self, q: np.ndarray, least: float, width: int) -> list[int] | None:
+        """The nodes at ``least`` similarity or more that a beam of this width, or wider as long as it is full of them, finds.
+
+        None if the beam would hold a ``PART`` of the shard: it is to be compared with all of it, links or not.
+        """
         at = [self.entry]
         for layer in range(len(self.links[self.entry]) - 1, 0, -1):
             at = [self.beam(q, at, 1, layer)[0][1]]
-        while True:
-            if width >= len(self.links):  # links may not lead everywhere
-                return np.flatnonzero(self.vectors @ q >= least).tolist()
+        while width * PART < len(self.links):
             found = self.beam(q, at, width, 0)
             if len(found) < width or found[-1][0] < least:
                 return [j for s, j in found if s >= least]
             width, at = 2 * width, [j for _, j in found]
+        return None
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
@@ -132,52 +136,90 @@ def unit(vectors: np.ndarray) -> np.ndarray:
     return scaled / np.sqrt((scaled * scaled).sum(axis=1, keepdims=True))
 
 
-def _build(pdf: pd.DataFrame) -> pd.DataFrame:
-    pdf = pdf.sort_values("cid").reset_index(drop=True)
-    graph = Graph.build(unit(np.stack(pdf["vec"])).astype(np.float32))
-    pdf["node"], pdf["links"] = np.arange(len(pdf), dtype=np.int32), graph.links
-    return pdf[[x.split()[0] for x in GRAPH.split(", ")]]
+def vectors_of(rows: pa.Table) -> np.ndarray:
+    return unit(rows["vec"].combine_chunks().flatten().to_numpy().reshape(rows.num_rows, -1))
+
+
+def _build(rows: pa.Table) -> pa.Table:
+    rows = rows.sort_by("cid")
+    graph = Graph.build(vectors_of(rows).astype(np.float32))
+    names = [x.split()[0] for x in GRAPH.split(", ")]
+    rows = rows.append_column("node", pa.array(np.arange(rows.num_rows, dtype=np.int32)))
+    return rows.append_column("links", pa.array(graph.links, pa.list_(pa.list_(pa.int32())))).select(names)
+
+
+class Shard:
+    """What a task has of a shard: unit vectors, the graph over them, ids, and how many rows each class stands for."""
+
+    def __init__(self, rows: pa.Table):
+        rows = rows.sort_by("node")
+        self.exact = vectors_of(rows)
+        self.coarse = self.exact.astype(np.float32)
+        self.cids, self.many = rows["cid"].to_numpy(), rows["many"].to_numpy()
+        self.graph = Graph(self.coarse, rows["links"].to_pylist())
+
+
+def find(asked: Shard, held: Shard, cosine: float, slack: float = 1e-5) -> np.ndarray:
+    """Which classes of ``asked`` (rows) are linked with which of ``held`` (columns), as the graph of ``held`` finds them."""
+    n, same = len(asked.cids), asked is held
+    # The audit: widen the beam for all until a sample's links to others are found. The sample grows until it has AUDIT
+    # links, or is all that are asked.
+    order, sample, truth, seen, width = np.random.default_rng(n).permutation(n), [], [], 0, BEAM
+    for s in range(0, n, AUDIT):
+        some = order[s : s + AUDIT]
+        near = asked.exact[some] @ held.exact.T >= cosine
+        if same:
+            near[np.arange(len(some)), some] = False
+        for i, row in zip(some[near.any(axis=1)].tolist(), near[near.any(axis=1)], strict=True):
+            sample.append(i)
+            truth.append(set(np.flatnonzero(row).tolist()))
+            seen += len(truth[-1])
+        if seen >= AUDIT:
+            break
+    while True:
+        got = [held.graph.reach(asked.coarse[i], cosine - slack, width) for i in sample]
+        if sum(len(t) if g is None else len(t & set(g)) for g, t in zip(got, truth, strict=True)) >= RECALL * sum(map(len, truth)):
+            break
+        width *= 2
+    out, whole = np.zeros((n, len(held.cids)), bool), []
+    for i in range(n):
+        near = held.graph.reach(asked.coarse[i], cosine - slack, width)
+        if near is None:
+            whole.append(i)
+        elif near:
+            near = np.array(near)
+            out[i, near[held.exact[near] @ asked.exact[i] >= cosine]] = True
+    for s in range(0, len(whole), BLOCK):
+        some = whole[s : s + BLOCK]
+        out[some] = asked.exact[some] @ held.exact.T >= cosine
+    return out
 
 
 def _query(cosine: float):
-    slack = 1e-5
-
-    def run(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
-        none = pd.DataFrame({c: [] for c in ("cid", "found", "a", "b")}, dtype="Int64")
-        if not len(asked) or not len(held):
-            return none
-        held = held.sort_values("node")
-        exact, cids, many = unit(np.stack(held["vec"])), held["cid"].to_numpy(), held["many"].to_numpy()
-        graph = Graph(exact.astype(np.float32), [[x.tolist() for x in node] for node in held["links"]])
-        asked = asked.sort_values("cid")
-        queries, ids = unit(np.stack(asked["vec"])), asked["cid"].to_numpy()
-        coarse, width = queries.astype(np.float32), BEAM
-        # The audit: widen the beam for all until a sample's links to others are found, or the beam is the shard. The
-        # sample grows until it has AUDIT links, or is all that are asked.
-        order, sample, truth, seen = np.random.default_rng(len(ids)).permutation(len(ids)), [], [], 0
-        for s in range(0, len(ids), AUDIT):
-            some = order[s : s + AUDIT]
-            for i, near in zip(some.tolist(), (exact @ queries[some].T >= cosine).T, strict=True):
-                others = np.flatnonzero(near & (cids != ids[i])).tolist()
-                if others:
-                    sample.append(i)
-                    truth.append(set(others))
-                    seen += len(others)
-            if seen >= AUDIT:
-                break
-        while width < len(cids):
-            got = sum(len(t & set(graph.reach(coarse[i], cosine - slack, width))) for i, t in zip(sample, truth, strict=True))
-            if got >= RECALL * sum(map(len, truth)):
-                break
-            width *= 2
-        forest, rows = Forest(), []
-        for i, cid in enumerate(ids.tolist()):
-            near = np.array(graph.reach(coarse[i], cosine - slack, width), int)
-            near = near[exact[near] @ queries[i] >= cosine]
-            near = near[cids[near] != cid]
-            rows.append((cid, int(many[near].sum()), None, None))
-            rows += [(None, None, cid, other) for other in cids[near].tolist() if forest.join(cid, other)]
-        return pd.DataFrame(rows, columns=["cid", "found", "a", "b"]).astype("Int64")
+    """The rows of two shards, or of one, to sums of links (cid, found) and a forest of them (a, b)."""
+    schema = pa.schema([(x.split()[0], pa.int64()) for x in FOUND.split(", ")])
+
+    def run(rows: pa.Table) -> pa.Table:
+        low, high = rows["low"][0].as_py(), rows["high"][0].as_py()
+        of = rows["shard"].to_numpy()
+        left = Shard(rows.filter(pa.array(of == low)))
+        right = left if low == high else Shard(rows.filter(pa.array(of == high)))
+        linked = find(left, right, cosine)
+        if left is right:
+            linked |= linked.T
+            np.fill_diagonal(linked, False)
+        else:
+            linked |= find(right, left, cosine).T
+        forest, out, found = Forest(), [], np.zeros(len(right.cids), np.int64)
+        for i, cid in enumerate(left.cids.tolist()):
+            near = np.flatnonzero(linked[i])
+            if len(near):
+                out.append((cid, int(right.many[near].sum()), None, None))
+                found[near] += left.many[i]
+                out += [(None, None, cid, other) for other in right.cids[near].tolist() if forest.join(cid, other)]
+        if left is not right:
+            out += [(cid, n, None, None) for cid, n in zip(right.cids.tolist(), found.tolist(), strict=True) if n]
+        return pa.table(list(zip(*out, strict=True)) if out else [[]] * 4, schema=schema)
 
     return run
 
@@ -186,13 +228,10 @@ def search(classes: DataFrame, cosine: float) -> DataFrame:
     """classes (label, dim, cid, vec, many) to rows with a class's links in a shard (cid, found) or a link (a, b)."""
     counts = classes.groupBy("label", "dim").agg(F.ceil(F.count("*") / SHARD).cast("int").alias("shards"))
     dealt = classes.join(counts, ["label", "dim"]).withColumn("shard", F.pmod(F.xxhash64("cid"), F.col("shards")).cast("int"))
-    graph = materialise(dealt.groupBy("label", "dim", "shard").applyInPandas(_build, GRAPH), "graph")
-    # Each pair of shards of a label is a task: the classes of one query the graph of the other.
-    every = F.explode(F.sequence(F.lit(0), F.col("shards") - 1))
-    asked = graph.select("label", "dim", F.col("shard").alias("q"), every.alias("t"), "cid", "vec")
-    held = graph.select("label", "dim", every.alias("q"), F.col("shard").alias("t"), "node", "cid", "many", "vec", "links")
-    by = ["label", "dim", "q", "t"]
-    return asked.groupBy(*by).cogroup(held.groupBy(*by)).applyInPandas(_query(cosine), FOUND)
+    graph = materialise(dealt.groupBy("label", "dim", "shard").applyInArrow(_build, GRAPH), "graph")
+    paired = graph.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)))
+    paired = paired.withColumn("low", F.least("shard", "other")).withColumn("high", F.greatest("shard", "other"))
+    return paired.groupBy("label", "dim", "low", "high").applyInArrow(_query(cosine), FOUND)
 
 
 def group_vectors(vectors: DataFrame, cosine: float = 0.93) -> DataFrame:
