@@ -6,12 +6,14 @@
    of similarity t share a known number of sketch values at least: all of t times a small set, and of a full sketch ``FLOOR``
    (five standard deviations below the mean, a miss in some millions of links). Classes with fewer shared values go no further.
 3. Inverted lists of retained values: from the ``PROBE`` smallest values, those that are shared by fewest classes, as
-   many as it takes for two linked classes to meet in one. Lists with equal members are one list. A long list is
-   cut into tiles and each pair of tiles is a task, so no list is gathered and no list's pairs are ever emitted.
-4. In a task, overlaps of sketches are products of their incidence matrices; pairs with enough overlap are estimated on the
+   many as it takes for two linked classes to meet in one. Lists with equal members are one list.
+4. A long list is cut into tiles of a bounded size. All tiles meet the first; then the classes that this hasn't connected with
+   the list's largest component meet each other and the rest, which is few for a family of near copies, however large. So no
+   list is gathered, no list's pairs are emitted, and no pair that could connect two components is left out.
+5. In a task, overlaps of sketches are products of their incidence matrices; pairs with enough overlap are estimated on the
    sketch of the union, and exact Jaccard on the full sets verifies. Pairs already connected are skipped, biggest overlap
    first, and only a spanning forest of verified links leaves the task.
-5. Forests are united into components.
+6. Forests are united into components.
 
 Words are ``[^\\x20\\x09-\\x0D]+`` after lower-casing A-Z. Defined results: without words or text a document has the empty set and
 is linked with nothing; with fewer words than a shingle the whole sequence is its only shingle; a null id is carried, and
@@ -24,16 +26,17 @@ import hashlib
 import math
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scriptorium.llm.common import Forest, components, materialise, pieces, row_key
+from scriptorium.llm.common import Forest, components, materialise, pieces, row_key, tidy
 from scriptorium.llm.substring_dedup import run_hashes, word_hasher
 
-#: Values to a sketch; of these, the smallest that serve as keys of inverted lists; classes to a tile.
-SKETCH, PROBE, TILE = 64, 16, 1024
+#: Values to a sketch; of these, the smallest that serve as keys of inverted lists; classes and shingles to a tile, about.
+SKETCH, PROBE, TILE, TILE_SHINGLES = 64, 16, 1024, 2_000_000
+#: Columns of an incidence matrix that are held at a time.
+COLUMNS = 4096
 
 
 def floor_of(size: int, similarity: float) -> int:
@@ -52,6 +55,7 @@ def shingles(words: list[bytes], hashes, n: int) -> np.ndarray:
 
 
 def _sketch(n: int):
+    @tidy
     def run(batches):
         hashes = word_hasher()
         for batch in pieces(batches):
@@ -69,6 +73,7 @@ def _sketch(n: int):
 def _sets(n: int):
     """Rows (cls, text) to (cls, the whole set), for sets that the sketch doesn't hold whole."""
 
+    @tidy
     def run(batches):
         hashes = word_hasher()
         for batch in pieces(batches):
@@ -96,36 +101,48 @@ def estimate(a: np.ndarray, b: np.ndarray) -> float:
     return float(np.count_nonzero(times[:SKETCH] == 2) / min(SKETCH, len(union)))
 
 
-def link_tile(sizes, sketches, members, lists, mine, similarity: float, left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]:
+def products(owner: np.ndarray, column: np.ndarray, n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """How many columns the rows ``a`` and ``b`` of an incidence matrix of n rows, given by (owner, column), share."""
+    out, order = np.zeros((len(a), len(b)), np.float32), np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    for s in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        x, y = np.searchsorted(column, [s, s + COLUMNS])
+        hold = np.zeros((n, COLUMNS), np.float32)
+        hold[owner[x:y], column[x:y] - s] = 1
+        out += hold[a] @ hold[b].T
+    return out
+
+
+def link_tile(sizes, sketches, members, lists, mine, similarity: float, left: np.ndarray, right: np.ndarray, known=None) -> list[tuple[int, int]]:
     """A spanning forest of the links between the classes of two tiles of list ``mine`` (the same tile: within it).
 
-    A pair is this list's if no earlier list has both. Overlaps of all pairs are one matrix product of sketch incidences.
+    A pair is this list's if no earlier list has both. known: a mark of each class; those with the same one are connected
+    already, and what connects them isn't told again.
     """
     every = np.unique(np.concatenate([left, right]))
     values, at = np.unique(np.concatenate([sketches[i] for i in every]), return_inverse=True)
     owner = np.repeat(np.arange(len(every)), [len(sketches[i]) for i in every])
     often = np.bincount(at) > 1
-    column = np.cumsum(often) - 1
-    hold = np.zeros((len(every), int(often.sum())), np.float32)
     keep = often[at]
-    hold[owner[keep], column[at[keep]]] = 1
-    earlier, of = np.unique(np.concatenate([[x for x in lists[i] if x < mine] for i in every] or [[]]), return_inverse=True)
-    taken = np.zeros((len(every), len(earlier)), np.float32)
-    taken[np.repeat(np.arange(len(every)), [sum(x < mine for x in lists[i]) for i in every]), of] = 1
     a, b = np.searchsorted(every, left), np.searchsorted(every, right)
-    shared = hold[a] @ hold[b].T
-    if len(earlier):
-        shared[(taken[a] @ taken[b].T) > 0] = 0
+    shared = products(owner[keep], (np.cumsum(often) - 1)[at[keep]], len(every), a, b)
+    before = [[x for x in lists[i] if x < mine] for i in every]
+    if any(before):
+        earlier, of = np.unique(np.concatenate(before), return_inverse=True)
+        shared[products(np.repeat(np.arange(len(every)), list(map(len, before))), of, len(every), a, b) > 0] = 0
     length = np.array([sizes[i] for i in every])
-    small = np.minimum.outer(length[a], length[b])
-    full = np.maximum.outer(length[a], length[b]) <= SKETCH
-    need = np.where(full, np.ceil(similarity * np.maximum.outer(length[a], length[b]) - 1e-9), floor_of(SKETCH, similarity))
-    close = (shared >= np.maximum(need, 1)) & (small >= similarity * np.maximum.outer(length[a], length[b]) - 1e-9)
+    small, large = np.minimum.outer(length[a], length[b]), np.maximum.outer(length[a], length[b])
+    need = np.where(large <= SKETCH, np.ceil(similarity * large - 1e-9), floor_of(SKETCH, similarity))
+    close = (shared >= np.maximum(need, 1)) & (small >= similarity * large - 1e-9)
     x, y = np.nonzero(close)
     if len(left) == len(right) and (left == right).all():
         x, y = x[x < y], y[x < y]
     order = np.argsort(-shared[x, y], kind="stable")
     forest, links = Forest(), []
+    if known is not None:
+        first: dict = {}
+        for i in every.tolist():
+            forest.join(first.setdefault(known[i], i), i)
     least = floor_of(SKETCH, similarity) / SKETCH
     for i, j in zip(every[a[x[order]]].tolist(), every[b[y[order]]].tolist(), strict=True):
         if i == j or forest.root(i) == forest.root(j):
@@ -140,15 +157,22 @@ def link_tile(sizes, sketches, members, lists, mine, similarity: float, left: np
 
 
 def _verify(similarity: float):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.drop_duplicates("cid").sort_values("cid").reset_index(drop=True)
-        cids, mine = list(pdf["cid"]), int(pdf["list"].iloc[0])
-        members = [np.sort(np.array(m, np.int64).view(np.uint64)) for m in pdf["members"]]
-        sketches = [m[:SKETCH] for m in members]
-        tile = pdf["tile"].to_numpy()
-        left, right = np.flatnonzero(tile == pdf["low"].iloc[0]), np.flatnonzero(tile == pdf["high"].iloc[0])
-        links = link_tile([len(m) for m in members], sketches, members, [list(x) for x in pdf["lists"]], mine, similarity, left, right) if len(left) and len(right) else []
-        return pd.DataFrame({"a": [cids[i] for i, _ in links], "b": [cids[j] for _, j in links]}, dtype="int64")
+    """Rows (cid, members, lists, list, tile, low, high, comp) of two tiles of a list to links (a, b)."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def run(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("cid").combine_chunks()
+        low, high, tile = rows["low"][0].as_py(), rows["high"][0].as_py(), rows["tile"].to_numpy()
+        left, right = np.flatnonzero(tile == low), np.flatnonzero(tile == high)
+        links: list = []
+        if len(left) and len(right):
+            cids, held = rows["cid"].to_pylist(), rows["members"].combine_chunks()
+            flat, ends = held.flatten().to_numpy().view(np.uint64), held.offsets.to_numpy() - held.offsets[0].as_py()
+            members = [np.sort(flat[x:y]) for x, y in zip(ends[:-1], ends[1:], strict=True)]
+            known = rows["comp"].to_pylist()
+            found = link_tile(np.diff(ends).tolist(), [m[:SKETCH] for m in members], members, rows["lists"].to_pylist(), rows["list"][0].as_py(), similarity, left, right, known)
+            links = [(cids[i], cids[j]) for i, j in found]
+        return pa.table([[a for a, _ in links], [b for _, b in links]], schema=schema)
 
     return run
 
@@ -173,20 +197,43 @@ def find_links(classes: DataFrame, texts: DataFrame, similarity: float, n: int)
     none = F.slice("held", 1, 0)
     whole = F.when(size <= SKETCH, rarest(F.col("sketch"), size, exact)).otherwise(none)
     probe = F.when(~alone, rarest(F.slice("sketch", 1, PROBE), F.lit(PROBE), F.lit(floor_of(PROBE, similarity)))).otherwise(none)
-    posts = strong.select("cid", F.explode(F.array_distinct(F.concat(whole, probe))).alias("key")).select("cid", F.col("key.value").alias("value"))
+    posts = strong.select("cid", "n_shingles", F.explode(F.array_distinct(F.concat(whole, probe))).alias("key")).select("cid", "n_shingles", F.col("key.value").alias("value"))
     # Lists with the same members are one list, named by the smallest of their values.
-    marks = posts.groupBy("value").agg(F.count("*").alias("many"), F.sum(F.xxhash64("cid").cast("decimal(38,0)")).alias("s1"), F.sum(F.xxhash64("cid", F.lit(1)).cast("decimal(38,0)")).alias("s2")).where("many > 1")
-    lists = marks.groupBy("many", "s1", "s2").agg(F.min("value").alias("value")).select("value", "many")
-    mine = posts.join(lists, "value").groupBy("cid").agg(F.collect_list(F.struct(F.col("value").alias("list"), "many")).alias("found"))
+    marks = posts.groupBy("value").agg(F.count("*").alias("many"), F.sum("n_shingles").alias("heavy"), F.sum(F.xxhash64("cid").cast("decimal(38,0)")).alias("s1"), F.sum(F.xxhash64("cid", F.lit(1)).cast("decimal(38,0)")).alias("s2")).where("many > 1")
+    lists = marks.groupBy("many", "heavy", "s1", "s2").agg(F.min("value").alias("value")).select("value", F.greatest(F.ceil(F.col("many") / TILE), F.ceil(F.col("heavy") / TILE_SHINGLES)).cast("int").alias("tiles"))
+    mine = posts.join(lists, "value").groupBy("cid").agg(F.collect_list(F.struct(F.col("value").alias("list"), "tiles")).alias("found"))
     # The whole sets of the classes that are left: the sketch, or made again from one text of each.
-    met = materialise(strong.select("cid", "n_shingles", "sketch", "k1", "k2").join(mine, "cid"), "met")
+    met = materialise(strong.select("cid", "n_shingles", "sketch", "k1", "k2").join(mine, "cid"), "met", instead_of=(strong,))
     large = met.where(size > SKETCH).select("cid", "k1", "k2")
-    sets = texts.join(large, ["k1", "k2"]).select("cid", "text").mapInArrow(_sets(n), "cid long, members array<long>")
-    full = materialise(met.select("cid", "sketch", "found").join(sets, "cid", "left").select("cid", F.coalesce("members", "sketch").alias("members"), "found"), "sets")
-    tiled = full.select("cid", "members", F.col("found.list").alias("lists"), F.explode("found").alias("f")).select("cid", "members", "lists", F.col("f.list").alias("list"), F.ceil(F.col("f.many") / TILE).cast("int").alias("tiles"))
-    tiled = tiled.withColumn("tile", F.pmod(F.xxhash64("cid", F.lit(2)), F.col("tiles")).cast("int"))
-    tiled = tiled.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).withColumn("low", F.least("tile", "other")).withColumn("high", F.greatest("tile", "other"))
-    return tiled.groupBy("list", "low", "high").applyInPandas(_verify(similarity), "a long, b long")
+    one = texts.join(large, ["k1", "k2"]).groupBy("k1", "k2").agg(F.first("cid").alias("cid"), F.first("text").alias("text"))
+    sets = one.select("cid", "text").mapInArrow(_sets(n), "cid long, members array<long>")
+    full = materialise(met.select("cid", "sketch", "found").join(sets, "cid", "left").select("cid", F.coalesce("members", "sketch").alias("members"), "found"), "sets", instead_of=(met,))
+    listed = full.select("cid", "members", F.col("found.list").alias("lists"), F.explode("found").alias("f")).select("cid", "members", "lists", "f.list", "f.tiles")
+    listed = listed.withColumn("tile", F.pmod(F.xxhash64("cid", F.lit(2)), F.col("tiles")).cast("int"))
+
+    def compare(rows):
+        return rows.select("cid", "members", "lists", "list", "tile", "low", "high", "comp").groupBy("list", "low", "high").applyInArrow(_verify(similarity), "a long, b long")
+
+    # The first tile meets itself and each other tile.
+    others = F.when(F.col("tile") == 0, F.sequence(F.lit(0), F.col("tiles") - 1)).otherwise(F.array("tile"))
+    links = materialise(compare(listed.withColumn("high", F.explode(others)).withColumn("low", F.lit(0)).withColumn("comp", F.col("cid"))), "links")
+    long = listed.where("tiles > 1")
+    if long.isEmpty():
+        return links
+    # Of the other tiles, what isn't in the list's largest component meets itself and the rest of the list, tile by tile.
+    comps = components(links, "near-lists").select(F.col("node").alias("cid"), F.col("component").alias("comp"))
+    named = long.where("tile > 0").join(comps, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
+    sums = named.groupBy("list", "comp").agg(F.count("*").alias("n"), F.sum(F.size("members")).alias("heavy"))
+    tiles = lambda n, heavy: F.greatest(F.ceil(n / TILE), F.ceil(heavy / TILE_SHINGLES)).cast("int")
+    most = sums.groupBy("list").agg(F.max_by("comp", F.struct("n", "comp")).alias("top"), F.max("n").alias("n"), F.max_by("heavy", F.struct("n", "comp")).alias("heavy"), F.sum("n").alias("all"), F.sum("heavy").alias("all_heavy"))
+    most = most.where("all > n").select("list", "top", tiles(F.col("n"), F.col("heavy")).alias("top_tiles"), tiles(F.col("all") - F.col("n"), F.col("all_heavy") - F.col("heavy")).alias("rest_tiles"))
+    rest = named.drop("tiles", "tile").join(most, "list").withColumn("in_top", F.col("comp") == F.col("top"))
+    own = F.pmod(F.xxhash64("cid", F.lit(3)), F.when(F.col("in_top"), F.col("top_tiles")).otherwise(F.col("rest_tiles"))).cast("int")
+    rest = rest.withColumn("tile", F.when(F.col("in_top"), F.col("rest_tiles") + own).otherwise(own))
+    # Tiles of the rest come first; each meets all others, those of the largest component only them.
+    rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.when(F.col("in_top"), F.col("rest_tiles")).otherwise(F.col("rest_tiles") + F.col("top_tiles")) - 1)))
+    rest = rest.withColumn("low", F.least("tile", "other")).withColumn("high", F.greatest("tile", "other"))
+    return links.unionByName(compare(rest))
 
 
 def group_near(docs: DataFrame, similarity: float = 0.8, n: int = 5) -> DataFrame:
