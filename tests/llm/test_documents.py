@@ -219,6 +219,38 @@ def test_chunks_of_the_flight(spark, monkeypatch):
     assert all(abs(r["taken"] - r["target"]) <= 40 for r in rows)
 
 
+BIG = 1 << 60
+
+
+def test_large_ids_beside_nulls(spark):
+    """Ids beyond what a double holds come back as they are from every operator, beside null ids too."""
+    texts = ["a b c", "a  b c", "toxic fool here", "one two three four five six seven", None, "a b\tc"]
+    rows = [(BIG + 2 * i + 1, texts[i % 6], "s") for i in range(40)] + [(None, "a b c", "s"), (None, None, "s"), (None, "alone", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    ids = Counter(r[0] for r in rows)
+    of = lambda df: Counter(r["doc_id"] for r in df.select("doc_id").collect())
+    assert of(mixing.mix(docs)) == ids
+    assert of(packing.pack(docs)) == ids
+    assert of(hmm.score_documents(docs)) == ids
+    assert of(substring_dedup.remove_repeats(docs)) == ids
+    assert of(toxicity.score_documents(docs, spark.createDataFrame([(BIG + 1, 0), (BIG + 5, 1)], "doc_id long, toxic int"))) == ids
+    classes = defaultdict(list)
+    for i, t, _ in rows:
+        classes[re.sub(r"\s+", " ", t or "")].append(i)
+    keep = {i: min(x for x in group if x is not None) for group in classes.values() for i in group if i is not None}
+    assert {r["doc_id"]: r["keep_id"] for r in exact_dedup.classify(exact_dedup.digest_rows(docs)).collect() if r["doc_id"] is not None} == keep
+    assert {r["doc_id"]: r["component_id"] for r in near_dedup.group_near(docs).collect() if r["doc_id"] is not None} == {i: (k if rows[(i - BIG) // 2][1] else i) for i, k in keep.items()}
+
+
+def test_mixture_keeps_rows_apart_that_differ_in_other_columns(spark):
+    rows = [(1, "w " * 10, "A", "x"), (1, "w " * 10, "B", "x"), (1, "w " * 10, "B", None), (2, "v " * 10, None, "y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, row string")
+    taken = Counter((r["doc_id"], r["source"], r["copies"]) for r in mixing.mix(docs).collect())
+    copies = Counter((r["doc_id"], r["source"]) for r in mixing.mixture(docs).collect())
+    for i, s in {(r[0], r[2]) for r in rows}:
+        assert copies[i, s] == sum(n * k for (a, b, n), k in taken.items() if (a, b) == (i, s))
+
+
 def test_packing(documents, odd, none):
     from tokenizers import Tokenizer
 
@@ -299,17 +331,76 @@ def test_toxicity_of_odd_rows(spark, odd, none):
     assert toxicity.score_documents(none, labels).count() == 0
 
 
-def test_grammar_matches_clauses():
-    reader = toxicity.Reader({"fool$": 3.0})
-    at = lambda text: [n for n, x in zip(toxicity.PATTERNS, reader.features(text)[2:]) if x]
-    assert at("what a fool.") == ["insult"]
-    assert at("you are a fool.") == ["insult at target"]
-    assert at("he is not a fool.") == ["insult negated"]
-    assert at("she said fool.") == ["insult reported"]
-    assert at("fool. not said.") == ["insult"]
-    assert at("i will kill you") == ["threat at target"]
-    assert at("we never hurt them") == ["threat negated or reported"]
-    assert at("all is well") == [] and at("") == [] and at(None) == []
+LEXICON = {"fool$": 3.0, "trash$": 5.0, "mor": 2.0, "moro": 2.5}
+
+
+def clause_weights(text):
+    """The grammar's rules by hand, clause by clause."""
+    out, reported = [], False
+    for clause in re.findall(r"[^.!?;|:]+[.!?;|:]?", text):
+        words = re.findall(r"[^\s]+", clause.rstrip(".!?;|:"))
+        score, denied, aimed, waiting, last = 0.0, False, False, [], 0.0
+        for raw in words:
+            w = raw.strip(",").lower()
+            own = max((v for e, v in LEXICON.items() if (e.endswith("$") and e[:-1] == w) or (not e.endswith("$") and w.startswith(e) and len(e) >= 4)), default=None)
+            threat = own is None and w in toxicity.THREATS
+            if own is not None or threat:
+                last = own if own is not None else last
+                base = own if own is not None else 4.0
+                if denied:
+                    score += 0.1 * base
+                elif reported:
+                    score += 0.25 * base
+                elif aimed:
+                    score += 1.5 * base
+                else:
+                    score += 0 if threat else base
+                    waiting.append(threat)
+            elif w in toxicity.TARGETS:
+                if not aimed:
+                    score += (0.5 * last if False in waiting else 0) + (1.5 * 4.0 if True in waiting else 0)
+                aimed = True
+            elif w in toxicity.NEGATIONS:
+                denied = True
+            elif w in toxicity.REPORTS:
+                reported = True
+            if raw.endswith(","):
+                denied = False
+        if score and len(words) != 1:
+            out.append(score)
+        if not clause.endswith(":"):
+            reported = False
+    return out
+
+
+def test_grammar_scores_clauses_like_brute_force():
+    rng, reader = random.Random(5), toxicity.Reader(LEXICON)
+    stock = ["fool", "trash", "moron", "kill", "you", "them", "not", "never", "said", "called", "house", "tree", "is", "a"]
+    for _ in range(2000):
+        text = " ".join(rng.choice(stock) + rng.choice(["", "", "", "", ",", ".", ":", "!"]) for _ in range(rng.randrange(14)))
+        assert list(reader.clauses(text.split())) == pytest.approx(clause_weights(text)), text
+
+
+def test_patterns_move_the_score(documents, spark):
+    """The same words weigh by the pattern of their clause; a lone word is no clause."""
+    lexicon, weights = toxicity.learn(documents, spark.read.parquet(f"{SMALL}/labels.parquet"))
+    word = max((e for e in lexicon if e.endswith("$") and e[:-1].isascii()), key=lexicon.get)[:-1]
+    reader = toxicity.Reader(lexicon)
+    at = lambda text: 1 / (1 + np.exp(-(np.dot(reader.features(text), weights[:-1]) + weights[-1])))
+    assert at(f"you are {word}.") > at(f"this was {word}.") > at(f"she said you are {word}.") > at(f"you are not {word}.") > at("")
+    assert at(f"you are {word}.") > 0.5 and at("i will kill you.") > 0.5
+    assert at(word) == at("") == at(None) < 0.5 and at(f"you are not {word}.") < 0.5 and at("i will never kill you.") < 0.5
+    assert at("they did kill time.") > at("this did kill time.") == at("")
+
+
+def test_clauses_go_on_over_slices(monkeypatch):
+    text = "we think that you are a fool and more, of all. the fool said: you trash. " * 5
+    whole = list(toxicity.Reader(LEXICON).clauses(text.split()))
+    for n in (1, 2, 3, 7):
+        monkeypatch.setattr(toxicity, "SLICE", n)
+        monkeypatch.setattr(toxicity, "MEMORY", 3)
+        reader = toxicity.Reader(LEXICON)
+        assert list(reader.clauses(text.split())) == whole and len(reader.known) <= 3 + n
 
 
 def test_language_model_base(documents, odd, none):

@@ -3,12 +3,13 @@
 import base64
 import hashlib
 import io
+import json
 import random
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import pytest
 from tests.conftest import SMALL
 
@@ -63,8 +64,37 @@ def test_odd_pages(spark, tmp_path):
     assert {r["page_id"] for r in small} == {5}
 
 
+def test_large_ids_of_pages(spark):
+    """Ids beyond what a double holds stay as they are, beside nulls too."""
+    big = 1 << 60
+    rows = [(big + i, "u", "same" if i % 2 else f"p{i}") for i in range(1, 9)] + [(None, "u", "same"), (None, "u", "p2")]
+    check_pages(warc.archive(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect(), [(r[0], r[2]) for r in rows])
+
+
+def test_records_refer_to_records_and_indices_say_where(spark, tmp_path):
+    rows = [(7, "u", "same"), (7, "u", "same"), (3, "v", "same"), (4, "v", "other")]
+    root = f"file://{tmp_path}/out"
+    warc.archive(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1), root=root).count()
+    ids, refers = {}, []
+    for index in (tmp_path / "out").glob("*.index"):
+        archive = index.with_suffix("")
+        for line in map(json.loads, index.read_text().splitlines()):
+            headers, _, _ = warc.parse(zlib.decompress(archive.read_bytes()[line["offset"] : line["offset"] + line["length"]], 31))
+            assert headers["WARC-Record-ID"] == line["record"] and line["record"] not in ids
+            ids[line["record"]] = (line["type"], line["page"], line["url"])
+            refers.append((headers.get("WARC-Refers-To"), headers.get("WARC-Refers-To-Page-ID")))
+    assert len(ids) == 4 and sorted(x for x, _ in refers if x) == 2 * [next(k for k, v in ids.items() if v[:2] == ("response", 7))]
+    assert {page for x, page in refers if x} == {"7"}
+
+
+def test_empty_pages_fill_files_too(spark, tmp_path):
+    pages = spark.range(300).selectExpr("id as page_id", "cast(null as string) as url", "cast(null as string) as html").coalesce(1)
+    assert warc.archive(pages, root=f"file://{tmp_path}/out", file_bytes=10_000).where("record_type = 'response'").collect()[0]["page_id"] == 299
+    assert len(list((tmp_path / "out").glob("*.warc.gz"))) > 5
+
+
 def test_normalise_reads_any_chunks():
-    raws = [warc.record("response", i, "u", b"x" * i, "D", i) for i in range(40)]
+    raws = [warc.record("response", warc.record_id("f", i), i, "u", b"x" * i, "D", i) for i in range(40)]
     one = zlib.compressobj(6, zlib.DEFLATED, 31)
     whole = one.compress(b"".join(raws)) + one.flush()
     out = io.BytesIO()
@@ -73,10 +103,21 @@ def test_normalise_reads_any_chunks():
         def read(self, n=-1):
             return super().read(7)
 
-    index = warc.normalise(Slow(whole), {i: ("response", None) for i in range(40)}, out)
-    assert [zlib.decompress(out.getvalue()[a : a + n], 31) for a, n in index] == raws
+    index = list(warc.normalise(Slow(whole), [("response", None, None)] * 40, out))
+    assert [zlib.decompress(out.getvalue()[x["offset"] : x["offset"] + x["length"]], 31) for x in index] == raws
     with pytest.raises(ValueError):
         list(warc.split_stream([raws[5][:-3]]))
+    with pytest.raises(ValueError):
+        list(warc.inflate(io.BytesIO(whole[:-1])))
+    packed = zlib.compress(b"a" * 50_000_000, 9, 31)  # a chunk that expands a thousand times comes out in pieces
+    sizes = [len(x) for x in warc.inflate(io.BytesIO(packed))]
+    assert sum(sizes) == 50_000_000 and max(sizes) <= 1 << 20
+
+
+def test_long_texts_are_read_back():
+    turns = [("user", "a\\<[x]" * 200_000), ("assistant", "\\" * 500_000 + "z" * 1_000_000)]
+    formatted, spans = chat.render(turns)
+    assert chat.parse(formatted) == turns and len(spans) == 1
 
 
 def chat_truth(turns):
@@ -163,19 +204,35 @@ def test_odd_vectors_and_many_shards(spark, monkeypatch):
     assert embedding_dedup.group_vectors(vectors.where("false")).count() == 0
 
 
+def shard_of(x, cids, without=None):
+    n = len(x)
+    rows = pa.table({"label": [0] * n, "dim": [x.shape[1]] * n, "shards": [1] * n, "shard": [0] * n, "cid": cids, "many": [1] * n, "vec": pa.array(x.tolist(), pa.list_(pa.float64()))})
+    rows = embedding_dedup._build(rows)
+    links = [[[j for j in layer if j != without] for layer in node] for node in rows["links"].to_pylist()]
+    return embedding_dedup.Shard(rows.drop_columns("links").append_column("links", pa.array(links, pa.list_(pa.list_(pa.int32())))))
+
+
 def test_audit_has_links_and_ends_with_the_whole_matrix():
     """The only partner of one query among 300 is a node that no link leads to."""
     rng = np.random.default_rng(4)
     x = rng.normal(size=(300, 64))
-    held = embedding_dedup._build(pd.DataFrame({"label": 0, "dim": 64, "shards": 1, "shard": 0, "cid": np.arange(300), "vec": list(x), "many": 1}))
-    held["links"] = [[[j for j in layer if j != 37] for layer in node] for node in held["links"]]
-    graph = embedding_dedup.Graph(embedding_dedup.unit(x).astype(np.float32), held["links"].tolist())
-    assert graph.reach(graph.vectors[37], 0.93, 300) == [37]
-    held["links"] = [[np.array(layer, int) for layer in node] for node in held["links"]]
-    asked = pd.DataFrame({"cid": 1000 + np.arange(300), "vec": list(rng.normal(size=(300, 64)))})
-    asked.at[101, "vec"] = x[37] * 1.5
-    got = embedding_dedup._query(0.93)(asked, held)
-    assert got.dropna(subset=["a"])[["a", "b"]].values.tolist() == [[1101, 37]]
+    asked = rng.normal(size=(300, 64))
+    asked[101] = x[37] * 1.5
+    linked = embedding_dedup.find(shard_of(asked, list(range(1000, 1300))), shard_of(x, list(range(300)), without=37), 0.93)
+    assert np.argwhere(linked).tolist() == [[101, 37]]
+
+
+def test_links_between_shards_and_large_ids(spark, monkeypatch):
+    """Pairs planted across shards are all found, from both sides; ids are those of 64-bit integers."""
+    rng, big = np.random.default_rng(9), 1 << 60
+    x = rng.normal(size=(600, 32))
+    x[300:] = x[:300] + rng.normal(size=(300, 32)) * 0.3
+    rows = [(big + i, v.tolist(), 0) for i, v in enumerate(x)] + [(None, x[0].tolist(), 0), (None, x[5].tolist(), None)]
+    monkeypatch.setattr(embedding_dedup, "SHARD", 100)
+    got = Counter(map(tuple, embedding_dedup.group_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label long"), 0.93).select("vec_id", "n_links", "component_id").collect()))
+    want = Counter(vector_truth(rows, 0.93))
+    links = lambda c: sum(n * k for (_, n, _), k in c.items())
+    assert links(want) > 400 and links(got) >= 0.99 * links(want) and sum((got & want).values()) >= 0.99 * len(rows)
 
 
 def test_graph_finds_what_it_should():
@@ -187,3 +244,4 @@ def test_graph_finds_what_it_should():
         truth = set(np.flatnonzero(x @ x[i] >= 0.93).tolist())
         found, total = found + len(truth & set(graph.reach(x[i], 0.93, 32))), total + len(truth)
     assert found >= 0.97 * total
+    assert graph.reach(x[0], 0.93, 1200) is None  # as wide as the graph: the whole of it is to be compared
