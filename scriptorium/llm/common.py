@@ -113,6 +113,17 @@ def pieces(batches, rows: int = 512):
             yield batch.slice(start, rows)
 
 
+def word_blocks(text: bytes | None, most: int = 4_000_000):
+    """The words of a text, some million bytes of it at a time, so that a very long one isn't held as one list of words."""
+    start, end = 0, len(text or b"")
+    while start < end:
+        stop = min(start + most, end)
+        while stop < end and text[stop] not in b" \t\n\x0b\x0c\r":
+            stop += 1
+        yield (text if stop - start == end else text[start:stop]).split()
+        start = stop
+
+
 class Forest:
     """Union-find over hashable, ordered nodes; the smallest node of a set is its root."""
 

@@ -44,13 +44,13 @@ def floor_of(size: int, similarity: float) -> int:
     return max(1, math.floor(size * similarity - 5 * math.sqrt(size * similarity * (1 - similarity))))
 
 
-def shingles(words: list[bytes], hashes, n: int) -> np.ndarray:
+def shingles(text: bytes | None, hashes, n: int) -> np.ndarray:
     """The set of a document's word n-grams, sorted; one for the whole sequence if it is shorter, none without words."""
-    if not words:
+    h = hashes(text and text.lower())
+    if not len(h):
         return np.zeros(0, np.uint64)
-    h = hashes(words)
-    if len(words) < n:
-        return run_hashes(h, len(words)) ^ np.uint64(len(words))
+    if len(h) < n:
+        return run_hashes(h, len(h)) ^ np.uint64(len(h))
     return np.unique(run_hashes(h, n))
 
 
@@ -61,7 +61,7 @@ def _sketch(n: int):
         for batch in pieces(batches):
             sizes, digests, sketches = [], [], []
             for text in batch.column(1).to_pylist():
-                s = shingles(text.lower().split() if text else [], hashes, n)
+                s = shingles(text, hashes, n)
                 sizes.append(len(s))
                 digests.append(hashlib.blake2b(s.tobytes(), digest_size=16).hexdigest() if len(s) else None)
                 sketches.append(s[:SKETCH].view(np.int64))
@@ -77,7 +77,7 @@ def _sets(n: int):
     def run(batches):
         hashes = word_hasher()
         for batch in pieces(batches):
-            sets = [shingles(x.lower().split(), hashes, n).view(np.int64) for x in batch.column(1).to_pylist()]
+            sets = [shingles(x, hashes, n).view(np.int64) for x in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], ["cls", "members"])
 
     return run

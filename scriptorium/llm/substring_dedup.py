@@ -10,12 +10,15 @@ same place in them, so
 2. the others travel as one packed string (their words) to the bucket of their minimiser, equal strings counted before the
    shuffle, so a passage that very many documents share is one row there with a count, while its places stay behind;
 3. a bucket, sorted by minimiser, compares windows minimiser by minimiser and offset by offset: sorting whole windows counts
-   them exactly, and a string learns which of its words are covered by a repeated window;
+   them exactly, and a string learns which of its words are covered by a repeated window; the windows of a minimiser that very
+   many different strings share (found from a sample of strings, which decides nothing but this) are dealt out one by one by
+   their digests (128 bits) instead, and counted there, so that no minimiser makes a task large;
 4. places and covered words meet by the string's digest (an adaptive join splits hot strings), and documents drop the words.
 
 Words are ``[^\\x20\\x09-\\x0D]+``, compared as they are. Defined results: a null or empty text has no words and keeps the empty
 text; documents of fewer than ``k`` words keep all; rows alike in id and text are separate documents that repeat each other;
-null ids are carried; an empty table gives an empty result; other columns don't matter.
+null ids are carried; a text
+of any length is cut into stretches of ``STRETCH`` windows, whose results are the same; an empty table gives an empty result; other columns don't matter.
 """
 
 from __future__ import annotations
@@ -29,13 +32,19 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scriptorium.llm.common import materialise, pieces, row_key
+from scriptorium.llm.common import materialise, pieces, row_key, tidy, word_blocks
 
 #: Words whose hash a task remembers.
 MEMORY = 300_000
 #: Bits of a word's place in the hashes that are compared, and of a super-k-mer's pivot and windows in its code.
 PLACES, BITS = 26, 10
 OPEN, KNOWN, MARKER = 0, 1, 2
+#: Windows of a document that are looked at together: their places fit ``PLACES`` bits.
+STRETCH = 1 << 24
+#: One string in so many is looked at for minimisers that many strings share; as many of one minimiser make it heavy.
+SAMPLED, HEAVY = 16, 64
+#: Heavy minimisers up to this number are sent to all tasks (some MB); more are joined.
+SENT = 200_000
 
 
 class WordHashes(dict):
@@ -47,12 +56,16 @@ class WordHashes(dict):
 
 
 def word_hasher():
+    """A function from a text to the hashes of its words."""
     known = WordHashes()
 
-    def hashes(words: list[bytes]) -> np.ndarray:
-        if len(known) > MEMORY:
-            known.clear()
-        return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+    def hashes(text: bytes | None) -> np.ndarray:
+        parts = []
+        for words in word_blocks(text):
+            if len(known) > MEMORY:
+                known.clear()
+            parts.append(np.fromiter(map(known.__getitem__, words), np.uint64, len(words)))
+        return parts[0] if len(parts) == 1 else np.concatenate([np.zeros(0, np.uint64), *parts])
 
     return hashes
 
@@ -106,16 +119,17 @@ def _first_pass(k: int, m: int):
         columns = [np.concatenate([x, y]) for x, y in ((key, mini[marked]), (k1, k1[marked]), (k2, k2[marked]), (mini, mini[marked]), (code, code[marked]), (state, np.full(len(marked), MARKER)))]
         return pa.RecordBatch.from_arrays([pa.array(c) for c in columns[:5]] + [pa.array(columns[5], pa.int8())], names)
 
+    @tidy
     def run(batches):
         hashes = word_hasher()
         parts, size = [], 0
         for batch in pieces(batches):
             ids = [batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1)]
             for i, text in enumerate(batch.column(2).to_pylist()):
-                words = text.split() if text else ()
-                if len(words) >= k:
-                    start, pivot, many, mini = super_kmers(hashes(words), k, m)
-                    parts.append((np.full(len(start), ids[0][i]), np.full(len(start), ids[1][i]), mini, start << 2 * BITS | pivot << BITS | many))
+                h = hashes(text)
+                for base in range(0, len(h) - k + 1, STRETCH):
+                    start, pivot, many, mini = super_kmers(h[base : base + STRETCH + k - 1], k, m)
+                    parts.append((np.full(len(start), ids[0][i]), np.full(len(start), ids[1][i]), mini, start + base << 2 * BITS | pivot << BITS | many))
                     size += len(start)
                     if size > 100_000:
                         yield batch_of(parts)
@@ -153,6 +167,18 @@ def _repeating(batches):
             yield out(rows)
 
 
+def slicer(text: bytes, long: int = 4_000_000):
+    """A function that gives the words from one place up to another, one space between. A long text isn't split as a whole."""
+    if len(text) <= long:
+        words = text.split()
+        return lambda a, b: b" ".join(words[a:b])
+    data = np.frombuffer(text, np.uint8)
+    inner = np.concatenate([[False], (data != 32) & ((data < 9) | (data > 13)), [False]])
+    edges = np.flatnonzero(inner[1:] != inner[:-1])
+    begins, ends = edges[::2], edges[1::2]
+    return lambda a, b: b" ".join(text[begins[a] : ends[min(b, len(ends)) - 1]].split())
+
+
 def _pack(k: int):
     """Rows (k1, k2, text, codes, minis: the super-k-mers to send) to places and packed strings.
 
@@ -162,6 +188,7 @@ def _pack(k: int):
     low = (1 << BITS) - 1
     schema = pa.schema([("digest", pa.binary()), ("k1", pa.int64()), ("k2", pa.int64()), ("start", pa.int64()), ("mini", pa.int64()), ("packed", pa.binary()), ("pivot", pa.int32()), ("windows", pa.int32()), ("many", pa.int64())])
 
+    @tidy
     def run(batches):
         for batch in batches:
             codes, minis = batch.column(3), batch.column(4).flatten().to_numpy()
@@ -178,9 +205,9 @@ def _pack(k: int):
                 yield pa.RecordBatch.from_arrays([pa.array(strings.keys(), pa.binary()), *(pa.nulls(n, pa.int64()) for _ in range(3)), pa.array(minis[i]), pa.array([x[1] for x in strings.values()], pa.binary()), pa.array(pivots[i].astype(np.int32)), pa.array(windows[i].astype(np.int32)), pa.array([x[2] for x in strings.values()])], schema=schema)
 
             for text, a, b in zip(batch.column(2).to_pylist(), (ends - each).tolist(), ends.tolist(), strict=True):
-                words = text.split()
+                words = slicer(text)
                 for i in range(a, b):
-                    packed = b" ".join(words[begins[i] : stops[i]])
+                    packed = words(begins[i], stops[i])
                     digest = blake2b(packed, digest_size=16).digest()
                     digests.append(digest)
                     if digest in strings:
@@ -227,6 +254,7 @@ def _count(k: int):
         for batch in batches:
             yield from zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True)
 
+    @tidy
     def run(batches):
         digests, firsts = [], []
         for _, group in groupby(rows(batches), key=lambda r: r[0]):
@@ -246,23 +274,63 @@ def _count(k: int):
     return run
 
 
+def _windows(k: int):
+    """Rows (digest, packed, windows, many) to a row for each window: the string's digest, the window's place and digest, how often."""
+    schema = pa.schema([("digest", pa.binary()), ("first", pa.int32()), ("window", pa.binary()), ("many", pa.int64())])
+
+    @tidy
+    def run(batches):
+        for batch in pieces(batches):
+            out = []
+            for digest, packed, windows, many in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+                words = packed.split(b" ")
+                out += [(digest, i, blake2b(b" ".join(words[i : i + k]), digest_size=16).digest(), many) for i in range(windows)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else [[]] * 4, schema.types, strict=True)], schema=schema)
+
+    return run
+
+
+def repeated_in(strings: DataFrame, k: int) -> DataFrame:
+    """strings (mini, digest, packed, pivot, windows, many) to (digest, firsts: first words of repeated windows)."""
+    some = strings.where(F.pmod(F.xxhash64("digest"), F.lit(SAMPLED)) == 0)
+    heavy = materialise(some.groupBy("mini").agg(F.count("*").alias("n")).where(F.col("n") >= HEAVY).select("mini"), "heavy")
+    n = heavy.count()
+    sent = F.broadcast(heavy) if n <= SENT else heavy
+    light = strings.join(sent, "mini", "left_anti") if n else strings
+    light = light.select("mini", "digest", "packed", "pivot", "windows", "many").repartition("mini").sortWithinPartitions("mini", "digest")
+    found = light.mapInArrow(_count(k), "digest binary, firsts array<int>")
+    if not n:
+        return found
+    windows = strings.join(sent, "mini", "left_semi").select("digest", "packed", "windows", "many").mapInArrow(_windows(k), "digest binary, first int, window binary, many long")
+    windows = materialise(windows, "windows")
+    repeated = windows.groupBy("window").agg(F.sum("many").alias("n")).where("n > 1").select("window")
+    return found.unionByName(windows.join(repeated, "window").groupBy("digest").agg(F.sort_array(F.collect_set("first")).alias("firsts")))
+
+
 def _apply(k: int):
     """Rows (doc_id, text, found) to what is left of each document."""
 
+    @tidy
     def run(batches):
         for batch in pieces(batches):
             counts, removed, texts = [], [], []
             for text, found in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                words = text.split() if text else []
-                gone = np.zeros(len(words) + 1, np.int64)
-                for one in found or ():
-                    at = np.array(one["firsts"], np.int64) + one["start"]
-                    np.add.at(gone, at, 1)
-                    np.add.at(gone, at + k, -1)
-                cover = np.cumsum(gone[:-1]) > 0
-                counts.append(len(words))
-                removed.append(int(cover.sum()))
-                texts.append(b" ".join(w for w, c in zip(words, cover, strict=True) if not c) if removed[-1] else b" ".join(words))
+                blocks = word_blocks(text) if text and len(text) > 4_000_000 else [text.split() if text else []]
+                # Where a covered stretch begins and ends, in order of place.
+                firsts = np.unique(np.concatenate([np.array(one["firsts"], np.int64) + one["start"] for one in found])) if found else np.zeros(0, np.int64)
+                n = gone = 0
+                left = []
+                for words in blocks:
+                    steps = np.zeros(len(words) + 1, np.int64)
+                    mine = firsts[np.searchsorted(firsts, n - k, "right") : np.searchsorted(firsts, n + len(words))] - n
+                    np.add.at(steps, np.maximum(mine, 0), 1)
+                    np.add.at(steps, np.minimum(mine + k, len(words)), -1)
+                    cover = np.cumsum(steps[:-1]) > 0
+                    n, gone = n + len(words), gone + int(cover.sum())
+                    left.append(b" ".join(w for w, c in zip(words, cover.tolist(), strict=True) if not c) if len(mine) else b" ".join(words))
+                counts.append(n)
+                removed.append(gone)
+                texts.append(b" ".join(x for x in left if x))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(texts, pa.binary())], ["doc_id", "n_words", "n_removed", "kept"])
 
     return run
@@ -278,8 +346,8 @@ def remove_repeats(docs: DataFrame, k: int = 35, m: int = 8) -> DataFrame:
     packed = texts.select("k1", "k2", "text").join(found, ["k1", "k2"]).select("k1", "k2", "text", F.col("found.code").alias("codes"), F.col("found.mini").alias("minis"))
     packed = materialise(packed.mapInArrow(_pack(k), "digest binary, k1 long, k2 long, start long, mini long, packed binary, pivot int, windows int, many long"), "super-k-mers")
     strings = packed.where("packed is not null").select("mini", "digest", "packed", "pivot", "windows", "many")
-    covered = strings.repartition("mini").sortWithinPartitions("mini", "digest").mapInArrow(_count(k), "digest binary, firsts array<int>")
+    covered = repeated_in(strings, k)
     marks = packed.where("packed is null").select("digest", "k1", "k2", "start").join(covered, "digest").groupBy("k1", "k2").agg(F.collect_set(F.struct("start", "firsts")).alias("found"))
-    marks = materialise(marks, "marks")
+    marks = materialise(marks, "marks", instead_of=(packed,))
     left = texts.join(marks, ["k1", "k2"], "left").select("doc_id", "text", "found").mapInArrow(_apply(k), "doc_id long, n_words long, n_removed long, kept binary")
     return left.select("doc_id", "n_words", "n_removed", F.col("kept").cast("string").alias("kept_text"))
