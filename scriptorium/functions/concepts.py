@@ -1,51 +1,106 @@
-"""Subject-verb-object concepts over token structs. The parser is a rule backend; one with a model has the same method."""
+"""Subject-verb-object concepts and the texts that are emitted from tokens. The parser is a rule backend; one with a model has the same method."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from bisect import bisect_right
 from typing import Protocol
 
 from pyspark.sql import functions as F
 
 from scriptorium.functions.phrases import VERBS, pos
+from scriptorium.functions.syntax import NEGATIONS, Sentence, Token, tokens_in_range
 from scriptorium.functions.tagging import TAG
-from scriptorium.functions.text import STOPWORDS, sentences, tokens
+from scriptorium.functions.text import PUNCTUATION, STOPWORDS, sentences, tokens
 
-#: Words that deny.
-NEGATIONS = frozenset(("no", "not", "n't", "never", "none", "false"))
 AUXILIARIES = frozenset("is are was were be been being has have had do does did can could may might must should will would".split())
-CONCEPT = "struct<subject:string,subject_range:struct<start:int,end:int>,object:string,object_range:struct<start:int,end:int>,verb:string,verb_path:array<string>,negated:boolean,sentence_text:string,sentence:int"
+STOPS = frozenset(STOPWORDS)
+CONCEPT = "struct<subject:string,subject_range:struct<start:int,end:int>,object:string,object_range:struct<start:int,end:int>,verb:string,verb_path:array<string>,negated:boolean,sentence_text:string,verb_subtree:string,sentence:int"
 #: With the tags of subject and object by category, as the whole analysis has them.
 TAGGED_CONCEPT = f"{CONCEPT},subject_tags:map<string,array<{TAG}>>,object_tags:map<string,array<{TAG}>>>"
 CONCEPT += ">"
-
-
-@dataclass
-class Token:
-    i: int
-    text: str
-    idx: int
-    lemma: str
-    pos: str
+KINDS = {"VB": "VERB", "NNP": "PROPN", "NN": "NOUN", "NNS": "NOUN", "JJ": "ADJ", "IN": "ADP", ".": "PUNCT"}
 
 
 class Backend(Protocol):
+    """Anything that turns a sentence into tokens with part of speech, dependency and head."""
+
     def parse(self, sentence: str) -> list[Token]: ...
 
 
 class RuleBackend:
-    """Tokens with guessed parts of speech."""
+    """Guessed parts of speech, and a tree by a few rules.
+
+    The last verb of a run is its head, the others help it. The first such verb is the root, later ones are conjuncts of it.
+    The last noun of a run is its head. Behind a preposition it is that one's object; with a verb and no other noun behind
+    it, or no verb before it, a subject; otherwise an object of the verb before it, or a conjunct of that verb's first object.
+    """
 
     def parse(self, sentence: str) -> list[Token]:
         out = []
         for i, (at, word) in enumerate(tokens(sentence)):
-            low = word.lower()
-            kind = "NEG" if low in NEGATIONS else "VERB" if low in AUXILIARIES or low in VERBS else {"VB": "VERB", "NNP": "NOUN", "NN": "NOUN", "NNS": "NOUN", "JJ": "ADJ", "IN": "ADP", ".": "PUNCT"}.get(pos(word, i == 0), "DET")
+            low, tag = word.lower(), pos(word, i == 0)
+            kind = "NEG" if low in NEGATIONS else "VERB" if low in AUXILIARIES or low in VERBS else KINDS.get(tag, "DET")
             lemma = "be" if low in ("is", "are", "was", "were", "been", "being") else low.removesuffix("s") if kind == "VERB" and len(low) > 3 else low
-            out.append(Token(i, word, at, lemma, kind))
+            end = at + len(word)
+            out.append(Token(i, word, at, lemma, kind, tag, "", -1, end < len(sentence) and sentence[end].isspace()))
+        attach(out)
         return out
 
 
+def attach(parsed: list[Token]) -> None:
+    """Give each token its head and dependency, by the rules of ``RuleBackend``."""
+    main, noun_head = [], {}
+    for run in runs(parsed, ("VERB", "NEG")):
+        verbs = [t for t in run if t.pos == "VERB"]
+        if verbs:
+            main.append(verbs[-1])
+            for t in run:
+                t.head, t.dep = verbs[-1].i, "neg" if t.pos == "NEG" else "aux"
+    for run in runs(parsed, ("NOUN", "PROPN", "ADJ")):
+        nouns = [t for t in run if t.pos != "ADJ"]
+        if nouns:
+            noun_head[nouns[-1].i] = run[0].i
+            for t in run:
+                t.head, t.dep = nouns[-1].i, "amod" if t.pos == "ADJ" else "compound"
+    heads = sorted(noun_head)
+    root = main[0].i if main else heads[0] if heads else 0
+    verb = last = first_object = None
+    ahead = [m.i for m in main]
+    mains = set(ahead)
+    for t in parsed:
+        if t.i in mains:
+            t.head, t.dep = (t.i, "ROOT") if t.i == root else (root, "conj")
+            verb, first_object = t, None
+            ahead = ahead[1:]
+        elif t.i in noun_head:
+            before = noun_head[t.i] - 1
+            while before >= 0 and parsed[before].pos == "DET":
+                before -= 1
+            at = bisect_right(heads, t.i)
+            behind = heads[at : at + 1]
+            if before >= 0 and parsed[before].pos == "ADP":
+                t.head, t.dep = before, "pobj"
+            elif ahead and (not behind or behind[0] > ahead[0]):
+                t.head, t.dep = ahead[0], "nsubj"
+            elif verb is None:
+                t.head, t.dep = (ahead[0], "nsubj") if ahead else (root, "conj")
+            elif first_object is None:
+                t.head, t.dep = verb.i, "attr" if verb.lemma == "be" else "dobj"
+                first_object = t
+            else:
+                t.head, t.dep = first_object.i, "conj"
+            if t.i == root:
+                t.head, t.dep = t.i, "ROOT"
+        elif t.pos == "ADP":
+            t.head, t.dep = (last if last is not None else root), "prep"
+        elif t.head < 0:
+            at = bisect_right(heads, t.i) if t.pos in ("DET", "NEG") else len(heads)
+            follows = heads[at] if at < len(heads) else None
+            t.head, t.dep = (root if follows is None else follows), {"PUNCT": "punct", "NEG": "neg", "ADJ": "acomp"}.get(t.pos, "det")
+        if t.i in noun_head or t.i in mains:
+            last = t.i
+
+
 def runs(parsed: list[Token], kinds) -> list[list[Token]]:
     out: list[list[Token]] = []
     for t in parsed:
@@ -56,24 +111,16 @@ def runs(parsed: list[Token], kinds) -> list[list[Token]]:
     return out
 
 
+RULES = RuleBackend()
+
+
+def parse(sentence: str, backend: Backend | None = None) -> Sentence:
+    return Sentence(sentence, (backend or RULES).parse(sentence))
+
+
 def concepts(sentence: str, number: int = 0, backend: Backend | None = None) -> list[dict]:
-    """A concept for each verb phrase, the noun phrase before it and each noun phrase up to the next verb phrase."""
-    parsed = (backend or RuleBackend()).parse(sentence)
-    nouns = [r for r in runs(parsed, ("NOUN", "ADJ")) if any(t.pos == "NOUN" for t in r)]
-    verbs = [r for r in runs([t for t in parsed if t.pos != "NEG"], ("VERB",))] if not any(t.pos == "NEG" for t in parsed) else runs(parsed, ("VERB", "NEG"))
-    verbs = [v for v in verbs if any(t.pos == "VERB" for t in v)]
-    out = []
-    span = lambda r: {"start": r[0].idx, "end": r[-1].idx + len(r[-1].text)}
-    said = lambda r: sentence[span(r)["start"] : span(r)["end"]]
-    for k, v in enumerate(verbs):
-        stop = verbs[k + 1][0].i if k + 1 < len(verbs) else len(parsed)
-        before = [r for r in nouns if r[-1].i < v[0].i]
-        for o in (r for r in nouns if v[-1].i < r[0].i < stop):
-            if before:
-                s = before[-1]
-                path = [t.lemma for t in v if t.pos == "VERB"]
-                out.append({"subject": said(s), "subject_range": span(s), "object": said(o), "object_range": span(o), "verb": " ".join(path), "verb_path": path, "negated": any(t.pos == "NEG" for t in v), "sentence_text": sentence, "sentence": number})
-    return out
+    """The concepts of a sentence, over its collapsed tree."""
+    return [c | {"sentence": number} for c in parse(sentence, backend).collapsed().concepts()]
 
 
 def document_concepts(text: str | None) -> list[dict]:
@@ -91,7 +138,7 @@ def tags_by_category(tags: list[dict], span: dict) -> dict[str, list[dict]]:
 
 def on_content(tags: list[dict], parsed: list[Token]) -> list[dict]:
     """Tags over a noun or an adjective; both count from the start of the sentence."""
-    held = [(t.idx, t.idx + len(t.text)) for t in parsed if t.pos in ("NOUN", "ADJ")]
+    held = [(t.idx, t.idx + len(t.text)) for t in parsed if t.pos in ("NOUN", "PROPN", "ADJ")]
     return [g for g in tags if any(a < g["end"] and g["start"] < b for a, b in held)]
 
 
@@ -104,37 +151,43 @@ def plain_text(words):
     return F.array_join(F.transform(F.filter(words, lambda w: w.rlike("[A-Za-z0-9]") & ~F.lower(w).isin(*STOPWORDS)), lambda w: F.replace(w, F.lit(" "), F.lit("_"))), " ")
 
 
-def plain_tagged(text: str) -> str:
-    """The kept tokens, a line for each sentence."""
-    kept = lambda s: [w.replace(" ", "_") for _, w in tokens(s) if w[0].isalnum() and w.lower() not in STOPWORDS]
-    return "\n".join(" ".join(kept(text[a:b])) for a, b in sentences(text))
+def kept(parsed: list[Token]) -> list[Token]:
+    """Tokens but punctuation and stop words."""
+    return [t for t in parsed if t.text and t.pos != "PUNCT" and t.text.lower() not in STOPS]
 
 
-def pos_tagged(text: str) -> str:
-    """text|POS of the kept tokens, a line for each sentence."""
-    lines = []
-    for a, b in sentences(text):
-        parsed = RuleBackend().parse(text[a:b])
-        lines.append(" ".join(f"{t.text.replace(' ', '_')}|{t.pos}" for t in parsed if t.pos != "PUNCT" and t.text.lower() not in STOPWORDS))
-    return "\n".join(lines)
+def written(word: str, lower: bool) -> str:
+    word = word.strip().replace(" ", "_")
+    return word.lower() if lower else word
 
 
-def entity_tagged(text: str, tags: list[dict]) -> str:
-    """Tokens, those inside a tag once as reference|CATEGORIES|label."""
-    out, at = [], 0
-    parsed = [t for t in RuleBackend().parse(text) if t.pos != "PUNCT" and t.text.lower() not in STOPWORDS]
-    while at < len(parsed):
-        t = parsed[at]
-        mine = [g for g in tags if g["start"] <= t.idx < g["end"] and g["category"] != "TARGET&DISEASE"]
-        if mine:
-            end = max(g["end"] for g in mine)
-            categories = "_".join(dict.fromkeys(g["category"] for g in mine))
-            out.append(f"{(mine[0]['reference'] or '').rpartition('/')[2].replace(' ', '_')}|{categories}|{(mine[0]['label'] or '').replace(' ', '_')}")
-            while at < len(parsed) and parsed[at].idx < end:
-                at += 1
-        else:
-            out.append(t.text)
-            at += 1
-    return " ".join(out)
+def plain_tagged(parsed: list[Token], lower: bool = True) -> str:
+    return " ".join(written(t.text, lower) for t in kept(parsed))
+
 
+def pos_tagged(parsed: list[Token], lower: bool = True) -> str:
+    """text|POS of each kept token."""
+    return " ".join(f"{written(t.text, lower)}|{t.pos}" for t in kept(parsed))
 
+
+def label_of(text: str | None) -> str:
+    """A label without punctuation, as ``text.sanitise_label`` makes it in columns."""
+    return PUNCTUATION.sub("", text or "")
+
+
+def entity_tagged(parsed: list[Token], tags: list[dict], lower: bool = True, with_pos: bool = False, skipped=("TARGET&DISEASE",)) -> str:
+    """Kept tokens; one inside tags as the first tag's reference, the categories of all, and the first one's label. ASCII only."""
+    held: dict[int, list[dict]] = {}
+    for g in tags:
+        if g["category"] not in skipped:
+            for t in tokens_in_range(parsed, g["start"], g["end"]):
+                held.setdefault(t.i, []).append(g)
+    out = []
+    for t in kept(parsed):
+        mine = held.get(t.i, ())
+        reference = (mine[0]["reference"] or "").rpartition("/")[2] if mine else t.text
+        parts = [written(reference, lower), *([t.pos] if with_pos else [])]
+        if mine:
+            parts += ["_".join(g["category"] for g in mine), label_of(mine[0]["label"])]
+        out.append("|".join(parts))
+    return " ".join(out).encode("ascii", "ignore").decode()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections import Counter
+from functools import lru_cache
 
 from pyspark.sql import functions as F
 
@@ -14,12 +15,14 @@ MERGES = {
     ("NNP", "NNP"): "NNP", ("NNP", "NN"): "NNP", ("NN", "NNS"): "NNP", ("NNP", "PO"): "NNP", ("NN", "IN"): "NN", ("IN", "JJ"): "NN",
     ("NN", "NN"): "NNI", ("NNI", "NN"): "NNI", ("JJ", "JJ"): "JJ", ("JJ", "NN"): "NNI", ("NN", "JJ"): "NNI",
 }
+STOPS = frozenset(STOPWORDS)
 NOUNS = ("NNP", "NNI", "NN")
 ADJECTIVES = ("al", "ic", "ive", "ous", "ful", "less", "able", "ible", "ary", "ant", "ent")
 PREPOSITIONS = frozenset("of in for to with on at by from into".split())
 VERBS = frozenset("is are was were be been being has have had do does did suggest suggests reduce reduces prevent prevents regulate regulates inhibit inhibits show shows cause causes increase increases".split())
 
 
+@lru_cache(maxsize=100_000)
 def pos(word: str, first: bool) -> str:
     """A deterministic guess; a backend with a model may take its place."""
     low = word.lower()
@@ -29,7 +32,7 @@ def pos(word: str, first: bool) -> str:
         return "VB"
     if low in PREPOSITIONS:
         return "IN"
-    if low in STOPWORDS:
+    if low in STOPS:
         return "DT"
     if word[0].isupper() and not first:
         return "NNP"
@@ -39,10 +42,14 @@ def pos(word: str, first: bool) -> str:
 
 
 def noun_phrases(text: str | None) -> list[str]:
-    """Tags merge pairwise, leftmost first, until none can; phrases are joined by spaces but before punctuation."""
+    return phrases_of([(w, pos(w, i == 0)) for i, (_, w) in enumerate(tokens(text[a:b]))] for a, b in sentences(text or ""))
+
+
+def phrases_of(tagged_sentences) -> list[str]:
+    """Of sentences of (word, tag): tags merge pairwise, leftmost first, until none can; phrases are joined by spaces but before punctuation."""
     out = []
-    for a, b in sentences(text or ""):
-        tagged = [[w, pos(w, i == 0)] for i, (_, w) in enumerate(tokens(text[a:b]))]
+    for words in tagged_sentences:
+        tagged = [list(x) for x in words]
         at = 0
         while at + 1 < len(tagged):
             merged = MERGES.get((tagged[at][1], tagged[at + 1][1]))
@@ -68,6 +75,36 @@ def merge_counts(counts: Counter, forms: dict[str, str]) -> Counter:
     return counts
 
 
+def automaton(found):
+    import ahocorasick
+
+    machine = ahocorasick.Automaton()
+    for p in found:
+        if p:
+            machine.add_word(p, p)
+    if len(machine):
+        machine.make_automaton()
+    return machine
+
+
+def held_in(found) -> Counter:
+    """How many of the other phrases hold each phrase: one pass over them with an automaton of all."""
+    machine, out = automaton(found), Counter()
+    for s in found if len(machine) else ():
+        out.update({p for _, p in machine.iter(s)} - {s})
+    return out
+
+
+def standing(found, text: str) -> Counter:
+    """How often each phrase stands in a text, without overlaps, in one pass."""
+    machine, out, free = automaton(found), Counter(dict.fromkeys(found, 0)), {}
+    for last, p in machine.iter(text) if len(machine) else ():
+        if last - len(p) + 1 >= free.get(p, 0):
+            out[p] += 1
+            free[p] = last + 1
+    return out
+
+
 def chunk(text: str | None, forms: dict[str, str] | None = None, found: list[str] | None = None) -> dict:
     """chunks, recurring_chunks and top_chunks of a text; phrases inside others count once more for each. found: its noun phrases, if known."""
     counts = Counter(p.lower() for p in (noun_phrases(text) if found is None else found))
@@ -75,7 +112,8 @@ def chunk(text: str | None, forms: dict[str, str] | None = None, found: list[str
         counts.setdefault(long.lower(), 1)
     chunks = sorted(counts)
     counts = merge_counts(counts, forms or {})
-    boosted = Counter({k: n + sum(k in s for s in counts if s != k) for k, n in counts.items()})
+    inside = held_in(counts)
+    boosted = Counter({k: n + inside[k] for k, n in counts.items()})
     ranked = sorted(boosted.items(), key=lambda x: (-x[1], x[0]))
     return {"chunks": chunks, "recurring_chunks": sorted(k for k, n in ranked if n > 1), "top_chunks": [k for k, n in ranked[:5] if n > 1]}
 
@@ -90,9 +128,9 @@ def occurrences(text: str, forms: dict[str, str] | None = None, found: list[str]
         if short in whole and long not in whole:
             whole = whole.replace(short, long)
     found = noun_phrases(whole) if found is None or whole != text else found
-    chunks = sorted({p for p in found if p.lower() not in STOPWORDS})
+    chunks = sorted({p for p in found if p.lower() not in STOPS})
     low = whole.lower()
-    counts = merge_counts(Counter({p: low.count(p) for p in {p.lower() for p in chunks}}), forms or {})
+    counts = merge_counts(standing({p.lower() for p in chunks}, low), forms or {})
     ranked = sorted(counts.items(), key=lambda x: (-x[1], x[0]))
     return {"chunks": chunks, "recurring_chunks": sorted(k for k, n in ranked if n > 1), "top_chunks": [k for k, n in ranked[:5] if n > 1]}
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import html
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -57,7 +57,7 @@ class Tagger:
         """(start, end, surface, entries) of every surface between separators; lower-casing keeps the length of the text."""
         if self.empty:
             return
-        low = "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
+        low = text.lower() if text.isascii() else "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
         for last, (surface, found) in self.machine.iter(low):
             start, end = last - len(surface) + 1, last + 1
             if (start == 0 or low[start - 1] in SEPARATORS) and (end == len(low) or low[end] in SEPARATORS):
@@ -77,15 +77,17 @@ def order(tag: dict) -> tuple:
 
 
 def without_nested(tags: list[dict]) -> list[dict]:
-    """Tags that no other tag of the list holds. Of equal spans, which hold each other, none stays; overlaps do."""
-    spans = sorted((t["start"], -t["end"]) for t in tags)
-    out = []
-    for t in tags:
-        me = (t["start"], -t["end"])
-        holders = sum(1 for s, e in spans if s <= me[0] and e <= me[1])
-        if holders == 1:
-            out.append(t)
-    return out
+    """Tags that no other tag of the list holds. Of equal spans, which hold each other, none stays; overlaps do.
+
+    In order of start, longest first, a tag is held by an earlier one if any of them ends where it ends or later.
+    """
+    spans = Counter((t["start"], -t["end"]) for t in tags)
+    furthest, free = -1, set()
+    for span in sorted(spans):
+        if -span[1] > furthest and spans[span] == 1:
+            free.add(span)
+        furthest = max(furthest, -span[1])
+    return [t for t in tags if (t["start"], -t["end"]) in free]
 
 
 def remove_nested(ranges):
@@ -125,18 +127,17 @@ def cooccurring(tags, first: str = "GENE", second: str = "DISEASE"):
 
 def mark(text: str, tags: list[dict]) -> str:
     """The text with an element around each tag, outer before inner, inside one division."""
-    opens, closes = defaultdict(list), defaultdict(list)
-    for i, t in enumerate(sorted(tags, key=order)):
-        opens[t["start"]].append((i, t))
-        closes[t["end"]].append((i, t))
-    out = []
-    for at in range(len(text) + 1):
-        out += ["</mark-i>"] * len(closes[at])
-        for _, t in opens[at]:
+    opens, closes = defaultdict(list), Counter(t["end"] for t in tags)
+    for t in sorted(tags, key=order):
+        opens[t["start"]].append(t)
+    out, before = [], 0
+    for at in sorted(opens.keys() | closes.keys()):
+        out += [text[before:at], "</mark-i>" * closes[at]]
+        for t in opens[at]:
             reference = "|".join(t["reference"]) if isinstance(t["reference"], (list, tuple)) else t["reference"]
             out.append(f'<mark-i data-entity="{html.escape(t["category"])}" reference-db="{html.escape(t["reference_db"])}"  reference="{html.escape(reference or "")}">')
-        out.append(text[at : at + 1])
-    return f'<div  class="entities">{"".join(out)}</div></br>'
+        before = at
+    return f'<div  class="entities">{"".join(out)}{text[before:]}</div></br>'
 
 
 def drop_known_acronyms(tags: list[dict], forms: dict[str, str], text: str) -> list[dict]:
@@ -165,9 +166,14 @@ COMMON = frozenset(
 )
 
 
-def agrees_in_case(tag: dict, common=frozenset()) -> bool:
-    """Short matches of sensitive categories stay only if the text, without dashes or with blanks for them, is the label."""
+def agrees_in_case(tag: dict, common=frozenset(), noisy=frozenset(), extended=frozenset()) -> bool:
+    """Short matches of sensitive categories stay only if the text, without dashes or with blanks for them, is the label.
+
+    noisy: categories in which a common word is no tag, unless it is one of the short forms that were ``extended``.
+    """
     m = tag["match"]
+    if tag["category"] in noisy and tag["category"] not in CASE_SENSITIVE:
+        return m.lower() not in common or m.lower() in extended
     if tag["category"] not in CASE_SENSITIVE or not (len(m) < 4 or (len(m) < 7 and m.lower() in common)):
         return True
     return tag["label"] in (m, m.replace("-", ""), m.replace("-", " "))

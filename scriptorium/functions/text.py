@@ -66,6 +66,10 @@ def split_tagged(text: Column) -> tuple[Column, Column]:
     return F.when(at > 0, F.substring(text, F.lit(1), at - 1)).otherwise(text), F.when(at > 0, F.substring(text, at + 2, F.length(text))).otherwise("")
 
 
+#: ASCII and other punctuation of Unicode's class P.
+PUNCTUATION = re.compile("[%s]" % re.escape("".join(c for c in map(chr, range(0x3100)) if unicodedata.category(c)[0] == "P")))
+
+
 def sanitise_label(text: Column) -> Column:
     return F.regexp_replace(text, r"\p{P}", "")
 

@@ -9,53 +9,68 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import StructType
 
-from scriptorium.functions import abbreviations, concepts, phrases, tagging
-from scriptorium.functions.text import normalise, plain_analysis_schema, sentences, text_to_analyze, to_ascii
+from scriptorium.functions import tagging
+from scriptorium.functions.analyzers import Analyzer, Document, DocumentAnalyzer, NounChunker
+from scriptorium.functions.text import normalise, text_to_analyze, to_ascii
 from scriptorium.operators import relational
 from scriptorium.sources import records
 
-
 log = logging.getLogger(__name__)
 
-NLP = plain_analysis_schema(tagging.TAG, concepts.TAGGED_CONCEPT)
-NOUN_PHRASES = "struct<chunks:array<string>,recurring_chunks:array<string>,top_chunks:array<string>,abbreviations:array<struct<short:string,long:string>>>"
+NLP, NOUN_PHRASES = DocumentAnalyzer.schema, NounChunker.schema
 #: Enriched records, as they are written and read again.
 ENRICHED = f"{records.PUBLICATION}, text_mined_entities struct<nlp:{NLP},noun_phrases:{NOUN_PHRASES}>"
 
 
-def enrich(publications: DataFrame, dictionary: list[tuple] = (), common=tagging.COMMON) -> DataFrame:
-    """text_mined_entities for each publication; one without a text, or whose analysis fails, keeps an empty analysis.
+def spread(df: DataFrame, times: int = 4) -> DataFrame:
+    """At least so many partitions a core, for steps that take long for a row: a small file of one row group is one partition."""
+    wanted = times * df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= wanted else df.repartition(wanted)
+
+
+def enrich(publications: DataFrame, dictionary: list[tuple] = (), common=tagging.COMMON, backend=None, analyzers: list[Analyzer] | None = None, noisy=frozenset()) -> DataFrame:
+    """text_mined_entities for each publication: an entry for each analyzer, by its name. One without a text keeps empty ones,
+    and so does an analyzer that fails on a text.
 
     The analysis is a column beside those of the publication: nothing is joined, and rows without an id or with the id of
-    another keep their own. dictionary: entries that fit a worker's memory, see ``load_dictionary``.
-    common: words in lower case that tags of case-sensitive categories must not match by chance.
+    another keep their own. dictionary: entries that fit a worker's memory, see ``load_dictionary``. common, noisy: see
+    ``DocumentAnalyzer``. backend: the parser, by default a rule parser. analyzers: by default those two of this package.
     """
-    sent = publications.sparkSession.sparkContext.broadcast((list(dictionary), frozenset(common)))
-    kinds = StructType.fromDDL(f"nlp {NLP}, noun_phrases {NOUN_PHRASES}")
+    sent = publications.sparkSession.sparkContext.broadcast((list(dictionary), frozenset(common), frozenset(noisy)))
+    names = [a.name for a in analyzers] if analyzers is not None else [DocumentAnalyzer.name, NounChunker.name]
+    shapes = [a.schema for a in analyzers] if analyzers is not None else [NLP, NOUN_PHRASES]
+    kinds = StructType.fromDDL(", ".join(f"a{i} {shape}" for i, shape in enumerate(shapes)))
     schema = StructType([*publications.schema.fields, *kinds.fields])
 
     def run(batches):
-        entries, words = sent.value
-        tagger = tagging.Tagger(entries)
+        entries, words, noise = sent.value
+        mine = analyzers if analyzers is not None else [DocumentAnalyzer(tagging.Tagger(entries), words, noise), NounChunker()]
         for batch in batches:
-            mined = [attempt(t and to_ascii(t), tagger, words) for t in batch.column(batch.num_columns - 1).to_pylist()]
-            names = [*batch.schema.names[:-1], *kinds.names]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *(pa.array([m and m[f.name] for m in mined], to_arrow_type(f.dataType)) for f in kinds)], names)
+            for start in range(0, batch.num_rows, 256):
+                part = batch.slice(start, 256)
+                mined = [digests(t and to_ascii(t), mine, backend) for t in part.column(part.num_columns - 1).to_pylist()]
+                found = [pa.array([m[i] for m in mined], to_arrow_type(f.dataType)) for i, f in enumerate(kinds)]
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], *found], [*part.schema.names[:-1], *kinds.names])
 
-    text = publications.withColumn("nlp", normalise(text_to_analyze(F.col("title"), F.col("abstract"))))
+    text = spread(publications).withColumn("a0", normalise(text_to_analyze(F.col("title"), F.col("abstract"))))
     mined = text.mapInArrow(run, schema)
-    return mined.withColumn("text_mined_entities", F.struct("nlp", F.struct("noun_phrases.*").alias("noun_phrases"))).drop(*kinds.names)
+    return mined.withColumn("text_mined_entities", F.struct(*[F.col(k).alias(name) for k, name in zip(kinds.names, names, strict=True)])).drop(*kinds.names)
 
 
-def attempt(text: str | None, tagger, common=tagging.COMMON) -> dict | None:
-    """The analysis; a text that it fails on is logged and stays without one."""
-    try:
-        return analyse(text, tagger, common) if text else None
-    except Exception:
-        log.exception("analysis failed")
-        return None
+def digests(text: str | None, analyzers: list[Analyzer], backend=None) -> list[dict | None]:
+    """What each analyzer finds; one that fails on a text is logged and finds nothing."""
+    if not text or not text.strip():
+        return [None] * len(analyzers)
+    document, out = Document(text, backend), []
+    for a in analyzers:
+        try:
+            out.append(a.digest(document))
+        except Exception:
+            log.exception("%s failed", a.name)
+            out.append(None)
+    return out
 
 
 def load_dictionary(spark: SparkSession, *paths: str, most: int = 5_000_000) -> list[tuple]:
@@ -68,38 +83,6 @@ def load_dictionary(spark: SparkSession, *paths: str, most: int = 5_000_000) ->
     return [tuple(r) for r in rows]
 
 
-def analyse(text: str, tagger, common=tagging.COMMON) -> dict:
-    """What the two analyzers find: nlp counts the noun phrases over the whole text, noun_phrases as the chunker finds them."""
-    found = abbreviations.abbreviations(text)
-    forms = abbreviations.as_map(found)
-    spans = sentences(text)
-    shift = lambda tags, by: [t | {"start": t["start"] + by, "end": t["end"] + by} for t in tags]
-    within = lambda tags, a, b: [t for t in tags if a <= t["start"] and t["end"] <= b]
-    found_tags = tagger.tag(text)
-    on_nouns = [t for a, b in spans for t in shift(concepts.on_content(shift(within(found_tags, a, b), -a), concepts.RuleBackend().parse(text[a:b])), a)]
-    tags = [t for t in tagging.drop_known_acronyms(on_nouns, forms, text) if tagging.agrees_in_case(t, common)]
-    said, lines = [], []
-    for k, (a, b) in enumerate(spans):
-        mine = [t for t in tags if a <= t["start"] and t["end"] <= b and t["sentence"] is None]
-        for t in mine:
-            t["sentence"] = k
-        local = shift(mine, -a)
-        lines.append(concepts.entity_tagged(text[a:b], local))
-        for c in concepts.concepts(text[a:b], k):
-            said.append(c | {f"{x}_tags": list(concepts.tags_by_category(local, c[f"{x}_range"]).items()) for x in ("subject", "object")})
-        if {"GENE", "DISEASE"} <= {t["category"] for t in mine}:
-            tags.append({"match": text[a:b], "start": a, "end": b, "category": "TARGET&DISEASE", "reference_db": "TARGET&DISEASE", "reference": "", "original_value": text[a:b], "label": "target-disease", "sentence": k})
-    nouns = phrases.noun_phrases(text)
-    defined = {"abbreviations": [{"short": s, "long": x} for s, x in found]}
-    grouped: dict[str, list[dict]] = {}
-    for t in tags:
-        grouped.setdefault(f"{t['category']}|{t['reference_db']}", []).append(t)
-    marked = tagging.mark(text, [t for t in tags if t["category"] != "TARGET&DISEASE"])
-    emitted = {"plain": concepts.plain_tagged(text), "pos_tag": concepts.pos_tagged(text), "ent_tag": "\n".join(lines)}
-    nlp = phrases.occurrences(text, forms, nouns) | defined | {"concepts": said, "tagged_entities": tags, "tagged_entities_grouped": list(grouped.items()), "tagged_text": marked, "embedding_text": emitted}
-    return {"nlp": nlp, "noun_phrases": phrases.chunk(text, forms, nouns) | defined}
-
-
 def newest(*frames: DataFrame) -> DataFrame:
     return relational.latest_by(relational.union_all(*frames), "pub_id", "filename")
 

@@ -345,17 +345,17 @@ def xml_records(spark, d):
 
 @query()
 def abbreviations_of_documents(spark, d):
-    return t(spark, d, "documents").select("doc_id", abbreviations.find_abbreviations()("text").alias("found"))
+    return pipeline.spread(t(spark, d, "documents").select("doc_id", "text")).select("doc_id", abbreviations.find_abbreviations()("text").alias("found"))
 
 
 @query()
 def noun_phrase_chunks(spark, d):
-    return t(spark, d, "documents").select("doc_id", phrases.chunk_texts()(text.normalise(F.col("text"))).alias("c")).select("doc_id", "c.*")
+    return pipeline.spread(t(spark, d, "documents").select("doc_id", "text")).select("doc_id", phrases.chunk_texts()(text.normalise(F.col("text"))).alias("c")).select("doc_id", "c.*")
 
 
 @query()
 def svo_concepts(spark, d):
-    return t(spark, d, "documents").select("doc_id", F.explode(concepts.find_concepts()("text")).alias("c")).select("doc_id", "c.*")
+    return pipeline.spread(t(spark, d, "documents").select("doc_id", "text")).select("doc_id", F.explode(concepts.find_concepts()("text")).alias("c")).select("doc_id", "c.*")
 
 
 @query()
