@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import html
+import re
 from collections import Counter, defaultdict
+from difflib import SequenceMatcher
 
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -22,42 +24,71 @@ def admit(surface, stopwords=STOPWORDS):
     return (F.length(surface) > 2) & F.when(short, ~surface.isin(*stopwords)).otherwise(~F.lower(surface).isin(*stopwords))
 
 
-def build_dictionary(entries: DataFrame, ignore_case: bool = True) -> DataFrame:
+def build_dictionary(entries: DataFrame, ignore_case: bool = True, partial: bool = False) -> DataFrame:
     """entries (surface, label, category, reference_db, ids, idx) to admitted surfaces, with copies without dashes.
 
     The same surface of the same category and database comes once, the first entry (by idx) wins; and all of a surface share
-    the label and element of the first.
+    the label and element of the first. partial: words of more than five letters in a longer surface match too, under
+    the category with -TOKEN at its end; the text around must then be like the surface (see ``Tagger``).
     """
     kept = entries.where(admit(F.col("surface"))).withColumn("element", F.col("surface"))
-    key = F.lower("surface") if ignore_case else F.col("surface")
+    fold = F.lower if ignore_case else (lambda c: c)
+    key = fold(F.col("surface"))
     forms = kept.withColumn("surface", F.explode(F.array_distinct(F.array(key, F.replace(key, F.lit("-"), F.lit("")))))).where(F.length("surface") > 2)
+    if partial:
+        words = F.filter(F.split("element", r"[ \t\n\x0B\f\r]+"), lambda w: (F.length(w) > 5) & (w != F.col("element")) & ~F.lower(w).isin(*STOPWORDS))
+        tokens = kept.withColumn("surface", F.explode(F.array_distinct(F.transform(words, fold)))).withColumn("category", F.concat("category", F.lit("-TOKEN")))
+        forms = forms.unionByName(tokens)
+    by = W.partitionBy("surface").orderBy("idx", "element", "category", "reference_db")
+    forms = forms.withColumn("label", F.first("label").over(by)).withColumn("first_element", F.first("element").over(by))
     first = F.row_number().over(W.partitionBy("surface", "category", "reference_db").orderBy("idx", "element"))
-    return forms.withColumn("rank", first).where("rank = 1").drop("rank")
+    return forms.withColumn("rank", first).where("rank = 1").drop("rank", "element").withColumnRenamed("first_element", "element")
+
+
+def token_sort_ratio(a: str, b: str) -> int:
+    """How like two texts are, 0 to 100, whatever the order of their words, their case and their marks."""
+    sort = lambda s: " ".join(sorted(re.sub(r"[\W_]+", " ", s.lower()).split()))
+    return round(100 * SequenceMatcher(None, sort(a), sort(b)).ratio())
+
+
+def token_sort_similarity(a, b):
+    """The like of columns, JVM-side, by the edit distance of the sorted words: 100 for the same words."""
+    sort = lambda c: F.array_join(F.array_sort(F.filter(F.split(F.lower(c), "[^a-z0-9]+"), lambda w: w != "")), " ")
+    x, y = sort(a), sort(b)
+    longest = F.greatest(F.length(x), F.length(y))
+    return F.when(longest > 0, F.round(100 * (1 - F.levenshtein(x, y) / longest), 3)).otherwise(100.0)
 
 
 class Tagger:
     """An automaton over the surfaces of a dictionary of bounded size, held by each worker."""
 
-    def __init__(self, entries: list[tuple]):
-        """entries: (surface, label, category, reference_db, ids), in order of preference."""
+    def __init__(self, entries: list[tuple], ignore_case: bool = True, least: int = 90):
+        """entries: (surface, label, category, reference_db, ids[, element]), in order of preference. least: an entry whose
+        category ends in -TOKEN counts if what stands in the text from its word on is more like its element than that."""
         import ahocorasick
 
         by: dict[str, list] = defaultdict(list)
-        for surface, label, category, db, ids in entries:
-            if all((category, db) != (c, d) for _, c, d, _ in by[surface]):
-                by[surface].append((label, category, db, (ids or [""])[0]))
+        for surface, label, category, db, ids, *element in entries:
+            if all((category, db) != (c, d) for _, c, d, *_ in by[surface]):
+                by[surface].append((label, category, db, (ids or [""])[0], element[0] if element else None))
         self.machine = ahocorasick.Automaton()
         for surface, found in by.items():
             self.machine.add_word(surface, (surface, found))
         if by:
             self.machine.make_automaton()
-        self.empty = not by
+        self.empty, self.ignore_case, self.least = not by, ignore_case, least
+
+    def like_element(self, text: str, start: int, end: int, element: str) -> bool:
+        """Whether the text from a word on is like the element from that word on, as far as the element goes."""
+        at = element.lower().find(text[start:end].lower())
+        rest = len(element) - at - (end - start) if at >= 0 else 0
+        return token_sort_ratio(element, text[max(0, start - max(at, 0)) : end + rest]) > self.least
 
     def hits(self, text: str):
         """(start, end, surface, entries) of every surface between separators; lower-casing keeps the length of the text."""
         if self.empty:
             return
-        low = text.lower() if text.isascii() else "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
+        low = text if not self.ignore_case else text.lower() if text.isascii() else "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
         for last, (surface, found) in self.machine.iter(low):
             start, end = last - len(surface) + 1, last + 1
             if (start == 0 or low[start - 1] in SEPARATORS) and (end == len(low) or low[end] in SEPARATORS):
@@ -67,8 +98,12 @@ class Tagger:
         """One tag for each category and database, nested ones of the same removed, in order of start, longest first."""
         groups: dict[tuple, list[dict]] = defaultdict(list)
         for start, end, _, found in self.hits(text or ""):
-            for label, category, db, reference in found:
-                groups[category, db].append({"match": text[start:end], "start": start, "end": end, "category": category, "reference_db": db, "reference": reference, "original_value": text[start:end], "label": label, "sentence": None})
+            for label, category, db, reference, element in found:
+                if category.endswith("-TOKEN"):
+                    if not self.like_element(text, start, end, element or ""):
+                        continue
+                    category = category.removesuffix("-TOKEN")
+                groups[category, db].append({"match": text[start:end], "start": start, "end": end, "category": category, "reference_db": db, "reference": reference, "original_value": text[start:end] if element is None else element, "label": label, "sentence": None})
         return sorted((t for g in groups.values() for t in without_nested(g)), key=order)
 
 
@@ -166,6 +201,14 @@ COMMON = frozenset(
 )
 
 
+def agreeing_in_case(tags, common=COMMON):
+    """The rule of ``agrees_in_case`` over a column of tags, JVM-side."""
+    match = lambda t: t["match"]
+    short = lambda t: (F.length(match(t)) < 4) | ((F.length(match(t)) < 7) & F.lower(match(t)).isin(*sorted(common)))
+    same = lambda t: (t["label"] == match(t)) | (t["label"] == F.replace(match(t), F.lit("-"), F.lit(""))) | (t["label"] == F.replace(match(t), F.lit("-"), F.lit(" ")))
+    return F.filter(tags, lambda t: ~(t["category"].isin(*CASE_SENSITIVE) & short(t)) | F.coalesce(same(t), F.lit(False)))
+
+
 def agrees_in_case(tag: dict, common=frozenset(), noisy=frozenset(), extended=frozenset()) -> bool:
     """Short matches of sensitive categories stay only if the text, without dashes or with blanks for them, is the label.
 

@@ -73,13 +73,13 @@ def digests(text: str | None, analyzers: list[Analyzer], backend=None) -> list[d
     return out
 
 
-def load_dictionary(spark: SparkSession, *paths: str, most: int = 5_000_000) -> list[tuple]:
-    """The admitted entries of dictionary files. Every worker holds them all, so more than ``most`` are refused."""
-    entries = tagging.build_dictionary(records.read_dictionary(spark, *paths))
-    n = entries.count()
-    if n > most:
-        raise ValueError(f"{n} dictionary entries; workers are sent at most {most}")
-    rows = entries.select("surface", "label", "category", "reference_db", "ids").orderBy("idx", "surface").collect()
+def load_dictionary(spark: SparkSession, *paths: str, most: int = 5_000_000, most_bytes: int = 1 << 30, partial: bool = False) -> list[tuple]:
+    """The admitted entries of dictionary files. Every worker holds them all, so more than ``most``, or than ``most_bytes`` of text, are refused."""
+    entries = tagging.build_dictionary(records.read_dictionary(spark, *paths), partial=partial)
+    n, size = entries.agg(F.count("*"), F.coalesce(F.sum(F.length("surface") + F.length("element") + F.coalesce(F.length("label"), F.lit(0)) + F.length(F.array_join("ids", ""))), F.lit(0))).first()
+    if n > most or size > most_bytes:
+        raise ValueError(f"{n} dictionary entries of {size} letters; workers are sent at most {most} of {most_bytes}")
+    rows = entries.select("surface", "label", "category", "reference_db", "ids", "element").orderBy("idx", "surface").collect()
     return [tuple(r) for r in rows]
 
 

@@ -2,11 +2,20 @@
 
 from __future__ import annotations
 
+import logging
 import re
+import time
 import xml.etree.ElementTree as ET
+from itertools import groupby, islice
+from urllib.request import urlopen
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import ArrayType, BooleanType, DateType, DoubleType, LongType, StringType, StructField, StructType, TimestampType
+
+log = logging.getLogger(__name__)
 
 AUTHOR = "struct<Affiliation:string,CollectiveName:string,ForeName:string,Identifier:string,Initials:string,LastName:string,Suffix:string,full_name:string,short_name:string>"
 PUBLICATION = (
@@ -14,7 +23,10 @@ PUBLICATION = (
     "journal struct<medlineAbbreviation:string,title:string>, journal_reference struct<issue:string,pgn:string,volume:string>, keywords array<string>, mesh_headings array<struct<id:string,label:string>>, pub_date string, pub_id string, pub_type array<string>, title string"
 )
 NAMES = [f.split(" ", 1)[0] for f in re.split(r", (?=\w+ (?:string|array|boolean|struct))", PUBLICATION)]
-RECORD = re.compile(r"^[ \t]*(?:<MedlineCitation |<DeleteCitation>)")
+#: How the lines begin between which a record lies.
+OPENINGS, CLOSINGS = ("<MedlineCitation ", "<DeleteCitation>"), ("</MedlineCitation>", "</DeleteCitation>")
+#: Types of a table schema as JSON.
+TYPES = {"STRING": StringType(), "INTEGER": LongType(), "FLOAT": DoubleType(), "BOOLEAN": BooleanType(), "DATE": DateType(), "TIMESTAMP": TimestampType()}
 #: English month names as records abbreviate them.
 MONTHS = {m: i + 1 for i, m in enumerate("jan feb mar apr may jun jul aug sep oct nov dec".split())}
 
@@ -24,11 +36,11 @@ def frame(lines):
     held = None
     for line in lines:
         line = line.strip()
-        if line.startswith(("<MedlineCitation ", "<DeleteCitation>")):
+        if line.startswith(OPENINGS):
             held = held if held is not None else []
         if held is not None:
             held.append(line)
-            if line.startswith(("</MedlineCitation>", "</DeleteCitation>")):
+            if line.startswith(CLOSINGS):
                 yield "".join(held)
                 held = None
 
@@ -60,7 +72,8 @@ def parse_record(xml: str, filename: str) -> list[dict]:
     """One publication, or a tombstone for each id of a deletion. A record that isn't XML, or has no id, gives none."""
     try:
         root = ET.fromstring(xml)
-    except ET.ParseError:
+    except ET.ParseError as e:
+        log.error("a record of %s isn't XML, left out: %s", filename, e)
         return []
     empty = dict.fromkeys(NAMES)
     if root.tag == "DeleteCitation":
@@ -119,40 +132,163 @@ def author(node) -> dict:
 def parse_records(raw: DataFrame) -> DataFrame:
     """raw (xml, filename) to publications."""
 
-    def run(batches):
-        import pandas as pd
-
-        for pdf in batches:
-            rows = [r for x, f in zip(pdf["xml"], pdf["filename"], strict=True) for r in parse_record(x, f)]
-            yield pd.DataFrame(rows, columns=NAMES, dtype=object)
+    schema = to_arrow_schema(StructType.fromDDL(PUBLICATION))
 
-    return raw.select("xml", "filename").mapInPandas(run, PUBLICATION)
+    def run(batches):
+        for batch in batches:
+            for s in range(0, batch.num_rows, 1000):
+                part = batch.slice(s, 1000)
+                rows = [r for x, f in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True) for r in parse_record(x, f)]
+                yield pa.RecordBatch.from_pylist(rows, schema)
+
+    return raw.select("xml", "filename").mapInArrow(run, PUBLICATION)
+
+
+def _lines(spark: SparkSession, paths, suffix: str | None = None, encoding: str = "UTF-8") -> DataFrame:
+    """value, filename, file, block: lines in order within a block of a file. Plain files are split, packed ones aren't."""
+    reader = spark.read
+    if suffix:
+        reader = reader.option("pathGlobFilter", suffix)
+    at = F.col("_metadata.file_path")
+    value = F.col("value") if encoding.upper() in ("UTF-8", "UTF8") else F.decode(F.col("value").cast("binary"), encoding).alias("value")
+    return reader.text(list(paths)).select(value, F.element_at(F.split(at, "/"), -1).alias("filename"), at.alias("file"), F.col("_metadata.file_block_start").alias("block"))
+
+
+def _by_block(batches):
+    """((file, filename, block), its lines), one block after the other."""
+    rows = (r for batch in batches for r in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True))
+    for key, mine in groupby(rows, key=lambda r: r[1:]):
+        yield (key[1], key[0], key[2]), (r[0] for r in mine)
+
+
+def _frame_block(batches):
+    """Lines to records, and to what a block has of records that begin before it or end behind it: rows (xml, filename, file, block, rest)."""
+    names, types = ["xml", "filename", "file", "block", "rest"], [pa.string(), pa.string(), pa.string(), pa.int64(), pa.string()]
+
+    def batch_of(rows):
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
+
+    out, size = [], 0
+    for (file, filename, block), lines in _by_block(batches):
+        rest: list[str] = []
+        begun = block == 0
+        held: list[str] = []
+        for line in lines:
+            line = line.strip()
+            begun = begun or line.startswith(OPENINGS)
+            if not begun:
+                rest.append(line)
+                continue
+            if held or line.startswith(OPENINGS):
+                held.append(line)
+                if line.startswith(CLOSINGS):
+                    out.append(("".join(held), filename, file, block, None))
+                    size += len(out[-1][0])
+                    held = []
+            if size > 4_000_000:
+                yield batch_of(out)
+                out, size = [], 0
+        if rest or held:
+            out.append((None, filename, file, block, "\n".join(rest + held)))
+    if out:
+        yield batch_of(out)
+
+
+def _stitch(rows: pa.Table) -> pa.Table:
+    """What the blocks of a file have of records across their borders, in order, to whole records."""
+    rows = rows.sort_by("block")
+    found = list(frame(line for rest in rows["rest"].to_pylist() for line in rest.split("\n")))
+    return pa.table([found, [rows["filename"][0].as_py()] * len(found)], schema=pa.schema([("xml", pa.string()), ("filename", pa.string())]))
+
+
+def read_raw_records(spark: SparkSession, *paths: str) -> DataFrame:
+    """xml, filename of the records in (gzipped) XML files. Lines stream; a plain file is read by several tasks, and a record that lies
+    across a border of theirs is put together from its parts, which are few."""
+    spec = "xml string, filename string, file string, block long, rest string"
+    framed = _lines(spark, paths).mapInArrow(_frame_block, spec)
+    across = framed.where("xml is null").groupBy("file").applyInArrow(_stitch, "xml string, filename string")
+    return framed.where("xml is not null").select("xml", "filename").unionByName(across)
 
 
 def read_records(spark: SparkSession, *paths: str) -> DataFrame:
     """Publications of (gzipped) XML files; the newest of a record isn't chosen here."""
-    files = spark.read.text(list(paths), wholetext=True).select("value", F.element_at(F.split("_metadata.file_path", "/"), -1).alias("filename"))
+    return parse_records(read_raw_records(spark, *paths))
 
-    def run(batches):
-        import pandas as pd
 
-        for pdf in batches:
-            for text, name in zip(pdf["value"], pdf["filename"], strict=True):
-                yield pd.DataFrame([(x, name) for x in frame(text.split("\n"))], columns=["xml", "filename"], dtype=object)
+def read_lines(spark: SparkSession, *paths: str, prefix: str = "", suffix: str = "", encoding: str = "UTF-8", skip_header_lines: int = 0, strip: bool = True, validate: bool = True) -> DataFrame:
+    """value, filename of the lines of plain or packed text files, by the beginnings and endings of their names.
+
+    skip_header_lines: lines left out at the beginning of each file; strip: whether lines lose the newline at their end;
+    validate: whether it is an error that no file is there. Large plain files are read by several tasks.
+    """
+    lines = _lines(spark, paths, f"{prefix}*{suffix}" if prefix or suffix else None, encoding)
+    if validate and not lines.inputFiles():
+        raise FileNotFoundError(f"no file {prefix}*{suffix} in {paths}")
+    if skip_header_lines:
 
-    return parse_records(files.mapInPandas(run, "xml string, filename string"))
+        def run(batches):
+            for (_, filename, block), mine in _by_block(batches):
+                rest = iter(mine if block else islice(mine, skip_header_lines, None))
+                while some := list(islice(rest, 10_000)):
+                    yield pa.RecordBatch.from_arrays([pa.array(some), pa.array([filename] * len(some))], ["value", "filename"])
+
+        lines = lines.mapInArrow(run, "value string, filename string")
+    return lines.select("value" if strip else F.concat("value", F.lit("\n")).alias("value"), "filename")
+
+
+def schema_of(spec: dict) -> StructType:
+    """A table schema as JSON, {fields: [{name, type, mode, fields}]}, to a schema: type is STRING and mode NULLABLE by default."""
+
+    def field(one: dict) -> StructField:
+        inner = one.get("fields")
+        kind = StructType([field(f) for f in inner]) if inner else TYPES[one.get("type", "STRING").upper()]
+        mode = one.get("mode", "NULLABLE").upper()
+        return StructField(one["name"], ArrayType(kind) if mode == "REPEATED" else kind, mode != "REQUIRED")
+
+    return StructType([field(f) for f in spec["fields"]])
 
 
 def read_enriched(spark: SparkSession, path: str, schema: str = PUBLICATION) -> DataFrame:
     return spark.read.schema(schema).json(path)
 
 
-def read_dictionary(spark: SparkSession, *paths: str) -> DataFrame:
-    """Entries of files CATEGORY-DB.json, {surface: {ids, pref_name}}: surface, label, category, reference_db, ids, idx."""
-    files = spark.read.text(list(paths), wholetext=True).select("value", F.element_at(F.split("_metadata.file_path", "/"), -1).alias("name"))
-    entries = files.select("name", F.explode(F.from_json("value", "map<string,struct<ids:array<string>,pref_name:string>>")).alias("surface", "v"))
-    part = lambda i: F.regexp_extract("name", r"^([^-]+)-([^._]+)", i)
-    return entries.select("surface", F.col("v.pref_name").alias("label"), part(1).alias("category"), part(2).alias("reference_db"), F.col("v.ids").alias("ids"), F.xxhash64("name", "surface").alias("idx"))
+def fetch(url: str, tries: int = 3, pause: float = 1.0) -> str | None:
+    """What a URL holds; after ``tries`` failures it is logged and left out."""
+    for k in range(tries):
+        try:
+            with urlopen(url) as answer:
+                return answer.read().decode()
+        except OSError as e:
+            log.warning("%s: %s", url, e)
+            if k + 1 < tries:
+                time.sleep(pause)
+    log.error("cannot read dictionary %s, left out", url)
+    return None
+
+
+def read_dictionary(spark: SparkSession, *paths: str, tries: int = 3, pause: float = 1.0) -> DataFrame:
+    """Entries of files CATEGORY-DB[_more].json, {surface: {ids, pref_name}}, in files or at URLs: surface, label, category,
+    reference_db, ids, idx. idx: the order of paths, then files, then entries. Of URLs the driver reads one at a time.
+    """
+    kind = "map<string,struct<ids:array<string>,pref_name:string>>"
+    out = None
+    for place, path in enumerate(paths):
+        if path.startswith(("http://", "https://", "ftp://")):
+            found = fetch(path, tries, pause)
+            if found is None:
+                continue
+            files = spark.createDataFrame([(found, path.split("?")[0])], "value string, path string")
+        else:
+            files = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("path"))
+        files = files.select("value", F.element_at(F.split("path", "/"), -1).alias("name"))
+        one = files.select("name", F.posexplode(F.from_json("value", kind)).alias("pos", "surface", "v"))
+        part = lambda i: F.regexp_extract("name", r"^([^-]+)-([^._]+)", i)
+        idx = F.struct(F.lit(place).alias("place"), F.col("name"), F.col("pos"))
+        one = one.select("surface", F.col("v.pref_name").alias("label"), part(1).alias("category"), part(2).alias("reference_db"), F.col("v.ids").alias("ids"), idx.alias("idx"))
+        out = one if out is None else out.unionByName(one)
+    if out is None:
+        out = spark.createDataFrame([], "surface string, label string, category string, reference_db string, ids array<string>, idx struct<place:int,name:string,pos:int>")
+    return out
 
 
 def read_lexicon(spark: SparkSession, path: str) -> DataFrame:
