@@ -154,3 +154,15 @@ def merge_plurals(counts, by: list[str], phrase: str = "phrase", n: str = "n"):
     singles = counts.join(plural, [*by, phrase], "left").select(*by, phrase, (F.col(n) + F.coalesce("more", F.lit(0))).alias(n))
     absorbed = plural.join(counts.select(*by, phrase), [*by, phrase], "left_semi").select(*by, F.concat(phrase, F.lit("s")).alias(phrase))
     return singles.join(absorbed, [*by, phrase], "left_anti")
+
+
+def merge_forms(counts, forms, by: list[str], phrase: str = "phrase", n: str = "n"):
+    """counts (by, phrase, n) with forms (by, short, long): a short form's count goes to its long form. One long form a short one."""
+    named = counts.join(forms.withColumnRenamed("short", phrase), [*by, phrase], "left")
+    return named.groupBy(*by, F.coalesce("long", phrase).alias(phrase)).agg(F.sum(n).alias(n))
+
+
+def clusters(found):
+    """Of an array of phrases, those that are no word of another, JVM-side: longest first, then by letters."""
+    words = F.flatten(F.transform(found, lambda p: F.filter(F.split(p, " "), lambda w: w != p)))
+    return F.array_sort(F.array_except(found, words), lambda a, b: F.when(F.length(a) != F.length(b), F.length(b) - F.length(a)).when(a < b, -1).when(a > b, 1).otherwise(0))

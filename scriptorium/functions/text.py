@@ -87,6 +87,32 @@ def analyze(text: Column) -> Column:
     return F.transform(words, singular)
 
 
+def whitespace_tokens(text: Column) -> Column:
+    """The analyzer of relations: what stands between white space."""
+    return F.filter(F.split(text, BLANK + "+"), lambda w: w != "")
+
+
+def sentence_values(text: Column) -> Column:
+    """The nested sentences of an abstract, as an index holds them: array<struct<value>>."""
+    parted = F.split(F.regexp_replace(text, r"([.!?])" + BLANK + "+", "$1\u0001"), "\u0001")
+    return F.transform(F.filter(parted, lambda s: s != ""), lambda s: F.struct(s.alias("value")))
+
+
+#: Labels of named entities in the groups that the analyzer tells apart.
+ENTITY_GROUPS = {x: "ENT" for x in "ENT PERSON NORP FAC ORG GPE LOC LAW PRODUCT EVENT WORK_OF_ART LANGUAGE".split()} | {x: x for x in "DATE TIME PERCENT MONEY QUANTITY ORDINAL CARDINAL".split()}
+
+
+def entity_group(label: Column) -> Column:
+    """The group of a label; null for one that isn't known."""
+    return F.create_map(*[F.lit(x) for pair in ENTITY_GROUPS.items() for x in pair])[label]
+
+
+def represented(word: Column, kind: Column) -> Column:
+    """A word as text|KIND: white space as underscores, addresses hidden, '?' for no kind."""
+    plain = F.concat_ws("|", F.regexp_replace(word, BLANK, "_"), F.when(F.coalesce(kind, F.lit("")) != "", kind).otherwise("?"))
+    return F.when(word.rlike(r"^(?:[a-zA-Z]+://|www\.)[^ ]+\.[^ ]+"), "%%URL|X").otherwise(plain)
+
+
 def singular(w: Column) -> Column:
     """Minimal English stemming: -ies to -y, otherwise -s goes; -us, -ss and other vowels before -es stay."""
     return F.when(w.rlike("[^ae]ies$"), F.regexp_replace(w, "ies$", "y")).when(w.rlike("[us]s$|[aeio]es$"), w).when(w.rlike("..s$"), F.regexp_replace(w, "s$", "")).otherwise(w)

@@ -10,6 +10,7 @@ import pytest
 from tests.conftest import SMALL
 
 from scriptorium.operators import relational
+from scriptorium.plans import queries_more  # noqa: F401
 from scriptorium.plans.queries import ORACLES, QUERIES
 
 
