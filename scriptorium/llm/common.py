@@ -2,39 +2,39 @@
 
 from __future__ import annotations
 
-import atexit
 import ctypes
 import functools
 import gc
 import logging
-import shutil
-import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from scriptorium.steps import shared_dir
+
 #: The words of every contract: runs of anything but ASCII white space. ``bytes.split()`` cuts at the same six bytes.
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
 
-_own_dir: list[str] = []
 log = logging.getLogger(__name__)
+_made: ContextVar[list | None] = ContextVar("made", default=None)
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir. Without it, a local session (and no other) gets a
-    folder of its own, which goes when the process ends."""
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
-            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        if not _own_dir:
-            _own_dir.append(tempfile.mkdtemp(prefix="scriptorium-"))
-            atexit.register(shutil.rmtree, _own_dir[0], ignore_errors=True)
-        root = _own_dir[0]
-    return root.rstrip("/")
+@contextmanager
+def steps_of():
+    """Steps that are made inside go at the end, but for those that were taken out of the list that this gives."""
+    made: list[DataFrame] = []
+    token = _made.set(made)
+    try:
+        yield made
+    finally:
+        _made.reset(token)
+        for step in made:
+            discard(step)
 
 
 def materialise(df: DataFrame, name: str, instead_of: tuple[DataFrame, ...] = ()) -> DataFrame:
@@ -55,6 +55,8 @@ def materialise(df: DataFrame, name: str, instead_of: tuple[DataFrame, ...] = ()
     spark.sparkContext._jvm.System.gc()
     out = spark.read.schema(schema).parquet(path)
     out.step_path = path
+    if (made := _made.get()) is not None:
+        made.append(out)
     return out
 
 
@@ -63,6 +65,7 @@ def discard(step: DataFrame) -> None:
     from pyarrow import fs
 
     if path := getattr(step, "step_path", None):
+        step.step_path = None
         try:
             store, inner = fs.FileSystem.from_uri(path if ":/" in path else f"file://{path}")
             store.delete_dir(inner)
