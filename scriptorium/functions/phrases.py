@@ -149,11 +149,18 @@ def chunk_texts():
 
 
 def merge_plurals(counts, by: list[str], phrase: str = "phrase", n: str = "n"):
-    """counts (by, phrase, n): a plural's count goes to its singular where the group has one."""
-    plural = counts.where(F.col(phrase).endswith("s")).select(*by, F.expr(f"substr({phrase}, 1, length({phrase}) - 1)").alias(phrase), F.col(n).alias("more"))
-    singles = counts.join(plural, [*by, phrase], "left").select(*by, phrase, (F.col(n) + F.coalesce("more", F.lit(0))).alias(n))
-    absorbed = plural.join(counts.select(*by, phrase), [*by, phrase], "left_semi").select(*by, F.concat(phrase, F.lit("s")).alias(phrase))
-    return singles.join(absorbed, [*by, phrase], "left_anti")
+    """counts (by, phrase, n; a phrase may have several rows): a plural's count goes to its singular where the group has one.
+
+    One aggregation: each phrase tells its own count under itself, its count as a plural under its singular, and that it is
+    there under its plural.
+    """
+    p, c, none = F.col(phrase), F.col(n), F.lit(0).cast("long")
+    own = F.struct(p.alias("key"), c.alias("own"), none.alias("plural"), F.lit(False).alias("single"))
+    more = F.struct(F.expr(f"substr({phrase}, 1, length({phrase}) - 1)").alias("key"), none.alias("own"), c.alias("plural"), F.lit(False).alias("single"))
+    mark = F.struct(F.concat(p, F.lit("s")).alias("key"), none.alias("own"), none.alias("plural"), F.lit(True).alias("single"))
+    told = counts.select(*by, F.explode(F.when(p.endswith("s"), F.array(own, more, mark)).otherwise(F.array(own, mark))).alias("x")).select(*by, "x.*")
+    sums = told.groupBy(*by, "key").agg(F.sum("own").alias("own"), F.sum("plural").alias("plural"), F.max("single").alias("single"))
+    return sums.where("own > 0 and not single").select(*by, F.col("key").alias(phrase), (F.col("own") + F.col("plural")).alias(n))
 
 
 def merge_forms(counts, forms, by: list[str], phrase: str = "phrase", n: str = "n"):

@@ -72,11 +72,18 @@ def small_rows(enriched: DataFrame) -> DataFrame:
     return enriched.withColumn("text_mined_entities", F.col("text_mined_entities").withField("nlp", nlp))
 
 
-def pair_counts(df: DataFrame, key: str, reference: str) -> DataFrame:
-    """The adjacency matrix of references that share a key: reference_a, reference_b (a < b), in how many keys."""
+def pair_counts(df: DataFrame, key: str, reference: str, most: int = 1000) -> DataFrame:
+    """The adjacency matrix of references that share a key: reference_a, reference_b (a < b), in how many keys.
+
+    Of a key with more than ``most`` references, those on one side are dealt to several parts and the other side comes to each,
+    so that no task has all the pairs of a key.
+    """
     one = df.select(key, reference).distinct()
-    a, b = one.select(key, F.col(reference).alias("reference_a")), one.select(key, F.col(reference).alias("reference_b"))
-    return a.join(b, key).where("reference_a < reference_b").groupBy("reference_a", "reference_b").agg(F.count("*").alias("n"))
+    sized = one.groupBy(key).agg(F.ceil(F.count("*") / most).cast("int").alias("parts")).where("parts > 1")
+    dealt = one.join(sized, key, "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    a = dealt.select(key, F.col(reference).alias("reference_a"), F.pmod(F.xxhash64(reference), F.col("parts")).cast("int").alias("part"))
+    b = dealt.select(key, F.col(reference).alias("reference_b"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    return a.join(b, [key, "part"]).where("reference_a < reference_b").groupBy("reference_a", "reference_b").agg(F.count("*").alias("n"))
 
 
 def upsert(target: DataFrame, updates: DataFrame, key: str, order: str) -> DataFrame:

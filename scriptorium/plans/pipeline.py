@@ -16,6 +16,7 @@ from scriptorium.functions.analyzers import Analyzer, Document, DocumentAnalyzer
 from scriptorium.functions.text import normalise, text_to_analyze, to_ascii
 from scriptorium.operators import relational
 from scriptorium.sources import records
+from scriptorium.steps import spread
 
 log = logging.getLogger(__name__)
 
@@ -24,12 +25,6 @@ NLP, NOUN_PHRASES = DocumentAnalyzer.schema, NounChunker.schema
 ENRICHED = f"{records.PUBLICATION}, text_mined_entities struct<nlp:{NLP},noun_phrases:{NOUN_PHRASES}>"
 
 
-def spread(df: DataFrame, times: int = 4) -> DataFrame:
-    """At least so many partitions a core, for steps that take long for a row: a small file of one row group is one partition."""
-    wanted = times * df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= wanted else df.repartition(wanted)
-
-
 def enrich(publications: DataFrame, dictionary: list[tuple] = (), common=tagging.COMMON, backend=None, analyzers: list[Analyzer] | None = None, noisy=frozenset()) -> DataFrame:
     """text_mined_entities for each publication: an entry for each analyzer, by its name. One without a text keeps empty ones,
     and so does an analyzer that fails on a text.
@@ -54,7 +49,7 @@ def enrich(publications: DataFrame, dictionary: list[tuple] = (), common=tagging
                 found = [pa.array([m[i] for m in mined], to_arrow_type(f.dataType)) for i, f in enumerate(kinds)]
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], *found], [*part.schema.names[:-1], *kinds.names])
 
-    text = spread(publications).withColumn("a0", normalise(text_to_analyze(F.col("title"), F.col("abstract"))))
+    text = spread(publications, 4).withColumn("a0", normalise(text_to_analyze(F.col("title"), F.col("abstract"))))
     mined = text.mapInArrow(run, schema)
     return mined.withColumn("text_mined_entities", F.struct(*[F.col(k).alias(name) for k, name in zip(kinds.names, names, strict=True)])).drop(*kinds.names)
 

@@ -10,6 +10,7 @@ from scriptorium.functions import abbreviations, concepts, phrases, tagging, tex
 from scriptorium.operators import relational
 from scriptorium.plans import pipeline
 from scriptorium.sources import records
+from scriptorium.steps import spread
 
 #: A small vocabulary of words that the documents hold, in two categories: surface, label, category, database, ids.
 VOCABULARY = [(s, s.upper(), c, d, [f"{d}:{i}"]) for i, (s, c, d) in enumerate([("tion", "GENE", "HGNC"), ("ther", "GENE", "HGNC"), ("thing", "DISEASE", "OMIM"), ("erin", "DISEASE", "OMIM"), ("thatin", "DISEASE", "OMIM"), ("ther erin", "GENE", "HGNC"), ("the", "GENE", "HGNC")])]
@@ -34,6 +35,11 @@ def t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids and texts, on all cores even if the table is one row group."""
+    return spread(t(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query("""
     SELECT o_custkey, max(o_orderdate) AS o_orderdate, arg_max(o_orderkey, (o_orderdate, o_orderkey)) AS o_orderkey,
            arg_max(o_orderstatus, (o_orderdate, o_orderkey)) AS o_orderstatus, arg_max(o_totalprice, (o_orderdate, o_orderkey)) AS o_totalprice
@@ -151,7 +157,7 @@ _tags = f"""
 
 
 def _tagged(spark, d):
-    return tagging.tag_texts(t(spark, d, "documents"), VOCABULARY)
+    return tagging.tag_texts(_texts(spark, d), VOCABULARY)
 
 
 @query(f"WITH {_tags} SELECT doc_id, category, reference_db, reference, start_at, end_at, match FROM tags")
@@ -215,9 +221,13 @@ _merged = f"""{_phrases}, plural AS (SELECT a.doc_id, a.phrase, b.n FROM p a JOI
                WHERE NOT EXISTS (SELECT 1 FROM plural x WHERE x.doc_id = p.doc_id AND x.phrase || 's' = p.phrase))"""
 
 
+def _words(spark, d):
+    """A row for each word: doc_id, phrase, n = 1."""
+    return _texts(spark, d).select("doc_id", F.explode(F.regexp_extract_all(F.lower("text"), F.lit("([a-z]+)"), 1)).alias("phrase"), F.lit(1).cast("long").alias("n"))
+
+
 def _counts(spark, d):
-    words = t(spark, d, "documents").select("doc_id", F.explode(F.regexp_extract_all(F.lower("text"), F.lit("([a-z]+)"), 1)).alias("phrase"))
-    return words.groupBy("doc_id", "phrase").agg(F.count("*").alias("n"))
+    return _words(spark, d).groupBy("doc_id", "phrase").agg(F.sum("n").alias("n"))
 
 
 @query(f"WITH {_phrases} SELECT doc_id, phrase, n FROM p")
@@ -227,18 +237,18 @@ def phrase_counts(spark, d):
 
 @query(f"WITH {_merged} SELECT doc_id, phrase, n FROM merged")
 def plural_merge(spark, d):
-    return phrases.merge_plurals(_counts(spark, d), ["doc_id"])
+    return phrases.merge_plurals(_words(spark, d), ["doc_id"])
 
 
 @query(f"WITH {_merged} SELECT doc_id, phrase, n FROM merged WHERE n > 1 QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, phrase) <= 5")
 def top5_phrases(spark, d):
     rank = F.row_number().over(W.partitionBy("doc_id").orderBy(F.desc("n"), "phrase"))
-    return phrases.merge_plurals(_counts(spark, d), ["doc_id"]).where("n > 1").withColumn("rank", rank).where("rank <= 5").drop("rank")
+    return phrases.merge_plurals(_words(spark, d), ["doc_id"]).where("n > 1").withColumn("rank", rank).where("rank <= 5").drop("rank")
 
 
 @query(f"WITH {_merged} SELECT doc_id, count(*) AS recurring FROM merged WHERE n > 1 GROUP BY doc_id")
 def recurring_phrases(spark, d):
-    return phrases.merge_plurals(_counts(spark, d), ["doc_id"]).where("n > 1").groupBy("doc_id").agg(F.count("*").alias("recurring"))
+    return phrases.merge_plurals(_words(spark, d), ["doc_id"]).where("n > 1").groupBy("doc_id").agg(F.count("*").alias("recurring"))
 
 
 @query("SELECT doc_id, CAST(floor((length(lower(text)) - length(replace(lower(text), 'the', ''))) / 3) AS BIGINT) AS n FROM documents")
@@ -292,7 +302,7 @@ _stem = r"""CASE WHEN regexp_matches(w, '[^ae]ies$') THEN regexp_replace(w, 'ies
     w AS (SELECT doc_id, regexp_replace(w0, '''s$|''$', '') AS w FROM r)
     SELECT doc_id, {_stem} AS token, count(*) AS n FROM w WHERE w <> '' AND w NOT IN ({_stop}) GROUP BY 1, 2""")
 def analyzer_tokens(spark, d):
-    rows = t(spark, d, "documents").select("doc_id", F.explode(text.analyze(F.col("text"))).alias("token"))
+    rows = _texts(spark, d).select("doc_id", F.explode(text.analyze(F.col("text"))).alias("token"))
     return rows.groupBy("doc_id", "token").agg(F.count("*").alias("n"))
 
 
@@ -345,17 +355,17 @@ def xml_records(spark, d):
 
 @query()
 def abbreviations_of_documents(spark, d):
-    return pipeline.spread(t(spark, d, "documents").select("doc_id", "text")).select("doc_id", abbreviations.find_abbreviations()("text").alias("found"))
+    return _texts(spark, d).select("doc_id", abbreviations.find_abbreviations()("text").alias("found"))
 
 
 @query()
 def noun_phrase_chunks(spark, d):
-    return pipeline.spread(t(spark, d, "documents").select("doc_id", "text")).select("doc_id", phrases.chunk_texts()(text.normalise(F.col("text"))).alias("c")).select("doc_id", "c.*")
+    return _texts(spark, d).select("doc_id", phrases.chunk_texts()(text.normalise(F.col("text"))).alias("c")).select("doc_id", "c.*")
 
 
 @query()
 def svo_concepts(spark, d):
-    return pipeline.spread(t(spark, d, "documents").select("doc_id", "text")).select("doc_id", F.explode(concepts.find_concepts()("text")).alias("c")).select("doc_id", "c.*")
+    return _texts(spark, d).select("doc_id", F.explode(concepts.find_concepts()("text")).alias("c")).select("doc_id", "c.*")
 
 
 @query()

@@ -7,7 +7,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _own_dir: list[str] = []
 
@@ -27,3 +27,12 @@ def shared_dir(spark: SparkSession) -> str:
 
 def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/scriptorium/{name}-{uuid.uuid4().hex}"
+
+
+def spread(df: DataFrame, times: int = 1) -> DataFrame:
+    """At least so many partitions a core, for steps that take long for a row: a small file of one row group is one partition.
+
+    What has them already, as any large table, is left as it is.
+    """
+    wanted = times * df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= wanted else df.repartition(wanted)
