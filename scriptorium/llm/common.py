@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scriptorium.steps import shared_dir
+from scriptorium.steps import shared_dir, spread
 
 #: The words of every contract: runs of anything but ASCII white space. ``bytes.split()`` cuts at the same six bytes.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -97,7 +97,8 @@ def tidy(run):
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    """A table, on all cores even if it is one row group; a larger one is read as it is."""
+    return spread(spark.read.parquet(f"{sf_dir}/{table}.parquet"))
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
