@@ -8,8 +8,9 @@
 3. Inverted lists of retained values: from the ``PROBE`` smallest values, those that are shared by fewest classes, as
    many as it takes for two linked classes to meet in one. Lists with equal members are one list.
 4. A long list is cut into tiles of a bounded size. All tiles meet the first; then the classes that this hasn't connected with
-   the list's largest component meet each other and the rest, which is few for a family of near copies, however large. So no
-   list is gathered, no list's pairs are emitted, and no pair that could connect two components is left out.
+   the largest set of connected classes of the first tile meet each other and the rest, which is few for a family of near
+   copies, however large. So no list is gathered, no list's pairs are emitted, and no pair that could connect two components
+   is left out.
 5. In a task, overlaps of sketches are products of their incidence matrices; pairs with enough overlap are estimated on the
    sketch of the union, and exact Jaccard on the full sets verifies. Pairs already connected are skipped, biggest overlap
    first, and only a spanning forest of verified links leaves the task.
@@ -157,8 +158,8 @@ def link_tile(sizes, sketches, members, lists, mine, similarity: float, left: np
 
 
 def _verify(similarity: float):
-    """Rows (cid, members, lists, list, tile, low, high, comp) of two tiles of a list to links (a, b)."""
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    """Rows (cid, members, lists, list, tile, low, high, comp) of two tiles of a list to links (list, high, a of the lower tile, b)."""
+    schema = pa.schema([("list", pa.int64()), ("high", pa.int32()), ("a", pa.int64()), ("b", pa.int64())])
 
     def run(rows: pa.Table) -> pa.Table:
         rows = rows.sort_by("cid").combine_chunks()
@@ -172,11 +173,21 @@ def _verify(similarity: float):
             known = rows["comp"].to_pylist()
             found = link_tile(np.diff(ends).tolist(), [m[:SKETCH] for m in members], members, rows["lists"].to_pylist(), rows["list"][0].as_py(), similarity, left, right, known)
             links = [(cids[i], cids[j]) for i, j in found]
-        return pa.table([[a for a, _ in links], [b for _, b in links]], schema=schema)
+        return pa.table([[rows["list"][0].as_py()] * len(links), [high] * len(links), [a for a, _ in links], [b for _, b in links]], schema=schema)
 
     return run
 
 
+def _first_tile(links: pa.Table) -> pa.Table:
+    """Links (list, a, b) within the first tile of a list to (list, leader, comp): the smallest class that each is connected with."""
+    forest, found = Forest(), set()
+    for a, b in zip(links["a"].to_pylist(), links["b"].to_pylist(), strict=True):
+        forest.join(a, b)
+        found |= {a, b}
+    leaders = sorted(found)
+    return pa.table([[links["list"][0].as_py()] * len(leaders), leaders, [forest.root(x) for x in leaders]], schema=pa.schema([("list", pa.int64()), ("leader", pa.int64()), ("comp", pa.int64())]))
+
+
 def find_links(classes: DataFrame, texts: DataFrame, similarity: float, n: int) -> DataFrame:
     """classes (cid, n_shingles, sketch, k1, k2 of a row that has the text) to links (a, b) of cids: the forests of all tasks."""
     # Retained values that at least two classes hold, and how many do.
@@ -212,17 +223,20 @@ def find_links(classes: DataFrame, texts: DataFrame, similarity: float, n: int)
     listed = listed.withColumn("tile", F.pmod(F.xxhash64("cid", F.lit(2)), F.col("tiles")).cast("int"))
 
     def compare(rows):
-        return rows.select("cid", "members", "lists", "list", "tile", "low", "high", "comp").groupBy("list", "low", "high").applyInArrow(_verify(similarity), "a long, b long")
+        return rows.select("cid", "members", "lists", "list", "tile", "low", "high", "comp").groupBy("list", "low", "high").applyInArrow(_verify(similarity), "list long, high int, a long, b long")
 
     # The first tile meets itself and each other tile.
     others = F.when(F.col("tile") == 0, F.sequence(F.lit(0), F.col("tiles") - 1)).otherwise(F.array("tile"))
     links = materialise(compare(listed.withColumn("high", F.explode(others)).withColumn("low", F.lit(0)).withColumn("comp", F.col("cid"))), "links")
     long = listed.where("tiles > 1")
     if long.isEmpty():
-        return links
-    # Of the other tiles, what isn't in the list's largest component meets itself and the rest of the list, tile by tile.
-    comps = components(links, "near-lists").select(F.col("node").alias("cid"), F.col("component").alias("comp"))
-    named = long.where("tile > 0").join(comps, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
+        return links.select("a", "b")
+    # Of the other tiles, what isn't connected with the largest part of the first meets itself and the rest of the list, tile by tile.
+    inner = links.where("high = 0").join(long.select("list").distinct(), "list", "left_semi").select("list", "a", "b")
+    leaders = inner.groupBy("list").applyInArrow(_first_tile, "list long, leader long, comp long")
+    met_leaders = links.where("high > 0").select("list", F.col("a").alias("leader"), F.col("b").alias("cid"))
+    comps = met_leaders.join(leaders, ["list", "leader"], "left").groupBy("list", "cid").agg(F.min(F.coalesce("comp", "leader")).alias("comp"))
+    named = long.where("tile > 0").join(comps, ["list", "cid"], "left").withColumn("comp", F.coalesce("comp", "cid"))
     sums = named.groupBy("list", "comp").agg(F.count("*").alias("n"), F.sum(F.size("members")).alias("heavy"))
     tiles = lambda n, heavy: F.greatest(F.ceil(n / TILE), F.ceil(heavy / TILE_SHINGLES)).cast("int")
     most = sums.groupBy("list").agg(F.max_by("comp", F.struct("n", "comp")).alias("top"), F.max("n").alias("n"), F.max_by("heavy", F.struct("n", "comp")).alias("heavy"), F.sum("n").alias("all"), F.sum("heavy").alias("all_heavy"))
@@ -233,7 +247,7 @@ def find_links(classes: DataFrame, texts: DataFrame, similarity: float, n: int)
     # Tiles of the rest come first; each meets all others, those of the largest component only them.
     rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.when(F.col("in_top"), F.col("rest_tiles")).otherwise(F.col("rest_tiles") + F.col("top_tiles")) - 1)))
     rest = rest.withColumn("low", F.least("tile", "other")).withColumn("high", F.greatest("tile", "other"))
-    return links.unionByName(compare(rest))
+    return links.unionByName(compare(rest)).select("a", "b")
 
 
 def group_near(docs: DataFrame, similarity: float = 0.8, n: int = 5) -> DataFrame:
