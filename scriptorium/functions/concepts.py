@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from bisect import bisect_right
+from functools import lru_cache
 from typing import Protocol
 
 from pyspark.sql import functions as F
@@ -21,6 +22,15 @@ CONCEPT += ">"
 KINDS = {"VB": "VERB", "NNP": "PROPN", "NN": "NOUN", "NNS": "NOUN", "JJ": "ADJ", "IN": "ADP", ".": "PUNCT"}
 
 
+@lru_cache(maxsize=100_000)
+def guessed(word: str, first: bool) -> tuple[str, str, str]:
+    """Lemma, part of speech and finer part of speech."""
+    low, tag = word.lower(), pos(word, first)
+    kind = "NEG" if low in NEGATIONS else "VERB" if low in AUXILIARIES or low in VERBS else KINDS.get(tag, "DET")
+    lemma = "be" if low in ("is", "are", "was", "were", "been", "being") else low.removesuffix("s") if kind == "VERB" and len(low) > 3 else low
+    return lemma, kind, tag
+
+
 class Backend(Protocol):
     """Anything that turns a sentence into tokens with part of speech, dependency and head."""
 
@@ -38,11 +48,8 @@ class RuleBackend:
     def parse(self, sentence: str) -> list[Token]:
         out = []
         for i, (at, word) in enumerate(tokens(sentence)):
-            low, tag = word.lower(), pos(word, i == 0)
-            kind = "NEG" if low in NEGATIONS else "VERB" if low in AUXILIARIES or low in VERBS else KINDS.get(tag, "DET")
-            lemma = "be" if low in ("is", "are", "was", "were", "been", "being") else low.removesuffix("s") if kind == "VERB" and len(low) > 3 else low
             end = at + len(word)
-            out.append(Token(i, word, at, lemma, kind, tag, "", -1, end < len(sentence) and sentence[end].isspace()))
+            out.append(Token(i, word, at, *guessed(word, i == 0), "", -1, end < len(sentence) and sentence[end].isspace()))
         attach(out)
         return out
 

@@ -6,7 +6,7 @@ Everything here is over such tokens and nothing else, so a parser with a trained
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 #: Dependencies of subjects, of objects, and of what extends a noun to its left and right.
 SUBJECTS = frozenset("nsubj nsubjpass csubj csubjpass agent expl meta".split())
@@ -141,8 +141,12 @@ class Sentence:
                 if t.head == t.i or not first <= t.head <= last:
                     top = t
                     break
+            head = place.get(top.head, n)
+            if first == last:
+                out.append(Token(n, top.text, top.idx, top.lemma, top.pos, top.tag, top.dep, head, top.space))
+                continue
             whole = self.text[self.tokens[first].idx : self.tokens[last].end]
-            out.append(replace(top, i=n, text=whole, idx=self.tokens[first].idx, lemma=top.lemma if first == last else whole, head=place.get(top.head, n), space=self.tokens[last].space))
+            out.append(Token(n, whole, self.tokens[first].idx, whole, top.pos, top.tag, top.dep, head, self.tokens[last].space))
         return Sentence(self.text, out)
 
     def collapsed(self) -> Sentence:

@@ -80,8 +80,8 @@ def count_of(text: Column, phrase: Column) -> Column:
 
 
 def analyze(text: Column) -> Column:
-    """The index analyzer: words in lower case, no possessive, no stop words, plurals to singulars (the s-stemmer)."""
-    words = F.filter(F.split(F.lower(text), "[^a-z0-9']+"), lambda w: w != "")
+    """The index analyzer: words of letters of any script and digits, in lower case, no possessive, no stop words, plurals to singulars (the s-stemmer)."""
+    words = F.filter(F.split(F.lower(text), r"[^\p{L}\p{M}\p{N}']+"), lambda w: w != "")
     words = F.transform(words, lambda w: F.regexp_replace(w, "'s$|'$", ""))
     words = F.filter(words, lambda w: (w != "") & ~w.isin(*STOPWORDS))
     return F.transform(words, singular)

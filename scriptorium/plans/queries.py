@@ -206,15 +206,6 @@ def nested_removal(spark, d):
     return groups.select("l_orderkey", F.explode(tagging.remove_nested(F.col("spans"))).alias("s")).select("l_orderkey", F.col("s.start").alias("start_at"), F.col("s.end").alias("end_at"))
 
 
-@query(r"""
-    WITH c AS (SELECT page_id, unnest(regexp_extract_all(html, '\(([^()]{2,10})\)', 1)) AS raw FROM pages), x AS (SELECT page_id, trim(raw) AS short FROM c)
-    SELECT page_id, short, count(*) AS n FROM x WHERE length(short) BETWEEN 2 AND 10 AND len(regexp_split_to_array(short, '[ \t\n\r]+')) <= 2
-      AND regexp_matches(short, '[A-Za-z]') AND regexp_matches(short, '^[A-Za-z0-9]') GROUP BY page_id, short""")
-def bracket_candidates(spark, d):
-    rows = t(spark, d, "pages").select("page_id", F.explode(abbreviations.bracketed(F.col("html"))).alias("short"))
-    return rows.groupBy("page_id", "short").agg(F.count("*").alias("n"))
-
-
 _phrases = "p AS (SELECT doc_id, phrase, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z]+')) AS phrase FROM documents) GROUP BY 1, 2)"
 _merged = f"""{_phrases}, plural AS (SELECT a.doc_id, a.phrase, b.n FROM p a JOIN p b ON a.doc_id = b.doc_id AND b.phrase = a.phrase || 's'),
     merged AS (SELECT p.doc_id, p.phrase, p.n + coalesce(plural.n, 0) AS n FROM p LEFT JOIN plural ON p.doc_id = plural.doc_id AND p.phrase = plural.phrase
@@ -297,8 +288,8 @@ _stem = r"""CASE WHEN regexp_matches(w, '[^ae]ies$') THEN regexp_replace(w, 'ies
     WHEN regexp_matches(w, '..s$') THEN regexp_replace(w, 's$', '') ELSE w END"""
 
 
-@query(f"""
-    WITH r AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z0-9'']+')) AS w0 FROM documents),
+@query(rf"""
+    WITH r AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\p{{L}}\p{{M}}\p{{N}}'']+')) AS w0 FROM documents),
     w AS (SELECT doc_id, regexp_replace(w0, '''s$|''$', '') AS w FROM r)
     SELECT doc_id, {_stem} AS token, count(*) AS n FROM w WHERE w <> '' AND w NOT IN ({_stop}) GROUP BY 1, 2""")
 def analyzer_tokens(spark, d):

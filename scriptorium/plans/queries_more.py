@@ -177,7 +177,7 @@ def represented_words(spark, d):
     return pages.unionByName(t(spark, d, "part").select((-F.col("p_partkey") - 1).alias("page_id"), text.represented(F.col("p_name"), F.lit(None).cast("string")).alias("shown")))
 
 
-_english = r"(SELECT unnest(regexp_extract_all(lower(text), '[a-z0-9'']+')) AS w0 FROM documents)"
+_english = r"(SELECT unnest(regexp_extract_all(lower(text), '[\p{L}\p{M}\p{N}'']+')) AS w0 FROM documents)"
 
 
 @query(f"""

@@ -36,7 +36,7 @@ def test_same_as_sql(spark, duck, name):
     want = Counter(tuple(plain(r[i]) for i in at) for r in cursor.fetchall())
     assert sorted(df.columns) == columns
     got = Counter(tuple(plain(x) for x in r) for r in df.select(*columns).collect())
-    assert sum(want.values()) > 0 or name == "bracket_candidates"
+    assert sum(want.values()) > 0
     assert sum((want - got).values()) == 0 and sum((got - want).values()) == 0, (list((want - got).items())[:3], list((got - want).items())[:3])
 
 
@@ -45,6 +45,16 @@ def test_runs(spark, name):
     assert QUERIES[name](spark, SMALL).count() > 0
 
 
+def test_concepts_of_collapsed_trees(spark):
+    """By hand, from the sentences' trees."""
+    winter, bees = "that salt reduces the yield of winter wheat", "never harm fruit trees"
+    want = {(1, "Strong tea", "prevent", "dull headaches", False, None), (1, "Strong tea", "prevent", "morning fatigue", False, None), (2, "Long night shifts", "improve", "sleep quality", True, None)}
+    want |= {(3, s, "say reduces", o, False, winter) for s in ("salt", "Growers") for o in ("yield", "winter wheat")}
+    want |= {(4, "filter", "remove from", o, True, None) for o in ("fine dust", "city air")} | {(5, "valve", "replaced by", "steel part", False, None)}
+    want |= {(7, "Bees", "visit", "flowers", False, None), (7, "Bees", "visit harm", "fruit trees", True, bees)}
+    assert Counter(map(tuple, QUERIES["tree_collapsed_concepts"](spark, SMALL).collect())) == Counter(want)
+
+
 def test_upsert_meets_updates(spark, monkeypatch):
     """All events come either as the index or as its updates, and updates overwrite rows of the index."""
     seen, upsert = [], relational.upsert
