@@ -6,6 +6,9 @@ starts with the longest piece that is left; a subset-sum dynamic program over th
 the bits of one integer) picks those that fill the window closest to its capacity, and backtracking gives how many of each
 length are taken.
 
+A sequence is padded to ``capacity``, unless its tokens are a power of two, when it stays as it is (``padded_length``). Full
+sequences need no padding; of what the last window of a group can't fill, only a sequence of another length is padded.
+
 Defined results: a null text is empty (the end id alone); a repeated row is packed as often as it comes; an empty table gives
 no piece; ids are carried as they are, nulls included. The string of a special token in a text, such as '<|endoftext|>', is
 text: it gets ordinary word pieces (``encode_special_tokens``), where the tokenizer's default setting gives the token's own id.
@@ -34,7 +37,7 @@ GROUP_PIECES = 2048
 MEMORY = 400_000
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, salt long"
-PLACED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+PLACED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, padded_length long"
 
 
 def kinds() -> np.ndarray:
@@ -260,27 +263,33 @@ def pack_lengths(lengths: dict[int, int], capacity: int):
         yield [first, *(length for length, n in rest for _ in range(n))]
 
 
+def padded(tokens: int, capacity: int) -> int:
+    """The length of a sequence with its padding."""
+    return tokens if tokens & (tokens - 1) == 0 else capacity
+
+
 def _place(capacity: int):
     def place(group: pa.Table) -> pa.Table:
         group = group.sort_by([(c, "ascending") for c in ("length", "doc_id", "start", "salt")])
         at = defaultdict(deque)
         for i, length in enumerate(group["length"].to_pylist()):
             at[length].append(i)
-        sequence, offset, base = np.zeros(group.num_rows, np.int64), np.zeros(group.num_rows, np.int64), group["part"][0].as_py() << 32
+        sequence, offset, lengths = (np.zeros(group.num_rows, np.int64) for _ in range(3))
+        base = group["part"][0].as_py() << 32
         for k, chosen in enumerate(pack_lengths({x: len(i) for x, i in at.items()}, capacity)):
-            used = 0
+            used, whole = 0, padded(sum(chosen), capacity)
             for length in chosen:
                 i = at[length].popleft()
-                sequence[i], offset[i] = base + k, used
+                sequence[i], offset[i], lengths[i] = base + k, used, whole
                 used += length
         names = [x.split()[0] for x in PLACED.split(", ")]
-        return group.append_column("sequence_id", pa.array(sequence)).append_column("offset", pa.array(offset)).select(names)
+        return group.append_column("sequence_id", pa.array(sequence)).append_column("offset", pa.array(offset)).append_column("padded_length", pa.array(lengths)).select(names)
 
     return place
 
 
 def pack(docs: DataFrame, vocabulary: str = "word_bpe_49k.json", end_id: int = 2, capacity: int = 4096) -> DataFrame:
-    """Where each piece of each document lies: sequence_id, offset and the piece's checksum."""
+    """Where each piece of each document lies: sequence_id, offset, the piece's checksum and the sequence's length with its padding."""
     pieces = materialise(cut(docs, vocabulary, end_id, capacity), "pieces")
     groups = max(1, -(-pieces.count() // GROUP_PIECES))
     dealt = pieces.withColumn("part", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", "salt"), F.lit(groups)))

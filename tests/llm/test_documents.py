@@ -296,9 +296,21 @@ def test_packing(documents, odd, none):
             assert at <= 4096
         full = sum(n for parts in sequences.values() for _, n in parts)
         assert full > 0.98 * 4096 * (len(sequences) - 1)
+        used = {s: sum(n for _, n in parts) for s, parts in sequences.items()}
+        powers = {2**k for k in range(13)}
+        assert all(r["padded_length"] == (used[r["sequence_id"]] if used[r["sequence_id"]] in powers else 4096) for r in pieces)
+        padding = {r["sequence_id"]: r["padded_length"] - used[r["sequence_id"]] for r in pieces}
+        assert sum(padding.values()) < 4096 + 0.02 * full and all(p >= 0 for p in padding.values())
     assert packing.pack(none).count() == 0
 
 
+def test_a_power_of_two_is_not_padded(spark):
+    """An end id alone is one token, a power of two; three of them are padded."""
+    for n, length in ((1, 1), (2, 2), (3, 4096), (4, 4)):
+        docs = spark.createDataFrame([(i, None) for i in range(n)], "doc_id long, text string")
+        assert {r["padded_length"] for r in packing.pack(docs).collect()} == {length}
+
+
 def test_encoder_is_the_tokenizer():
     rng = random.Random(1)
     signs = [*"abcXYZ0189!.,<>'`~[]{}@# \n\t\r\x0b\x0c\x1c\x00", *"\u00e9\u00c9\u00d6\u00df\u00d7\u00f7\u00ff\u00c0\u00aa\u00ba\u00b5\u00bd\u00b2\u0301\u0338\u00a0\u0085\u3000\u2014\u2019\u0130\u03a3\u6f22\ud55c\u200d\u20e3\u212a\ufb01\u017f\U0001f600", "'s", "'LL", "<|endoftext|>"]
