@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from bisect import bisect_right
-from functools import lru_cache
 from typing import Protocol
 
 from pyspark.sql import functions as F
@@ -11,7 +10,7 @@ from pyspark.sql import functions as F
 from scriptorium.functions.phrases import VERBS, pos
 from scriptorium.functions.syntax import NEGATIONS, Sentence, Token, tokens_in_range
 from scriptorium.functions.tagging import TAG
-from scriptorium.functions.text import PUNCTUATION, STOPWORDS, sentences, tokens
+from scriptorium.functions.text import PUNCTUATION, STOPWORDS, remembered, sentences, tokens
 
 AUXILIARIES = frozenset("is are was were be been being has have had do does did can could may might must should will would".split())
 STOPS = frozenset(STOPWORDS)
@@ -22,7 +21,7 @@ CONCEPT += ">"
 KINDS = {"VB": "VERB", "NNP": "PROPN", "NN": "NOUN", "NNS": "NOUN", "JJ": "ADJ", "IN": "ADP", ".": "PUNCT"}
 
 
-@lru_cache(maxsize=100_000)
+@remembered()
 def guessed(word: str, first: bool) -> tuple[str, str, str]:
     """Lemma, part of speech and finer part of speech."""
     low, tag = word.lower(), pos(word, first)

@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 from collections import Counter
-from functools import lru_cache
 
 from pyspark.sql import functions as F
 
 from scriptorium.functions import abbreviations
-from scriptorium.functions.text import STOPWORDS, sentences, to_ascii, tokens
+from scriptorium.functions.text import STOPWORDS, remembered, sentences, to_ascii, tokens
 
 #: Which neighbouring tags merge, and into what.
 MERGES = {
@@ -22,7 +21,7 @@ PREPOSITIONS = frozenset("of in for to with on at by from into".split())
 VERBS = frozenset("is are was were be been being has have had do does did suggest suggests reduce reduces prevent prevents regulate regulates inhibit inhibits show shows cause causes increase increases".split())
 
 
-@lru_cache(maxsize=100_000)
+@remembered()
 def pos(word: str, first: bool) -> str:
     """A deterministic guess; a backend with a model may take its place."""
     low = word.lower()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import re
 import unicodedata
 
@@ -16,6 +17,25 @@ STOPWORDS = tuple(
 )
 
 
+def remembered(most: int = 100_000):
+    """A function that remembers its results. Unlike the standard library's it travels to workers by value, with the package."""
+
+    def wrap(f):
+        known: dict = {}
+
+        @functools.wraps(f)
+        def look_up(*args):
+            if args not in known:
+                if len(known) >= most:
+                    known.clear()
+                known[args] = f(*args)
+            return known[args]
+
+        return look_up
+
+    return wrap
+
+
 def greek_names() -> dict[str, str]:
     """Greek letters to English names, from their Unicode names; capitals are capitalised, the final sigma isn't mapped."""
     out = {}
