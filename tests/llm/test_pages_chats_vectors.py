@@ -245,3 +245,25 @@ def test_graph_finds_what_it_should():
         found, total = found + len(truth & set(graph.reach(x[i], 0.93, 32))), total + len(truth)
     assert found >= 0.97 * total
     assert graph.reach(x[0], 0.93, 1200) is None  # as wide as the graph: the whole of it is to be compared
+
+
+def test_workers_need_no_copy_of_the_package(tmp_path):
+    """What is sent to workers loads in a process that can't import the package."""
+    import os
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    from scriptorium.llm import exact_dedup, hmm, mixing, near_dedup, packing, substring_dedup, toxicity
+
+    model = hmm.Model.random([b"a", b"\n"], np.ones(2 + hmm.CLASSES))
+    sent = [substring_dedup._first_pass(35, 8), substring_dedup._repeating, substring_dedup._pack(35), substring_dedup._count(35), substring_dedup._windows(35), substring_dedup._apply(35)]
+    sent += [warc._write("file:///x", 1), warc._normalise("file:///x"), warc._read("file:///x"), warc._delete("file:///x"), near_dedup._sketch(5), near_dedup._sets(5), near_dedup._verify(0.8), near_dedup._first_tile]
+    sent += [mixing._phase(mixing.fly, 0, 7), toxicity._score({}, []), toxicity._features({}), embedding_dedup._build, embedding_dedup._query(0.9), packing._place(8), hmm._count, hmm._expect(model), hmm._encode(None), hmm._score(None), hmm._add]
+    sent += [exact_dedup._build, exact_dedup._look_up, common.thin_links, chat.fold]
+    (tmp_path / "sent").write_bytes(cloudpickle.dumps(sent))
+    assert all(type(x) in (list, np.ndarray) for x in model.arrays)
+    code = "import sys; from pyspark import cloudpickle; f = cloudpickle.loads(open('sent', 'rb').read()); assert 'scriptorium' not in sys.modules; print(f[-1]([(0, 'start', 'user', 'x')]))"
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env={k: v for k, v in os.environ.items() if k != "PYTHONPATH"}, capture_output=True, text=True)
+    assert done.returncode == 0 and done.stdout.strip() == "[('user', 'x')]", done.stderr
