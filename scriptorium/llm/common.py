@@ -37,6 +37,16 @@ def steps_of():
             discard(step)
 
 
+#: Bytes of an Arrow batch, about, and the setting's own default, which alone is replaced.
+BATCH_BYTES, BATCH_SETTING, BATCH_DEFAULT = 4 << 20, "spark.sql.execution.arrow.maxBytesPerBatch", 64 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Long texts go to workers a few megabytes at a time: what executor and worker hold of them doesn't depend on their lengths."""
+    if spark.conf.get(BATCH_SETTING).lower().removesuffix("b") == str(BATCH_DEFAULT):
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+
+
 def materialise(df: DataFrame, name: str, instead_of: tuple[DataFrame, ...] = ()) -> DataFrame:
     """Write a step to the shared folder and read it again: later steps survive lost executors and don't redo it.
 
@@ -45,6 +55,7 @@ def materialise(df: DataFrame, name: str, instead_of: tuple[DataFrame, ...] = ()
     not for hours, so it is asked to.
     """
     spark = df.sparkSession
+    bound_batches(spark)
     path = f"{shared_dir(spark)}/scriptorium/{name}-{uuid.uuid4().hex}"
     schema = df.schema
     df.write.option("compression", "zstd").parquet(path)
@@ -98,6 +109,7 @@ def tidy(run):
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """A table, on all cores even if it is one row group; a larger one is read as it is."""
+    bound_batches(spark)
     return spread(spark.read.parquet(f"{sf_dir}/{table}.parquet"))
 
 

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scriptorium.llm.common import materialise, pieces
+from scriptorium.llm.common import materialise, pieces, release, tidy
 
 #: Pieces to a group, about: enough that nearly every window is filled to the last token.
 GROUP_PIECES = 2048
@@ -112,6 +112,8 @@ class Encoder:
         for token, i in self.tokenizer.get_vocab().items():
             self.ends[i] = token.endswith("</w>")
         self.forget()
+        del whole
+        release()  # what reading the vocabulary has left behind
 
     def forget(self) -> None:
         #: Each run's place in ``stops``; its ids end there and begin at the stop before.
@@ -200,6 +202,7 @@ def some_at_a_time(data: np.ndarray, offsets: list[int], most: int = 2_000_000):
 def cut(docs: DataFrame, vocabulary: str, end_id: int, capacity: int) -> DataFrame:
     """docs (doc_id, text) to pieces of at most ``capacity`` tokens."""
 
+    @tidy
     def run(batches):
         encoder, end, n = Encoder(vocabulary), np.array([end_id], "<u4").tobytes(), 0
         for batch in pieces(batches):
