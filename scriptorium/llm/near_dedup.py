@@ -222,8 +222,8 @@ def find_links(classes: DataFrame, texts: DataFrame, similarity: float, n: int)
     listed = full.select("cid", "members", F.col("found.list").alias("lists"), F.explode("found").alias("f")).select("cid", "members", "lists", "f.list", "f.tiles")
     listed = listed.withColumn("tile", F.pmod(F.xxhash64("cid", F.lit(2)), F.col("tiles")).cast("int"))
 
-    def compare(rows):
-        return rows.select("cid", "members", "lists", "list", "tile", "low", "high", "comp").groupBy("list", "low", "high").applyInArrow(_verify(similarity), "list long, high int, a long, b long")
+    def compare(rows):  # dealt by all three keys: rows that a join has dealt by list would else meet in one task
+        return rows.select("cid", "members", "lists", "list", "tile", "low", "high", "comp").repartition("list", "low", "high").groupBy("list", "low", "high").applyInArrow(_verify(similarity), "list long, high int, a long, b long")
 
     # The first tile meets itself and each other tile.
     others = F.when(F.col("tile") == 0, F.sequence(F.lit(0), F.col("tiles") - 1)).otherwise(F.array("tile"))
