@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scriptorium.llm.common import materialise, pieces, tidy, word_blocks
+from scriptorium.llm.common import discard, materialise, pieces, tidy, word_blocks
 
 #: Words that are symbols; classes of the others; latent states.
 HEAD, CLASSES, STATES = 16_384, 512, 8
@@ -401,7 +401,9 @@ def score_documents(docs: DataFrame) -> DataFrame:
     first = texts.mapInArrow(_encode(sent), "doc_id long, held_out boolean, n_tokens long, n_known long, base double, within double, rare array<binary>, times array<int>, symbols binary")
     first = materialise(first.withColumn("row", F.monotonically_increasing_id()), "encoded")
     symbols = first.where("not held_out").select("symbols")
-    model = train(symbols.where(F.crc32("symbols") % SHARE == 0), model, weights)
+    share = materialise(symbols.where(F.crc32("symbols") % SHARE == 0), "share")
+    model = train(share, model, weights)
+    discard(share)
     trained = spark.sparkContext.broadcast(train(symbols, model, weights).arrays)
     # The rare words meet their counts; one that training hasn't seen counts 0 in the class that its letters give.
     rare = first.select("row", F.explode(F.arrays_zip("rare", "times")).alias("r")).select("row", F.col("r.rare").alias("word"), F.col("r.times").alias("times"))
