@@ -301,7 +301,9 @@ def repeated_in(strings: DataFrame, k: int) -> DataFrame:
     found = light.mapInArrow(_count(k), "digest binary, firsts array<int>")
     if not n:
         return found
-    windows = strings.join(sent, "mini", "left_semi").select("digest", "packed", "windows", "many").mapInArrow(_windows(k), "digest binary, first int, window binary, many long")
+    # Equal strings of several tasks become one first: the rows made are the windows of different strings, however many tasks hold them.
+    different = strings.join(sent, "mini", "left_semi").groupBy("digest").agg(F.first("packed").alias("packed"), F.first("windows").alias("windows"), F.sum("many").alias("many"))
+    windows = different.mapInArrow(_windows(k), "digest binary, first int, window binary, many long")
     windows = materialise(windows, "windows")
     repeated = windows.groupBy("window").agg(F.sum("many").alias("n")).where("n > 1").select("window")
     return found.unionByName(windows.join(repeated, "window").groupBy("digest").agg(F.sort_array(F.collect_set("first")).alias("firsts")))

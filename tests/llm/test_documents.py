@@ -95,6 +95,27 @@ def test_substrings_of_heavy_minimisers_and_long_texts(spark, monkeypatch):
         assert [substring_dedup.slicer(text, long)(a, b) for a, b in ((0, 1), (1, 4), (0, 9))] == [b"one", b"two three four", b"one two three four five"]
 
 
+def test_windows_dealt_out_grow_with_the_different_strings(spark, monkeypatch):
+    """A run of eight words in n contexts, each of them in three tasks: a row for each window of a context, twice as many for twice the contexts."""
+    made = {}
+
+    def noted(df, name):
+        out = common.materialise(df, name)
+        made[name] = out.count()
+        return out
+
+    monkeypatch.setattr(substring_dedup, "materialise", noted)
+    monkeypatch.setattr(substring_dedup, "HEAVY", 2)
+    monkeypatch.setattr(substring_dedup, "SAMPLED", 1)
+    for n in (20, 40):
+        texts = [" ".join([f"a{i}.{j}" for j in range(27)] + [f"c{j}" for j in range(8)] + [f"b{i}.{j}" for j in range(27)]).encode() for i in range(n)]
+        strings = [(7, hashlib.blake2b(t, digest_size=16).digest(), t, 27, 28, 1) for t in texts]
+        some = [spark.createDataFrame(strings, "mini long, digest binary, packed binary, pivot int, windows int, many long").coalesce(1) for _ in range(3)]
+        got = substring_dedup.repeated_in(some[0].union(some[1]).union(some[2]), 35).collect()
+        assert sorted((bytes(r["digest"]), r["firsts"]) for r in got) == sorted((s[1], list(range(28))) for s in strings)
+        assert made["windows"] == 28 * n
+
+
 def near_truth(rows, percent, n=5):
     sets, forest = [], common.Forest()
     for _, t in rows:
