@@ -356,7 +356,7 @@ def noun_phrase_chunks(spark, d):
 
 @query()
 def svo_concepts(spark, d):
-    return _texts(spark, d).select("doc_id", F.explode(concepts.find_concepts()("text")).alias("c")).select("doc_id", "c.*")
+    return concepts.concept_table(_texts(spark, d))
 
 
 @query()

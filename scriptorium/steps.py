@@ -29,6 +29,15 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/scriptorium/{name}-{uuid.uuid4().hex}"
 
 
+def slices(batches, rows: int = 256, size: int = 1 << 20):
+    """Arrow batches in slices of so many rows and about so many bytes at most: what a worker makes of a slice, and not of a whole
+    batch of ten thousand texts, is all that it holds."""
+    for batch in batches:
+        most = max(1, min(rows, size * batch.num_rows // max(1, batch.nbytes)))
+        for start in range(0, batch.num_rows, most):
+            yield batch.slice(start, most)
+
+
 def spread(df: DataFrame, times: int = 1) -> DataFrame:
     """At least so many partitions a core, for steps that take long for a row: a small file of one row group is one partition.
 
