@@ -7,11 +7,15 @@ import re
 from collections import Counter, defaultdict
 from difflib import SequenceMatcher
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import ArrayType, DataType, StructField, StructType
 
 from scriptorium.functions.text import STOPWORDS
+from scriptorium.steps import slices
 
 #: The characters that part words.
 SEPARATORS = ".,;:)]([{}/\\\"'?!<>+- "
@@ -132,17 +136,20 @@ def remove_nested(ranges):
 
 
 def tag_texts(docs: DataFrame, entries: list[tuple], key: str = "doc_id", text: str = "text") -> DataFrame:
-    """A row per document with its tags. entries: a dictionary that fits a worker's memory; it travels once to each."""
+    """A row per document with its tags. entries: a dictionary that fits a worker's memory; it travels once to each. Of texts
+    and tags a worker holds a slice."""
     sent = docs.sparkSession.sparkContext.broadcast(entries)
 
+    schema = StructType([*docs.select(key, text).schema.fields, StructField("tags", ArrayType(DataType.fromDDL(TAG)))])
+    names, kind = schema.names, to_arrow_type(schema["tags"].dataType)
+
     def run(batches):
         tagger = Tagger(sent.value)
-        for pdf in batches:
-            pdf["tags"] = pdf[text].map(tagger.tag)
-            yield pdf
+        for part in slices(batches):
+            tags = pa.array([tagger.tag(t) for t in part.column(1).to_pylist()], kind)
+            yield pa.RecordBatch.from_arrays([*part.columns, tags], names)
 
-    kind = docs.schema[key].dataType.simpleString()
-    return docs.select(key, text).mapInPandas(run, f"{key} {kind}, {text} string, tags array<{TAG}>")
+    return docs.select(key, text).mapInArrow(run, schema)
 
 
 def tags_in_range(tags, start, end):

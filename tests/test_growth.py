@@ -2,6 +2,7 @@
 
 from collections import Counter
 
+import pytest
 from tests.conftest import SMALL
 
 from scriptorium.functions import concepts
@@ -33,3 +34,10 @@ def test_concepts_leave_a_worker_in_parts(spark, monkeypatch):
     want = Counter((r["doc_id"], c["sentence"], c["subject"], c["verb"], c["object"], c["negated"], tuple(c["verb_path"])) for r in texts for c in concepts.document_concepts(r["text"]))
     got = Counter((r["doc_id"], r["sentence"], r["subject"], r["verb"], r["object"], r["negated"], tuple(r["verb_path"])) for r in df.collect())
     assert got == want
+
+
+@pytest.mark.parametrize("name", ["entity_tags", "tag_group_counts", "case_agreeing_tags"])
+def test_tags_in_slices(spark, name):
+    df = QUERIES[name](spark, SMALL)
+    assert "MapInPandas" not in plan(df) and "MapInArrow" in plan(df)
+    assert df.count() > 0
