@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from scriptorium.functions import abbreviations, concepts, phrases, tagging, text
@@ -212,13 +211,9 @@ _merged = f"""{_phrases}, plural AS (SELECT a.doc_id, a.phrase, b.n FROM p a JOI
                WHERE NOT EXISTS (SELECT 1 FROM plural x WHERE x.doc_id = p.doc_id AND x.phrase || 's' = p.phrase))"""
 
 
-def _words(spark, d):
-    """A row for each word: doc_id, phrase, n = 1."""
-    return _texts(spark, d).select("doc_id", F.explode(F.regexp_extract_all(F.lower("text"), F.lit("([a-z]+)"), 1)).alias("phrase"), F.lit(1).cast("long").alias("n"))
-
-
-def _counts(spark, d):
-    return _words(spark, d).groupBy("doc_id", "phrase").agg(F.sum("n").alias("n"))
+def _counts(spark, d, change=None):
+    words = F.regexp_extract_all(F.lower("text"), F.lit("([a-z]+)"), 1)
+    return phrases.counted(t(spark, d, "documents").select("doc_id", "text"), words, change)
 
 
 @query(f"WITH {_phrases} SELECT doc_id, phrase, n FROM p")
@@ -228,18 +223,17 @@ def phrase_counts(spark, d):
 
 @query(f"WITH {_merged} SELECT doc_id, phrase, n FROM merged")
 def plural_merge(spark, d):
-    return phrases.merge_plurals(_words(spark, d), ["doc_id"])
+    return _counts(spark, d, phrases.with_plurals)
 
 
 @query(f"WITH {_merged} SELECT doc_id, phrase, n FROM merged WHERE n > 1 QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, phrase) <= 5")
 def top5_phrases(spark, d):
-    rank = F.row_number().over(W.partitionBy("doc_id").orderBy(F.desc("n"), "phrase"))
-    return phrases.merge_plurals(_words(spark, d), ["doc_id"]).where("n > 1").withColumn("rank", rank).where("rank <= 5").drop("rank")
+    return _counts(spark, d, lambda counts: phrases.recurring(phrases.with_plurals(counts), 5))
 
 
 @query(f"WITH {_merged} SELECT doc_id, count(*) AS recurring FROM merged WHERE n > 1 GROUP BY doc_id")
 def recurring_phrases(spark, d):
-    return phrases.merge_plurals(_words(spark, d), ["doc_id"]).where("n > 1").groupBy("doc_id").agg(F.count("*").alias("recurring"))
+    return plural_merge(spark, d).where("n > 1").groupBy("doc_id").agg(F.count("*").alias("recurring"))
 
 
 @query("SELECT doc_id, CAST(floor((length(lower(text)) - length(replace(lower(text), 'the', ''))) / 3) AS BIGINT) AS n FROM documents")
@@ -293,8 +287,7 @@ _stem = r"""CASE WHEN regexp_matches(w, '[^ae]ies$') THEN regexp_replace(w, 'ies
     w AS (SELECT doc_id, regexp_replace(w0, '''s$|''$', '') AS w FROM r)
     SELECT doc_id, {_stem} AS token, count(*) AS n FROM w WHERE w <> '' AND w NOT IN ({_stop}) GROUP BY 1, 2""")
 def analyzer_tokens(spark, d):
-    rows = _texts(spark, d).select("doc_id", F.explode(text.analyze(F.col("text"))).alias("token"))
-    return rows.groupBy("doc_id", "token").agg(F.count("*").alias("n"))
+    return phrases.counted(t(spark, d, "documents").select("doc_id", "text"), text.analyze(F.col("text")), phrase="token")
 
 
 @query(f"SELECT doc_id, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z]+')) AS w FROM documents) WHERE w NOT IN ({_stop}) GROUP BY doc_id")

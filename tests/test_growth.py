@@ -1,13 +1,16 @@
 """What queries do at size: workers hold little, little is shuffled, and results stay those of the plain way."""
 
+import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 from tests.conftest import SMALL
 
-from scriptorium.functions import concepts
+from scriptorium.functions import concepts, phrases
 from scriptorium.plans import queries_more  # noqa: F401
 from scriptorium.plans.queries import QUERIES
+from scriptorium.sources import records
 from scriptorium.steps import slices
 
 
@@ -41,3 +44,23 @@ def test_tags_in_slices(spark, name):
     df = QUERIES[name](spark, SMALL)
     assert "MapInPandas" not in plan(df) and "MapInArrow" in plan(df)
     assert df.count() > 0
+
+
+def test_words_of_a_key_are_counted_in_one_task(spark):
+    """Repeated keys, keys and texts that are null, plurals of plurals."""
+    rows = [(1, "as a a ass x"), (2, "cats cat cat"), (1, "a as"), (None, "dogs"), (2, None), (None, "dog dogs"), (3, None), (4, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    words = F.regexp_extract_all("text", F.lit("([a-z]+)"), 1)
+    got = lambda change: Counter(map(tuple, phrases.counted(docs, words, change).collect()))
+    assert got(None) == Counter([(1, "a", 3), (1, "as", 2), (1, "ass", 1), (1, "x", 1), (2, "cats", 1), (2, "cat", 2), (None, "dogs", 2), (None, "dog", 1)])
+    assert got(phrases.with_plurals) == Counter([(1, "a", 5), (1, "x", 1), (2, "cat", 3), (None, "dog", 3)])
+    assert got(lambda c: phrases.recurring(c, 1)) == Counter([(1, "a", 3), (2, "cat", 2), (None, "dogs", 2)])
+    assert got(lambda c: phrases.with_forms(c, {"as": "x", "cat": "cats"})) == Counter([(1, "a", 3), (1, "x", 3), (1, "ass", 1), (2, "cats", 3), (None, "dogs", 2), (None, "dog", 1)])
+
+
+def shuffles(spark, name) -> list[str]:
+    return re.findall(r"Exchange (\w+)\(", plan(QUERIES[name](spark, SMALL)))
+
+
+def test_plural_merge_shuffles_texts_once(spark):
+    assert shuffles(spark, "plural_merge") == ["hashpartitioning"] and "Generate" not in plan(QUERIES["plural_merge"](spark, SMALL))
