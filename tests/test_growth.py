@@ -64,3 +64,7 @@ def shuffles(spark, name) -> list[str]:
 
 def test_plural_merge_shuffles_texts_once(spark):
     assert shuffles(spark, "plural_merge") == ["hashpartitioning"] and "Generate" not in plan(QUERIES["plural_merge"](spark, SMALL))
+
+
+def test_top5_phrases_shuffle_texts_once(spark):
+    assert shuffles(spark, "top5_phrases") == ["hashpartitioning"] and "Window" not in plan(QUERIES["top5_phrases"](spark, SMALL))
