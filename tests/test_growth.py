@@ -68,3 +68,11 @@ def test_plural_merge_shuffles_texts_once(spark):
 
 def test_top5_phrases_shuffle_texts_once(spark):
     assert shuffles(spark, "top5_phrases") == ["hashpartitioning"] and "Window" not in plan(QUERIES["top5_phrases"](spark, SMALL))
+
+
+def test_recurring_phrases_shuffle_no_words(spark):
+    assert shuffles(spark, "recurring_phrases") == ["hashpartitioning"] * 2 and "Generate" not in plan(QUERIES["recurring_phrases"](spark, SMALL))
+
+
+def test_abbreviation_merge_shuffles_texts_once(spark):
+    assert shuffles(spark, "abbreviation_merge") == ["hashpartitioning"] and "Join" not in plan(QUERIES["abbreviation_merge"](spark, SMALL))
