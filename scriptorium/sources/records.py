@@ -132,14 +132,14 @@ def author(node) -> dict:
 def parse_records(raw: DataFrame) -> DataFrame:
     """raw (xml, filename) to publications."""
 
-    schema = to_arrow_schema(StructType.fromDDL(PUBLICATION))
+    kind = pa.struct(to_arrow_schema(StructType.fromDDL(PUBLICATION)))
 
     def run(batches):
         for batch in batches:
             for s in range(0, batch.num_rows, 1000):
                 part = batch.slice(s, 1000)
                 rows = [r for x, f in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True) for r in parse_record(x, f)]
-                yield pa.RecordBatch.from_pylist(rows, schema)
+                yield pa.RecordBatch.from_struct_array(pa.array(rows, kind))
 
     return raw.select("xml", "filename").mapInArrow(run, PUBLICATION)
 

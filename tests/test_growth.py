@@ -81,3 +81,11 @@ def test_abbreviation_merge_shuffles_texts_once(spark):
 @pytest.mark.parametrize("name", ["whitespace_analyzer", "analyzer_tokens", "phrase_counts"])
 def test_tokens_are_not_shuffled(spark, name):
     assert shuffles(spark, name) == ["hashpartitioning"] and "Generate" not in plan(QUERIES[name](spark, SMALL))
+
+
+def test_articles_are_written_to_several_files(spark, monkeypatch):
+    """A packed file is read by one task: a small table of one row group must not become one file."""
+    seen, read = [], records.read_records
+    monkeypatch.setattr(records, "read_records", lambda s, path: seen.append(path) or read(s, path))
+    assert QUERIES["xml_articles"](spark, SMALL).count() > 0
+    assert spark.read.text(seen[0]).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
