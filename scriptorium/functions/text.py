@@ -17,19 +17,23 @@ STOPWORDS = tuple(
 )
 
 
-def remembered(most: int = 100_000):
-    """A function that remembers its results. Unlike the standard library's it travels to workers by value, with the package."""
+def remembered(most: int = 100_000, longest: int = 64):
+    """A function of words that remembers its results but those of long words. Unlike the standard library's it travels to workers
+    by value, with the package."""
 
     def wrap(f):
         known: dict = {}
 
         @functools.wraps(f)
         def look_up(*args):
-            if args not in known:
-                if len(known) >= most:
-                    known.clear()
-                known[args] = f(*args)
-            return known[args]
+            out = known.get(args)
+            if out is None:
+                out = f(*args)
+                if len(args[0]) <= longest:
+                    if len(known) >= most:
+                        known.clear()
+                    known[args] = out
+            return out
 
         return look_up
 
@@ -69,9 +73,12 @@ SPELLED = str.maketrans(
 )
 
 
+SPELT = re.compile("[%s]" % "".join(map(chr, SPELLED)))
+
+
 def to_ascii(text: str) -> str:
     """The letters under their accents, ligatures and typographic marks spelled; what has no ASCII form goes."""
-    return text if text.isascii() else unicodedata.normalize("NFKD", text.translate(SPELLED)).encode("ascii", "ignore").decode()
+    return text if text.isascii() else unicodedata.normalize("NFKD", SPELT.sub(lambda m: SPELLED[ord(m[0])], text)).encode("ascii", "ignore").decode()
 
 
 def text_to_analyze(title: Column, abstract: Column) -> Column:
@@ -138,13 +145,13 @@ def singular(w: Column) -> Column:
     return F.when(w.rlike("[^ae]ies$"), F.regexp_replace(w, "ies$", "y")).when(w.rlike("[us]s$|[aeio]es$"), w).when(w.rlike("..s$"), F.regexp_replace(w, "s$", "")).otherwise(w)
 
 
-SENTENCE = re.compile(r"(?<=[.!?])(?=\s+[\"'(\[]?[A-Z0-9])")
+SENTENCE = re.compile(r"[.!?](?=\s+[\"'(\[]?[A-Z0-9])")
 
 
 def sentences(text: str) -> list[tuple[int, int]]:
     """Spans of the sentences of a text, without the blanks between them."""
     out, start = [], 0
-    for end in [m.start() for m in SENTENCE.finditer(text)] + [len(text)]:
+    for end in [m.end() for m in SENTENCE.finditer(text)] + [len(text)]:
         piece = text[start:end]
         if piece.strip():
             lead = len(piece) - len(piece.lstrip())
@@ -153,24 +160,29 @@ def sentences(text: str) -> list[tuple[int, int]]:
     return out
 
 
+#: What stands between white space.
+RUN = re.compile(r"\S+")
+
+
 def tokens(text: str) -> list[tuple[int, str]]:
     """(offset, token): names with inner hyphens, slashes, colons and brackets stay whole; edge punctuation is parted."""
-    out = []
-    for m in re.finditer(r"\S+", text):
-        word, at = m[0], m.start()
-        lead, trail = [], []
-        while word and (word[0] in "\"'`" or (word[0] in "([{" and not balanced(word))):
-            lead.append((at, word[0]))
-            word, at = word[1:], at + 1
-        while word and (word[-1] in ",.;:!?\"'`" or (word[-1] in ")]}" and not balanced(word))) and len(word) > 1:
-            trail.append((at + len(word) - 1, word[-1]))
-            word = word[:-1]
-        while len(word) > 2 and word[0] in "([{" and balanced(word) and closes_at(word) == len(word) - 1:
-            lead.append((at, word[0]))
-            trail.append((at + len(word) - 1, word[-1]))
-            word, at = word[1:-1], at + 1
-        out += lead + ([(at, word)] if word else []) + trail[::-1]
-    return out
+    return [(m.start() + at, word) for m in RUN.finditer(text) for at, word in parted(m[0])]
+
+
+def parted(word: str) -> list[tuple[int, str]]:
+    """The tokens of a run without white space, which depend on nothing else."""
+    lead, trail, at = [], [], 0
+    while word and (word[0] in "\"'`" or (word[0] in "([{" and not balanced(word))):
+        lead.append((at, word[0]))
+        word, at = word[1:], at + 1
+    while word and (word[-1] in ",.;:!?\"'`" or (word[-1] in ")]}" and not balanced(word))) and len(word) > 1:
+        trail.append((at + len(word) - 1, word[-1]))
+        word = word[:-1]
+    while len(word) > 2 and word[0] in "([{" and balanced(word) and closes_at(word) == len(word) - 1:
+        lead.append((at, word[0]))
+        trail.append((at + len(word) - 1, word[-1]))
+        word, at = word[1:-1], at + 1
+    return lead + ([(at, word)] if word else []) + trail[::-1]
 
 
 PAIRS = {")": "(", "]": "[", "}": "{"}

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from tests.conftest import SMALL
 
-from scriptorium.functions import concepts, phrases
+from scriptorium.functions import concepts, phrases, text
 from scriptorium.plans import queries_more  # noqa: F401
 from scriptorium.plans.queries import QUERIES
 from scriptorium.sources import records
@@ -89,3 +89,14 @@ def test_articles_are_written_to_several_files(spark, monkeypatch):
     monkeypatch.setattr(records, "read_records", lambda s, path: seen.append(path) or read(s, path))
     assert QUERIES["xml_articles"](spark, SMALL).count() > 0
     assert spark.read.text(seen[0]).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+
+
+def test_runs_are_parted_once(monkeypatch):
+    """What stands between white space is parted and guessed once, not at each of its places; the rules are those of tokens and pos."""
+    seen = Counter()
+    monkeypatch.setattr(phrases, "parted", lambda run: seen.update([run]) or text.parted(run))
+    said = "Chronic (qzx) wheezes, qzx-like; of qzx. Chronic (qzx) wheezes, qzx-like; of qzx. " * 20
+    got = phrases.noun_phrases(said)
+    assert seen and max(seen.values()) == 1
+    plain = [[(w, phrases.pos(w, i == 0)) for i, (_, w) in enumerate(text.tokens(said[a:b]))] for a, b in text.sentences(said)]
+    assert got == phrases.phrases_of(plain) and [phrases.guess_sentence(said[a:b]) for a, b in text.sentences(said)] == plain
