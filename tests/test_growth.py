@@ -100,3 +100,13 @@ def test_runs_are_parted_once(monkeypatch):
     assert seen and max(seen.values()) == 1
     plain = [[(w, phrases.pos(w, i == 0)) for i, (_, w) in enumerate(text.tokens(said[a:b]))] for a, b in text.sentences(said)]
     assert got == phrases.phrases_of(plain) and [phrases.guess_sentence(said[a:b]) for a, b in text.sentences(said)] == plain
+
+
+def test_parser_parts_runs_once(monkeypatch):
+    seen = Counter()
+    monkeypatch.setattr(concepts, "parted", lambda run: seen.update([run]) or text.parted(run))
+    said = "Qzy (zzq) reduces the zzq-load, not zzq. "
+    trees = [concepts.parse(said) for _ in range(20)]
+    assert seen and max(seen.values()) == 1
+    want = [(at, w, *concepts.guessed(w, i == 0), at + len(w) < len(said) and said[at + len(w)].isspace()) for i, (at, w) in enumerate(text.tokens(said))]
+    assert all([(t.idx, t.text, t.lemma, t.pos, t.tag, t.space) for t in tree.tokens] == want for tree in trees)
